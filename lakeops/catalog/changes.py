@@ -1 +1,227 @@
-"""placeholder"""
+"""Table changes over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeops.catalog.base import Tables, query
+from lakeops.functions.scalars import money
+from lakeops.operators import changes
+from lakeops.operators.clean import dedup
+from lakeops.operators.quality import guarded
+from lakeops.session import scratch
+from lakeops.sources.sinks import write_partitioned
+
+# Updates: half of the customers of one segment with a new balance (null for some), and new customers.
+UPDATES = """
+    SELECT c_custkey, c_name || '*' AS c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal + 1000 END AS c_acctbal
+    FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0
+    UNION ALL SELECT c_custkey + 10000000, c_name, c_acctbal FROM customer WHERE c_custkey % 10 = 0"""
+
+
+def _target(t: Tables):
+    return t.customer.select("c_custkey", "c_name", "c_acctbal")
+
+
+def _updates(t: Tables):
+    key = F.col("c_custkey")
+    matched = t.customer.filter((F.col("c_mktsegment") == "BUILDING") & (key % 2 == 0)).select(
+        "c_custkey",
+        F.concat("c_name", F.lit("*")).alias("c_name"),
+        F.when(key % 4 != 0, F.col("c_acctbal") + 1000).alias("c_acctbal"),
+    )
+    fresh = t.customer.filter(key % 10 == 0).select((key + 10_000_000).alias("c_custkey"), "c_name", "c_acctbal")
+    return matched.unionByName(fresh)
+
+
+@query(
+    "upsert_scd1",
+    f"""SELECT coalesce(u.c_custkey, t.c_custkey) AS c_custkey, CASE WHEN u.c_custkey IS NOT NULL THEN u.c_name ELSE t.c_name END AS c_name,
+    CASE WHEN u.c_custkey IS NOT NULL THEN u.c_acctbal ELSE t.c_acctbal END AS c_acctbal
+    FROM customer t FULL JOIN ({UPDATES}) u ON u.c_custkey = t.c_custkey""",
+)
+def upsert_scd1(t: Tables):
+    return changes.upsert(_target(t), _updates(t), ["c_custkey"])
+
+
+@query(
+    "upsert_chosen_columns",
+    f"""SELECT coalesce(t.c_custkey, u.c_custkey) AS c_custkey, CASE WHEN t.c_custkey IS NULL THEN u.c_name ELSE t.c_name END AS c_name,
+    CASE WHEN u.c_custkey IS NOT NULL THEN u.c_acctbal ELSE t.c_acctbal END AS c_acctbal
+    FROM customer t FULL JOIN ({UPDATES}) u ON u.c_custkey = t.c_custkey""",
+)
+def upsert_chosen_columns(t: Tables):
+    """Matched rows take the balance only; new rows are inserted whole."""
+    return changes.upsert(_target(t), _updates(t), ["c_custkey"], ["c_acctbal"])
+
+
+@query(
+    "insert_only",
+    f"""SELECT c_custkey, c_name, c_acctbal FROM customer
+    UNION ALL SELECT * FROM ({UPDATES}) WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""",
+)
+def insert_only(t: Tables):
+    return changes.insert_only(_target(t), _updates(t), ["c_custkey"])
+
+
+def _versions(t: Tables):
+    """Suppliers at version 0, then with changed balances, removed and new members."""
+    key = F.col("s_suppkey")
+    old = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
+    kept = old.filter(key % 7 != 0).withColumn(
+        "s_acctbal", F.when(key % 3 == 0, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal"))
+    )
+    fresh = old.filter(key % 5 == 0).withColumn("s_suppkey", key + 1_000_000)
+    return old, kept.unionByName(fresh)
+
+
+V0 = "SELECT s_suppkey, s_name, s_acctbal FROM supplier"
+V1 = """SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal FROM supplier
+    WHERE s_suppkey % 7 <> 0 UNION ALL SELECT s_suppkey + 1000000, s_name, s_acctbal FROM supplier WHERE s_suppkey % 5 = 0"""
+CHANGED = "s_suppkey % 7 <> 0 AND s_suppkey % 3 = 0"
+FEED = f"""
+    SELECT *, 'delete' AS _change_type FROM ({V0}) WHERE s_suppkey % 7 = 0
+    UNION ALL SELECT *, 'update_preimage' FROM ({V0}) WHERE {CHANGED}
+    UNION ALL SELECT s_suppkey, s_name, s_acctbal + 1, 'update_postimage' FROM ({V0}) WHERE {CHANGED}
+    UNION ALL SELECT *, 'insert' FROM ({V1}) WHERE s_suppkey >= 1000000"""
+
+
+def _log(t: Tables):
+    old, new = _versions(t)
+    start = changes.change_feed(old.limit(0), old, ["s_suppkey"], 0)
+    return start.unionByName(changes.change_feed(old, new, ["s_suppkey"], 1))
+
+
+@query("change_feed", f"SELECT *, cast(1 AS bigint) AS _commit_version FROM ({FEED})")
+def change_feed(t: Tables):
+    old, new = _versions(t)
+    return changes.change_feed(old, new, ["s_suppkey"], 1).drop(changes.COMMITTED)
+
+
+@query("change_feed_applied", V1)
+def change_feed_applied(t: Tables):
+    """The feed applied to the old version gives the new one."""
+    old, new = _versions(t)
+    return changes.apply_feed(old, changes.change_feed(old, new, ["s_suppkey"], 1), ["s_suppkey"])
+
+
+@query("as_of_version", V0)
+def as_of_version(t: Tables):
+    return changes.as_of(_log(t), ["s_suppkey"], version=0)
+
+
+@query("as_of_latest", V1)
+def as_of_latest(t: Tables):
+    return changes.as_of(_log(t), ["s_suppkey"], ts=F.current_timestamp())
+
+
+@query("restored_version", V0)
+def restored_version(t: Tables):
+    """A restore is a new version whose content is the old one."""
+    log, (_, new) = _log(t), _versions(t)
+    undo = changes.restore(log, new, ["s_suppkey"], version=0, new_version=2)
+    return changes.as_of(log.unionByName(undo), ["s_suppkey"], version=2)
+
+
+@query(
+    "version_history",
+    f"""SELECT cast(0 AS bigint) AS _commit_version, count(*) AS inserted, 0::bigint AS updated, 0::bigint AS deleted FROM supplier
+    UNION ALL SELECT 1, count(*) FILTER (_change_type = 'insert'), count(*) FILTER (_change_type = 'update_postimage'),
+    count(*) FILTER (_change_type = 'delete') FROM ({FEED})""",
+)
+def version_history(t: Tables):
+    return changes.history(_log(t)).drop(changes.COMMITTED)
+
+
+@query(
+    "repair_from_backup",
+    """SELECT cast(sum(CASE WHEN l_suppkey = 5 THEN 0 ELSE cast(l_extendedprice AS decimal(12,2)) END) AS double) AS damaged_total,
+    cast(sum(cast(l_extendedprice AS decimal(12,2))) AS double) AS repaired_total
+    FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey,
+    l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1)""",
+)
+def repair_from_backup(t: Tables):
+    """Damage, as a conditional update, then repair from the untouched copy."""
+    keys = ["l_orderkey", "l_linenumber"]
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    intact = dedup(t.lineitem, keys, order, keep="first").select(*keys, "l_suppkey", money("l_extendedprice").alias("price"))
+    broken = changes.conditional_update(intact, F.col("l_suppkey") == 5, {"price": F.lit(0)})
+    fixed = changes.repair_from(broken, intact, keys, ["price"], F.col("l_suppkey") == 5)
+    damaged = broken.agg(F.sum("price").alias("damaged_total")).scalar()
+    return fixed.agg(F.sum("price").alias("repaired_total")).select(damaged.alias("damaged_total"), "repaired_total")
+
+
+MONTHS = "SELECT l_orderkey, l_suppkey, cast(strftime(l_shipdate, '%Y%m') AS bigint) AS ship_month, l_extendedprice FROM lineitem"
+
+
+def _months(t: Tables):
+    month = F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ship_month")
+    return t.lineitem.select("l_orderkey", "l_suppkey", month, "l_extendedprice")
+
+
+@query(
+    "reload_slice",
+    f"""SELECT ship_month, count(*) AS n, cast(sum(cast(l_extendedprice AS decimal(12,2))) AS double) AS total FROM
+    (SELECT * FROM ({MONTHS}) WHERE ship_month <> 199607
+     UNION ALL SELECT l_orderkey + 1000000, l_suppkey, ship_month, l_extendedprice FROM ({MONTHS}) WHERE ship_month = 199607 AND l_suppkey % 2 = 0)
+    GROUP BY ship_month""",
+)
+def reload_slice(t: Tables):
+    """One month replaced by a delta; loaded twice, with the result of loading once."""
+    fact = _months(t)
+    delta = fact.filter("l_suppkey % 2 = 0").withColumn("l_orderkey", F.col("l_orderkey") + 1_000_000)
+    once, _ = changes.reload_slice(fact, delta, "ship_month", 199607)
+    twice, _ = changes.reload_slice(once, delta, "ship_month", 199607)
+    return twice.groupBy("ship_month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money("l_extendedprice")).alias("total")
+    )
+
+
+@query(
+    "reload_slice_log",
+    f"""SELECT 'load_lines' AS proc_name, 199607::bigint AS ship_month, count(*) AS rows_deleted,
+    count(*) FILTER (l_suppkey % 2 = 0) AS rows_inserted, 'SUCCESS' AS status, cast(NULL AS varchar) AS message
+    FROM ({MONTHS}) WHERE ship_month = 199607""",
+)
+def reload_slice_log(t: Tables):
+    fact = _months(t)
+    _, log = changes.reload_slice(fact, fact.filter("l_suppkey % 2 = 0"), "ship_month", 199607, "load_lines")
+    return log.drop("log_ts")
+
+
+@query(
+    "slice_load_run",
+    f"""WITH s AS (SELECT count(*) AS n, count(*) FILTER (ship_month = 199607) AS a,
+    count(*) FILTER (ship_month = 199607 AND l_suppkey % 2 = 0) AS h FROM ({MONTHS}))
+    SELECT 1::bigint AS run, a AS rows_deleted, h AS rows_inserted, 'SUCCESS' AS status, n - a + h AS fact_rows FROM s
+    UNION ALL SELECT 2, h, h, 'SUCCESS', n - a + h FROM s""",
+)
+def slice_load_run(t: Tables):
+    """The load run twice against a partitioned folder, with its log and the fact count after each run."""
+    path = scratch(t.spark, "fact")
+    fact = _months(t)
+    write_partitioned(fact, path, ["ship_month"])
+    delta = fact.filter("l_suppkey % 2 = 0")
+    runs = []
+    for run in (1, 2):
+        log = changes.run_slice_load(t.spark, path, delta, "ship_month", 199607)
+        rows = t.spark.read.parquet(path).count()
+        runs.append(log.select(F.lit(run).alias("run"), "rows_deleted", "rows_inserted", "status", F.lit(rows).alias("fact_rows")))
+    return runs[0].unionByName(runs[1])
+
+
+@query(
+    "deleted_rows",
+    "SELECT o_orderkey, status FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders) "
+    "WHERE status IS NULL OR status <> 'F'",
+)
+def deleted_rows(t: Tables):
+    """Delete by predicate; rows for which it is unknown stay."""
+    rows = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"))
+    return changes.delete_where(rows, F.col("status") == "F")
+
+
+@query("guarded_rows", "SELECT o_orderkey, o_totalprice FROM orders")
+def guarded_rows(t: Tables):
+    """Rows under a constraint that all of them meet; the first violation would stop the job."""
+    return guarded(t.orders.select("o_orderkey", "o_totalprice"), "positive price", F.col("o_totalprice") >= 0)

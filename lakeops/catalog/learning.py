@@ -1 +1,46 @@
-"""placeholder"""
+"""Model training and scoring over the given tables; these have no SQL equivalent."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeops.catalog import domains as d
+from lakeops.catalog.base import Tables, query
+from lakeops.operators import forest
+from lakeops.operators.aggregates import split_random
+from lakeops.plans import banking, churn
+from lakeops.operators.quality import quarantine
+
+NUMERIC, CATEGORICAL = ["amount_usd"], ["channel"]
+
+
+def _transactions(t: Tables):
+    valid, _ = quarantine(d.bank(t), banking.rules())
+    rows = banking.conform(valid, ["txn_ts", "account_id", "amount"])
+    rows = rows.withColumn("amount_usd", F.col("amount_usd").cast("double"))
+    return forest.threshold_label(rows, "amount_usd", 100.0, "is_flagged")
+
+
+@query("forest_sweep_auc")
+def forest_sweep_auc(t: Tables):
+    """Metrics per (trees, depth) on held-out rows."""
+    train, test = split_random(_transactions(t), 0.8, 42)
+    grid = ((5, 2), (10, 4))
+    return forest.sweep(train, test, "is_flagged", NUMERIC, CATEGORICAL, grid)[1]
+
+
+@query("fraud_scores")
+def fraud_scores(t: Tables):
+    """All transactions scored by the best model."""
+    rows = _transactions(t)
+    train, _ = split_random(rows, 0.8, 42)
+    model = forest.fit_forest(train, "is_flagged", NUMERIC, CATEGORICAL, trees=10, depth=4)
+    return forest.score(model, rows, "fraud_score").select("txn_id", "channel", "amount_usd", "fraud_score")
+
+
+@query("churn_risk_bands")
+def churn_risk_bands(t: Tables):
+    """Held-out subscribers with their churn probability and band."""
+    features = churn.churn_features(d.subscribers(t), d.usage(t))
+    model, test, _ = churn.train_churn(features, trees=20, depth=5)
+    return churn.churn_predictions(model, test)

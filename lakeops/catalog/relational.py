@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, mean_cents, query
@@ -25,7 +26,7 @@ from lakeops.sources.sinks import publish_views
     strftime(o_orderdate, '%A') AS day_name, cast(strftime(o_orderdate, '%Y%m%d') AS bigint) AS date_key,
     right('000000000' || cast(o_custkey AS varchar), 9) AS customer_code, left(o_orderpriority, 1) AS rank_digit,
     replace(substr(o_orderpriority, 3), ' ', '_') AS priority_name,
-    cast(o_orderdate AS date) + 30 AS due_date, cast(o_totalprice AS bigint) AS whole_price FROM orders""",
+    cast(o_orderdate AS date) + 30 AS due_date, cast(floor(o_totalprice) AS bigint) AS whole_price FROM orders""",
 )
 def column_basics(t: Tables):
     """Select, rename, add and drop columns; text, date and cast functions."""
@@ -42,7 +43,7 @@ def column_basics(t: Tables):
             "rank_digit": F.left("o_orderpriority", F.lit(1)),
             "priority_name": F.replace(F.substring("o_orderpriority", 3, 100), F.lit(" "), F.lit("_")),
             "due_date": F.date_add(day, 30),
-            "whole_price": F.round("o_totalprice").cast("bigint"),
+            "whole_price": F.floor("o_totalprice"),
         })
         .withColumnRenamed("o_orderstatus", "status")
         .drop("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -155,8 +156,6 @@ def high_value_view(t: Tables):
 )
 def json_props_parse(t: Tables):
     """Message payload to typed columns, envelope time kept."""
-    from pyspark.sql import types as T
-
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     messages = t.events.withColumnRenamed("ts", "enqueued_ts")
     return parse_payload(messages, F.col("props").cast("binary"), schema, "event_id", "enqueued_ts")
@@ -192,7 +191,7 @@ def risk_bucket_row_query(t: Tables):
 
 @query(
     "broadcast_enrich",
-    """SELECT l_orderkey, l_linenumber, l_extendedprice, n_name, r_name FROM lineitem
+    """SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, l_extendedprice, n_name, r_name FROM lineitem
     LEFT JOIN (SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
                JOIN region ON n_regionkey = r_regionkey) ON s_suppkey = l_suppkey""",
 )

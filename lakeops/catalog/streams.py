@@ -1 +1,109 @@
-"""placeholder"""
+"""Streaming queries: events land as JSON files, are ingested as a stream and read back as a batch table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeops.catalog import domains as d
+from lakeops.catalog.base import Tables, query
+from lakeops.catalog.domains import with_
+from lakeops.functions.scalars import money
+from lakeops.plans import telemetry
+from lakeops.session import scratch
+from lakeops.sources.sinks import write_json_batch
+from lakeops.streaming import ingest
+
+SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+
+
+def _rows(t: Tables):
+    """Events as landed rows; error events have no value."""
+    value = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    return t.events.select("event_id", "ts", "user_id", "event_type", value)
+
+
+def _ingested(t: Tables):
+    landing, table, state = (scratch(t.spark, x) for x in ("landing", "bronze", "state"))
+    for part in range(2):
+        write_json_batch(_rows(t).filter(F.col("event_id") % 2 == part), f"{landing}/batch_{part:03d}")
+    for _ in range(2):  # the second run finds nothing new
+        stream = ingest.stream_json(t.spark, landing, SCHEMA, max_files=10)
+        timed = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+        ingest.finish(ingest.append_stream(ingest.clean_stream(timed, "value", "ts"), table, state))
+    return t.spark.read.parquet(table)
+
+
+@query(
+    "stream_ingest_equals_batch",
+    """SELECT event_type, cast(ts AS date) AS day, count(*) AS n, cast(sum(cast(value AS decimal(12,2))) AS double) AS total,
+    true AS stamped FROM events WHERE event_type <> 'error' GROUP BY ALL""",
+)
+def stream_ingest_equals_batch(t: Tables):
+    """Stream run twice on one checkpoint; the table equals the batch result."""
+    return (
+        _ingested(t)
+        .groupBy("event_type", F.to_date("ts").alias("day"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(money("value")).alias("total"),
+            F.bool_and(F.col("ingest_ts").isNotNull()).alias("stamped"),
+        )
+    )
+
+
+@query(
+    "stream_upsert_latest",
+    """SELECT * EXCLUDE (rn) FROM (SELECT user_id, event_type, ts, event_id, value, row_number() OVER (PARTITION BY user_id, event_type
+    ORDER BY event_id % 2 DESC, ts DESC, event_id DESC) AS rn FROM (SELECT event_id, ts, user_id, event_type, CASE WHEN event_type <> 'error'
+    THEN value END AS value FROM events)) WHERE rn = 1""",
+)
+def stream_upsert_latest(t: Tables):
+    """Current row per key after two landings, each upserted by its own run on one checkpoint."""
+    landing, table, state = (scratch(t.spark, x) for x in ("landing", "silver", "state"))
+    keys = ["user_id", "event_type"]
+    for part in range(2):
+        write_json_batch(_rows(t).filter(F.col("event_id") % 2 == part), f"{landing}/batch_{part:03d}")
+        stream = ingest.stream_json(t.spark, landing, SCHEMA)
+        ingest.finish(ingest.stream_upsert(stream, keys, ["ts", "event_id"], table, state))
+    return ingest.current_rows(t.spark, table, keys)
+
+
+@query(
+    "stream_messages_parsed",
+    """SELECT cast(json_extract_string(props, '$.k') AS bigint) AS k, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY 1""",
+)
+def stream_messages_parsed(t: Tables):
+    """Message log as a stream: binary payload parsed, enqueue time kept."""
+    landing, table, state = (scratch(t.spark, x) for x in ("log", "parsed", "state"))
+    t.events.select(F.col("props").cast("binary").alias("value"), F.col("ts").alias("timestamp")).write.parquet(landing)
+    log = t.spark.readStream.schema("value binary, timestamp timestamp_ntz").parquet(landing)
+    parsed = ingest.stream_messages(log, T.StructType([T.StructField("k", T.LongType())]))
+    ingest.finish(ingest.append_stream(parsed, table, state))
+    rows = t.spark.read.parquet(table)
+    return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("enqueued_ts").alias("last_seen"))
+
+
+@query(
+    "stream_to_anomalies",
+    with_(
+        "readings plausible scored flags",
+        "SELECT machine_id, machine_type, line, count(*) AS anomalous_reading_count FROM flags GROUP BY ALL",
+    ),
+)
+def stream_to_anomalies(t: Tables):
+    """Readings streamed to a bronze folder, then cleaned and scored as a batch."""
+    landing, table, state = (scratch(t.spark, x) for x in ("landing", "bronze", "state"))
+    readings = d.readings(t)
+    write_json_batch(readings, f"{landing}/batch_000")
+    stream = ingest.stream_json(t.spark, landing, readings.schema)
+    ingest.finish(ingest.append_stream(stream, table, state))
+    passed, _ = telemetry.plausible(t.spark.read.parquet(table))
+    flags = telemetry.anomaly_flags(passed, d.machines(t))
+    return telemetry.maintenance_queue(flags).select("machine_id", "machine_type", "line", "anomalous_reading_count")

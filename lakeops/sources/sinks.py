@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Managed table replaced together with its schema; with ``path`` the files lie there."""
@@ -40,8 +42,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
 
 
 def write_json_batch(df: DataFrame, path: str, files: int | None = None) -> None:
-    """One JSON-lines batch folder; ``files=1`` only for small landing batches."""
-    (df.coalesce(files) if files else df).write.mode("append").json(path)
+    """One JSON-lines batch folder, times with microseconds; ``files=1`` only for small landing batches."""
+    writer = (df.coalesce(files) if files else df).write.mode("append")
+    writer.option("timestampNTZFormat", MICROS).option("timestampFormat", f"{MICROS}XXX").json(path)
 
 
 def create_table_if_missing(spark: SparkSession, name: str, ddl: str, partition_cols: list[str] | None = None) -> None:
