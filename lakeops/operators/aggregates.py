@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.joins import heavy_keys, join_salting_hot
+from lakeops.operators.joins import join_salting_hot
 
 
 def pivot_counts(df: DataFrame, group: list[str], pivot_col: str, values: list[str]) -> DataFrame:
@@ -22,18 +22,19 @@ def top_k(df: DataFrame, group: list[str], measure: Column, name: str, k: int) -
     return totals.orderBy(F.desc(name), *group).limit(k)
 
 
-def zscores(df: DataFrame, key: str, metrics: dict[str, str], hot_share: float | None = None) -> DataFrame:
+def zscores(df: DataFrame, key: str, metrics: dict[str, str], hot_share: float = 0.01) -> DataFrame:
     """Distance of each reading from its key's own mean in sample standard deviations.
 
     ``metrics`` maps a column to the name of its score. A constant or single reading has no score (null).
+    The statistics are pre-aggregated map-side and also tell which keys are hot; readings of keys above
+    ``hot_share`` of all rows are spread by a salt when the statistics are joined back.
     """
     stats = df.groupBy(key).agg(
-        *[f(m).alias(f"_{p}_{m}") for m in metrics for p, f in (("avg", F.avg), ("std", F.stddev_samp))]
+        F.count(F.lit(1)).alias("_n"),
+        *[f(m).alias(f"_{p}_{m}") for m in metrics for p, f in (("avg", F.avg), ("std", F.stddev_samp))],
     )
-    if hot_share is None:
-        joined = df.join(stats, key)
-    else:
-        joined = join_salting_hot(df, stats, key, heavy_keys(df, key, hot_share))
+    cut = stats.agg((F.sum("_n") * F.lit(hot_share)).alias("_cut")).scalar()
+    joined = join_salting_hot(df, stats.drop("_n"), key, stats.filter(F.col("_n") > cut).select(key))
     scores = {
         score: F.try_divide(F.col(m) - F.col(f"_avg_{m}"), F.col(f"_std_{m}")) for m, score in metrics.items()
     }

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.scalars import holds
 
@@ -16,10 +17,14 @@ def dedup(df: DataFrame, keys: list[str], order_by: list[str], keep: str = "last
     ``order_by`` should end in tie-breaking columns; then the survivor is fixed. The ``= 1`` filter over
     ``row_number`` lets Catalyst keep one candidate per key and map task before the shuffle
     (``WindowGroupLimit``), so a key holding a large share of the rows reaches the reducer as a few rows.
+    Text keys are sorted by a hash first: ids with a common prefix are then told apart without comparing text.
     """
     order = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order_by]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rn", rank).filter("_rn = 1").drop("_rn")
+    by = [*keys]
+    if any(isinstance(df.schema[k].dataType, T.StringType) for k in keys):
+        df, by = df.withColumn("_hash", F.xxhash64(*keys)), ["_hash", *keys]
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_rn", rank).filter("_rn = 1").drop("_rn", "_hash")
 
 
 def distinct_rows(df: DataFrame, keys: list[str]) -> DataFrame:

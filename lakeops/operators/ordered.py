@@ -99,7 +99,8 @@ def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: in
     if crowded and len(order_by) > 1:
         out = out.withColumn("_w", _sortable(df, order_by[1]))
         in_crowd = F.col("_hot") & F.col("_v").isin(crowded)
-        out = _bucket(out, "_w", "_c", _cuts(out.filter(in_crowd).select("_w"), "_w", blocks))
+        parts = 2 * max(cuts.count(v) for v in crowded)
+        out = _bucket(out, "_w", "_c", _cuts(out.filter(in_crowd).select("_w"), "_w", parts))
         out = out.withColumn("_sub", F.when(in_crowd, F.col("_c").cast("int")).otherwise(0))
         cols.append("_sub")
     return Blocks(out.select(*df.columns, *cols), cols)

@@ -18,9 +18,14 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Typed CSV split into parsed rows and rows that did not fit the schema.
 
-    The corrupt-record field must be part of the schema, otherwise Spark drops the text. Both results
-    name data columns, so neither is a scan of the corrupt field alone.
+    The corrupt-record field must be part of the schema, otherwise Spark drops the text.
     """
+    rows = read_csv_marked(spark, path, schema)
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull())
+
+
+def read_csv_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Typed CSV with every row kept; the text of a row that did not fit is in ``_corrupt_record``."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(wide)
@@ -29,8 +34,10 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> tupl
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, rows.filter(F.col(CORRUPT).isNotNull())
+    # Always true, but it names every field: Spark converts only the fields a query needs, and a row counts as
+    # corrupt by the fields that were converted.
+    empty = sum((F.col(c).isNull().cast("int") for c in schema.names), F.lit(0))
+    return rows.filter(empty >= 0)
 
 
 def read_json_document(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
