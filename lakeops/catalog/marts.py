@@ -12,6 +12,7 @@ from lakeops.operators.clean import distinct_rows
 from lakeops.operators.ordered import surrogate_key
 from lakeops.operators.quality import gate_metrics, quarantine
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry, visits
+from lakeops.session import stored
 from lakeops.sources.readers import calendar, day_bounds
 
 # --- retail ---------------------------------------------------------------------------------------------
@@ -351,6 +352,11 @@ def _carrier_dim(t: Tables):
 
 
 def _fact(t: Tables):
+    """The fact created as a table, as its reports expect it: their filters reach its scan."""
+    return stored(_fact_rows(t), "fact")
+
+
+def _fact_rows(t: Tables):
     return shipments.fact_shipments(d.staging(t), d.segments(t), d.hubs(t), _carrier_dim(t))
 
 
@@ -367,7 +373,7 @@ FACT = "staging carrier_dim fact"
                 "freight_amount, cast(carrier_key AS bigint) AS carrier_key) FROM fact"),
 )
 def shipment_fact(t: Tables):
-    return _fact(t)
+    return _fact_rows(t)
 
 
 @query(
@@ -474,7 +480,7 @@ def _hospital(t: Tables):
     doctors = surrogate_key(d.doctors(t), ["doctor_id"], "doctor_key")
     patients = hospital.patient_dim(d.patients(t))
     fact = hospital.fact_admissions(d.admissions(t), patients, doctors, departments)
-    return fact, patients, doctors, departments
+    return stored(fact, "admissions"), patients, doctors, departments
 
 
 HOSPITAL = "hospital_departments hospital_patients hospital_fact"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.joins import join_salting_hot
+from lakeops.operators.joins import BROADCAST_BYTES, join_salting_hot, measured_bytes
+from lakeops.session import stored
 
 
 def pivot_counts(df: DataFrame, group: list[str], pivot_col: str, values: list[str]) -> DataFrame:
@@ -26,15 +27,22 @@ def zscores(df: DataFrame, key: str, metrics: dict[str, str], hot_share: float =
     """Distance of each reading from its key's own mean in sample standard deviations.
 
     ``metrics`` maps a column to the name of its score. A constant or single reading has no score (null).
-    The statistics are pre-aggregated map-side and also tell which keys are hot; readings of keys above
-    ``hot_share`` of all rows are spread by a salt when the statistics are joined back.
+    The statistics are combined map-side and stored once. Measured small they are broadcast and the readings
+    are not shuffled; otherwise they tell which keys hold more than ``hot_share`` of the rows, and the
+    readings of those keys are spread by a salt.
     """
-    stats = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[f(m).alias(f"_{p}_{m}") for m in metrics for p, f in (("avg", F.avg), ("std", F.stddev_samp))],
+    stats = stored(
+        df.groupBy(key).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[f(m).alias(f"_{p}_{m}") for m in metrics for p, f in (("avg", F.avg), ("std", F.stddev_samp))],
+        )
     )
-    cut = stats.agg((F.sum("_n") * F.lit(hot_share)).alias("_cut")).scalar()
-    joined = join_salting_hot(df, stats.drop("_n"), key, stats.filter(F.col("_n") > cut).select(key))
+    size = measured_bytes(stats)
+    if size is not None and size <= BROADCAST_BYTES:
+        joined = df.join(F.broadcast(stats.drop("_n")), key)
+    else:
+        cut = stats.agg((F.sum("_n") * F.lit(hot_share)).alias("_cut")).scalar()
+        joined = join_salting_hot(df, stats.drop("_n"), key, stats.filter(F.col("_n") > cut).select(key))
     scores = {
         score: F.try_divide(F.col(m) - F.col(f"_avg_{m}"), F.col(f"_std_{m}")) for m, score in metrics.items()
     }

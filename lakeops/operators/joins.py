@@ -40,7 +40,7 @@ def dim_lookup(
 def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys holding more than ``share`` of the rows. At most ``1 / share`` keys can, which bounds the result."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    cut = df.agg((F.count(F.lit(1)) * F.lit(share)).alias("_cut")).scalar()
+    cut = counts.agg((F.sum("_n") * F.lit(share)).alias("_cut")).scalar()
     return counts.filter(F.col("_n") > cut).select(key)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.session import checkpointed
+from lakeops.session import stored
 
 # A key with fewer rows than this is never cut: one task sorts that many without trouble.
 HOT_ROWS = 5_000_000
@@ -60,27 +60,28 @@ def _bucket(df: DataFrame, source: str, out: str, cuts: list[float]) -> DataFram
     return Bucketizer(splits=edges, inputCol=source, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[list, int, int]:
-    """Keys too large for one task, the rows they hold, and the number of blocks to cut them into.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[list, int]:
+    """Keys too large for one task, and the number of blocks to cut them into.
 
-    A key is hot when it has at least ``hot_rows`` rows and more than an average shuffle partition; there are
-    no more such keys than shuffle partitions, which bounds what reaches the driver.
+    Candidates have at least ``hot_rows`` rows; of these the largest are taken, as many as there are shuffle
+    partitions. Any key beyond them is smaller than an average partition, and the driver sees no more rows.
+    Only the key columns are read, and the counts are combined map-side.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg((F.count(F.lit(1)) / F.lit(parts)).alias("_t")).scalar()
-    rows = counts.filter((F.col("_n") >= F.lit(hot_rows)) & (F.col("_n") > total)).collect()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows)
+    rows = counts.orderBy(F.desc("_n")).limit(parts).collect()
     held = sum(r["_n"] for r in rows)
-    return rows, held, max(1, min(4 * parts, math.ceil(held / hot_rows)))
+    return rows, max(1, min(4 * parts, math.ceil(held / hot_rows)))
 
 
-def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: int = HOT_ROWS) -> Blocks:
+def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: int | None = HOT_ROWS) -> Blocks:
     """Give the rows of hot keys a block that rises along ``order_by``; without hot keys nothing changes.
 
     Blocks follow quantiles of the first order column. A value so frequent that it fills blocks alone gets a
-    block of its own, cut again along the second order column.
+    block of its own, cut again along the second order column. ``hot_rows=None`` skips the count, for keys
+    whose number of rows is bounded by their meaning.
     """
-    hot, held, blocks = hot_keys(df, keys, hot_rows)
+    hot, blocks = hot_keys(df, keys, hot_rows) if hot_rows is not None else ([], 1)
     if not hot:
         return Blocks(df)
     spark = df.sparkSession
@@ -113,7 +114,7 @@ def windowed(
     number: str | None = None,
     lags: Mapping[str, str] | None = None,
     sums: Mapping[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Sequence number, previous value and running total per key, ascending along ``order_by``.
 
@@ -173,7 +174,7 @@ def _carry(
 
 
 def sequence_and_gaps(
-    df: DataFrame, entity: list[str], order_by: list[str], day: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, entity: list[str], order_by: list[str], day: str, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Visit number and days since the previous visit of the same entity."""
     seen = windowed(df, entity, order_by, number="visit_number", lags={"_prev": day}, hot_rows=hot_rows)
@@ -181,7 +182,7 @@ def sequence_and_gaps(
 
 
 def dense_rank_by(
-    df: DataFrame, group: list[str], measure: str, out: str, descending: bool = True, hot_rows: int = HOT_ROWS
+    df: DataFrame, group: list[str], measure: str, out: str, descending: bool = True, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Dense rank of ``measure`` within its group; nulls rank last when descending, first when ascending.
 
@@ -208,7 +209,7 @@ def surrogate_key(df: DataFrame, order_by: list[str], out: str) -> DataFrame:
     position; each partition then only needs the row count of those before it. ``order_by`` must be unique.
     """
     position = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    laid_out = checkpointed(
+    laid_out = stored(
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_part", F.spark_partition_id())

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from lakeops.operators.clean import dedup, fill, null_out
 from lakeops.operators.joins import broadcast_join
 from lakeops.operators.ordered import HOT_ROWS, dense_rank_by, sequence_and_gaps
+from lakeops.session import stored
 from lakeops.sources.readers import flatten_json
 
 SCHEMA = T.StructType([
@@ -37,10 +38,14 @@ def clean_visits(visits: DataFrame) -> DataFrame:
 
 
 def ranked_visits(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Visit number, days since the previous visit, and rank of the age within the department."""
-    by_age = dense_rank_by(clean, ["department"], "age", "dept_rank_by_age", hot_rows=hot_rows)
+    """Visit number, days since the previous visit, and rank of the age within the department.
+
+    The cleaned visits are stored, since both steps look at them more than once. A department has few
+    distinct ages, so their ranks need no cutting.
+    """
     order = ["visit_date", "department", "diagnosis_code"]
-    return sequence_and_gaps(by_age, ["patient_id"], order, "visit_date", hot_rows=hot_rows)
+    numbered = sequence_and_gaps(stored(clean), ["patient_id"], order, "visit_date", hot_rows=hot_rows)
+    return dense_rank_by(numbered, ["department"], "age", "dept_rank_by_age", hot_rows=None)
 
 
 def enrich(clean: DataFrame, departments: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster deployment starts from. AQE sizes the shuffles at run time; skewed
 # join partitions are split even where that costs one more exchange.
@@ -61,9 +61,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Write ``df`` to the shared folder and cut its lineage, so later passes read one fixed layout."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    For results that several passes need: the lineage is cut, every pass sees the same rows whatever
+    executors are lost, and each pass scans only the columns it uses.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
