@@ -114,7 +114,7 @@ def date_key(day: str | Column) -> Column:
 
 def text_date_key(text: str | Column) -> Column:
     """ISO date text as the integer yyyymmdd."""
-    return F.regexp_replace(col(text), "-", "").try_cast("int")
+    return F.replace(col(text), F.lit("-"), F.lit("")).try_cast("int")
 
 
 def zero_padded(number: str | Column, width: int) -> Column:
