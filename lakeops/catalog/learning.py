@@ -8,17 +8,19 @@ from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, query
 from lakeops.operators import forest
 from lakeops.operators.aggregates import split_random
-from lakeops.plans import banking, churn
 from lakeops.operators.quality import quarantine
+from lakeops.plans import banking, churn
+from lakeops.session import stored
 
 NUMERIC, CATEGORICAL = ["amount_usd"], ["channel"]
 
 
 def _transactions(t: Tables):
+    """Labelled transactions, stored: training reads its rows many times."""
     valid, _ = quarantine(d.bank(t), banking.rules())
     rows = banking.conform(valid, ["txn_ts", "account_id", "amount"])
     rows = rows.withColumn("amount_usd", F.col("amount_usd").cast("double"))
-    return forest.threshold_label(rows, "amount_usd", 100.0, "is_flagged")
+    return stored(forest.threshold_label(rows, "amount_usd", 100.0, "is_flagged"), "labelled")
 
 
 @query("forest_sweep_auc")
@@ -41,6 +43,6 @@ def fraud_scores(t: Tables):
 @query("churn_risk_bands")
 def churn_risk_bands(t: Tables):
     """Held-out subscribers with their churn probability and band."""
-    features = churn.churn_features(d.subscribers(t), d.usage(t))
+    features = stored(churn.churn_features(d.subscribers(t), d.usage(t)), "features")
     model, test, _ = churn.train_churn(features, trees=20, depth=5)
     return churn.churn_predictions(model, test)

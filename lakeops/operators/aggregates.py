@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.joins import BROADCAST_BYTES, join_salting_hot, measured_bytes
+from lakeops.operators.joins import fits_broadcast, join_salting_hot
 from lakeops.session import stored
 
 
@@ -37,8 +37,7 @@ def zscores(df: DataFrame, key: str, metrics: dict[str, str], hot_share: float =
             *[f(m).alias(f"_{p}_{m}") for m in metrics for p, f in (("avg", F.avg), ("std", F.stddev_samp))],
         )
     )
-    size = measured_bytes(stats)
-    if size is not None and size <= BROADCAST_BYTES:
+    if fits_broadcast(stats):
         joined = df.join(F.broadcast(stats.drop("_n")), key)
     else:
         cut = stats.agg((F.sum("_n") * F.lit(hot_share)).alias("_cut")).scalar()

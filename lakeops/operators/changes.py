@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import holds
 from lakeops.operators.clean import dedup
-from lakeops.operators.joins import BROADCAST_BYTES, measured_bytes
+from lakeops.operators.joins import fits_broadcast
 from lakeops.sources.sinks import overwrite_partitions
 
 CHANGE_TYPE, VERSION, COMMITTED = "_change_type", "_commit_version", "_commit_timestamp"
@@ -30,11 +30,6 @@ def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
-def _small(df: DataFrame) -> bool:
-    size = measured_bytes(df)
-    return size is not None and size <= BROADCAST_BYTES
-
-
 def _hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
@@ -59,7 +54,7 @@ def upsert(
     source = updates.select(*target.columns)
     fresh = source.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in rest], F.lit(True).alias("_in_u"))
 
-    if _small(source):
+    if fits_broadcast(source):
         merged = target.join(F.broadcast(fresh), keys, "left")
         kept = merged.select(
             *[
@@ -79,7 +74,7 @@ def upsert(
 
 def insert_only(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Add the rows whose key is new; rows already there never change."""
-    return target.unionByName(_new_rows(updates, target, keys, _small(updates.select(*keys))))
+    return target.unionByName(_new_rows(updates, target, keys, fits_broadcast(updates.select(*keys))))
 
 
 def conditional_update(df: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:

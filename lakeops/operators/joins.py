@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 100 * 1024 * 1024
-BROADCAST_ROWS = 1_000_000
 
 
-def measured_bytes(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> int | None:
-    """Size of the rows as text, or None when there are more than ``max_rows``. One job, at most that many rows."""
+def measured_bytes(df: DataFrame) -> int:
+    """Size of all rows as text. One pass that returns one number; meant for the side expected to be small."""
     width = F.octet_length(F.to_json(F.struct("*")))
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return None if row["n"] > max_rows else int(row["bytes"] or 0)
+    return int(df.agg(F.sum(width.cast("long"))).first()[0] or 0)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(df) <= max_bytes
 
 
 def broadcast_join(
@@ -23,9 +25,7 @@ def broadcast_join(
 
     A larger one is joined without a hint: a shuffled join, where AQE splits skewed partitions.
     """
-    size = measured_bytes(dim)
-    fits = size is not None and size <= max_bytes
-    return fact.join(F.broadcast(dim) if fits else dim, on, how)
+    return fact.join(F.broadcast(dim) if fits_broadcast(dim, max_bytes) else dim, on, how)
 
 
 def dim_lookup(

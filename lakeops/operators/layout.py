@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.ordered import _bucket, _cuts, _sortable
+from lakeops.operators.ordered import bucketed, quantile_cuts, sortable
 
 
 def compact(spark: SparkSession, source: str, target: str) -> None:
@@ -29,11 +33,10 @@ def with_z_order(df: DataFrame, cols: list[str], bits: int = 6) -> DataFrame:
     Quantiles keep the curve balanced for any value distribution; only ``2 ** bits`` numbers per column
     reach the driver.
     """
-    values = df.select(*[_sortable(df, c).alias(f"_v_{c}") for c in cols])
-    out = df
-    for c in cols:
-        out = out.withColumn(f"_v_{c}", _sortable(df, c))
-        out = _bucket(out, f"_v_{c}", f"_q_{c}", _cuts(values, f"_v_{c}", 2**bits))
+    out = df.withColumns({f"_v_{c}": sortable(df, c) for c in cols})
+    cuts = quantile_cuts(out.select(*[f"_v_{c}" for c in cols]), 2**bits)
+    for c, column_cuts in zip(cols, cuts, strict=True):
+        out = bucketed(out, f"_v_{c}", f"_q_{c}", column_cuts)
         out = out.withColumn(f"_q_{c}", F.col(f"_q_{c}").cast("int"))
     marks = [f"_q_{c}" for c in cols]
     return out.withColumn("_z", z_value(marks, bits)).select(*df.columns, "_z")
@@ -69,3 +72,13 @@ def column_statistics(spark: SparkSession, table: str, cols: list[str]) -> None:
 def reshape(df: DataFrame, files: int, by: list[str] | None = None) -> DataFrame:
     """More or better spread partitions by a shuffle on ``by``, or fewer without a shuffle."""
     return df.repartition(files, *by) if by else df.coalesce(files)
+
+
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows kept in memory, spilled to disk where they do not fit, and released at the end of the block."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -30,7 +30,7 @@ class Blocks:
     cols: list[str] = field(default_factory=list)
 
 
-def _sortable(df: DataFrame, name: str) -> Column:
+def sortable(df: DataFrame, name: str) -> Column:
     """The column as a double that rises with it; null sorts lowest, as in Spark's ascending order."""
     kind, c = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.NumericType):
@@ -46,14 +46,19 @@ def _sortable(df: DataFrame, name: str) -> Column:
     return F.coalesce(number, F.lit(float("-inf")))
 
 
-def _cuts(values: DataFrame, column: str, blocks: int) -> list[float]:
-    """Approximate quantiles that cut the column into ``blocks`` parts; only these few numbers reach the driver."""
-    probabilities = [i / blocks for i in range(1, blocks)]
-    found = values.approxQuantile(column, probabilities, 1.0 / (4 * blocks)) if probabilities else []
-    return [v for v in found if math.isfinite(v)]
+def quantile_cuts(values: DataFrame, blocks: int) -> list[list[float]]:
+    """Per column the approximate quantiles that cut it into ``blocks`` parts, all columns in one pass.
+
+    Only these few numbers reach the driver.
+    """
+    if blocks < 2:
+        return [[] for _ in values.columns]
+    found = values.approxQuantile(values.columns, [i / blocks for i in range(1, blocks)], 1.0 / (4 * blocks))
+    return [[v for v in cuts if math.isfinite(v)] for cuts in found]
 
 
-def _bucket(df: DataFrame, source: str, out: str, cuts: list[float]) -> DataFrame:
+def bucketed(df: DataFrame, source: str, out: str, cuts: list[float]) -> DataFrame:
+    """Number of the interval between the cuts that holds the value."""
     edges = [-math.inf, *sorted(set(cuts)), math.inf]
     if len(edges) < 3:
         return df.withColumn(out, F.lit(0.0))
@@ -91,20 +96,20 @@ def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: in
     same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys]
     marked = df.join(marks, same, "left").drop(*[f"_m_{k}" for k in keys])
 
-    marked = marked.withColumn("_v", _sortable(df, order_by[0]))
-    cuts = _cuts(marked.filter("_hot").select("_v"), "_v", blocks)
+    marked = marked.withColumn("_v", sortable(df, order_by[0]))
+    cuts = quantile_cuts(marked.filter("_hot").select("_v"), blocks)[0]
     crowded = sorted({v for v in cuts if cuts.count(v) > 1})
-    marked = _bucket(marked, "_v", "_b", [*cuts, *[math.nextafter(v, math.inf) for v in crowded]])
+    marked = bucketed(marked, "_v", "_b", [*cuts, *[math.nextafter(v, math.inf) for v in crowded]])
     out = marked.withColumn("_block", F.when(F.col("_hot"), F.col("_b").cast("int")).otherwise(0))
     cols = ["_block"]
     if crowded and len(order_by) > 1:
-        out = out.withColumn("_w", _sortable(df, order_by[1]))
+        out = out.withColumn("_w", sortable(df, order_by[1]))
         in_crowd = F.col("_hot") & F.col("_v").isin(crowded)
         parts = 2 * max(cuts.count(v) for v in crowded)
-        out = _bucket(out, "_w", "_c", _cuts(out.filter(in_crowd).select("_w"), "_w", parts))
+        out = bucketed(out, "_w", "_c", quantile_cuts(out.filter(in_crowd).select("_w"), parts)[0])
         out = out.withColumn("_sub", F.when(in_crowd, F.col("_c").cast("int")).otherwise(0))
         cols.append("_sub")
-    return Blocks(out.select(*df.columns, *cols), cols)
+    return Blocks(out.select(*df.columns, *cols, "_hot"), cols)
 
 
 def windowed(
@@ -143,7 +148,7 @@ def _carry(
 ) -> DataFrame:
     """Add what the earlier blocks of a key contribute to each of its blocks."""
     last_row = F.struct(*order_by)
-    ends = cut.df.groupBy(*keys, *cut.cols).agg(
+    ends = cut.df.filter("_hot").groupBy(*keys, *cut.cols).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_s_{out}") for out, c in sums.items()],
         *[F.max_by(F.struct(F.col(c).alias("v")), last_row).alias(f"_l_{out}") for out, c in lags.items()],

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,27 +22,29 @@ class ExpectationError(RuntimeError):
     """Rows violate a declared expectation."""
 
 
+def all_hold(rules: Mapping[str, Column]) -> Column:
+    """Conjunction of the rules; unknown where a rule is unknown and none is false."""
+    return reduce(and_, rules.values())
+
+
 def failed_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row does not meet, joined by commas; empty for a good row."""
     return F.concat_ws(",", *[F.when(~holds(rule), F.lit(name)) for name, rule in rules.items()])
 
 
-def flag(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    return df.withColumn(REASON, failed_rules(rules))
-
-
 def quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with a reason.
 
-    An unknown predicate (null input) rejects, so valid and rejected together are the input.
+    An unknown predicate (null input) rejects, so valid and rejected together are the input. The rules are
+    plain conjuncts of the valid side, so they reach its scan.
     """
-    flagged = flag(df, rules)
-    return flagged.filter(F.col(REASON) == "").drop(REASON), flagged.filter(F.col(REASON) != "")
+    good = all_hold(rules)
+    return df.filter(good), df.filter(~holds(good)).withColumn(REASON, failed_rules(rules))
 
 
 def gate_metrics(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """One row: rows in the batch, valid, rejected and rejected share. One pass, no separate counts."""
-    bad = F.count_if(failed_rules(rules) != "")
+    bad = F.count_if(~holds(all_hold(rules)))
     total = F.count(F.lit(1))
     return df.agg(
         total.alias("batch_rows"),

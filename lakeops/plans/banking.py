@@ -76,11 +76,11 @@ def run_day(spark: SparkSession, source: str, root: str, control: str, run_date:
         return {"batch_date": run_date, "skipped": True}
 
     raw = spark.read.schema(SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(source)
-    overwrite_partitions(add_lineage(raw, run_date), f"{root}/bronze", ["_batch_date"])
+    overwrite_partitions(add_lineage(raw, run_date), f"{root}/bronze", ["_batch_date"], spread=False)
     batch = spark.read.parquet(f"{root}/bronze").filter(F.col("_batch_date") == F.lit(run_date).cast("date"))
 
     valid, rejected = quarantine(batch, rules())
-    overwrite_partitions(rejected, f"{root}/quarantine", ["_batch_date"])
+    overwrite_partitions(rejected, f"{root}/quarantine", ["_batch_date"], spread=False)
     counts = quality_gate(gate_metrics(batch, rules()), max_share)
     log_run(spark, control, run_date, "bronze", "SUCCESS", counts["batch_rows"])
 
@@ -90,7 +90,7 @@ def run_day(spark: SparkSession, source: str, root: str, control: str, run_date:
     if earlier is not None:
         others = earlier.filter(F.col("_batch_date") != F.lit(run_date).cast("date"))
         fresh = fresh.join(others.select("txn_id"), "txn_id", "left_anti")
-    overwrite_partitions(fresh, silver_path, ["_batch_date"])
+    overwrite_partitions(fresh, silver_path, ["_batch_date"], spread=False)
     silver = spark.read.parquet(silver_path)
     here = silver.filter(F.col("_batch_date") == F.lit(run_date).cast("date"))
     landed = here.count()

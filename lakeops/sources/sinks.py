@@ -24,17 +24,24 @@ def append_aligned(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows, allowMissingColumns=True)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "append") -> None:
-    """Partition folders. Rows are rebalanced first: few files per folder, and a hot folder is split by size."""
-    spread = df.hint("rebalance", *[F.col(c) for c in partition_cols])
-    spread.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+def _spread(df: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rows of a folder together, so it gets few files; AQE splits a hot folder by size."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_cols])
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition_cols: list[str], mode: str = "append", spread: bool = True
+) -> None:
+    """Partition folders. ``spread=False`` writes without a shuffle, for rows that go into few folders anyway."""
+    rows = _spread(df, partition_cols) if spread else df
+    rows.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], spread: bool = True) -> None:
     """Replace only the partitions present in ``df``; all others stay as they are."""
-    spread = df.hint("rebalance", *[F.col(c) for c in partition_cols])
+    rows = _spread(df, partition_cols) if spread else df
     (
-        spread.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(path)

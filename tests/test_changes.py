@@ -24,7 +24,7 @@ def updates(spark):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_upsert(target, updates, small, monkeypatch):
-    monkeypatch.setattr(c, "_small", lambda df: small)
+    monkeypatch.setattr(c, "fits_broadcast", lambda df: small)
     assert rows(c.upsert(target, updates, ["id"])) == [
         ("a", "A", 1.0), ("b", "B*", None), ("c", "C", 3.0), ("d", "D", 4.0), (None, "N", 0.0),
     ]
@@ -156,3 +156,10 @@ def test_column_statistics(spark):
     layout.column_statistics(spark, "stats_probe", ["id"])
     text = spark.sql("DESCRIBE EXTENDED stats_probe id").collect()
     assert ("distinct_count", "10") in [(r.info_name, r.info_value) for r in text]
+
+
+def test_persisted_rows_are_released(spark):
+    df = spark.range(5).toDF("n")
+    with layout.persisted(df) as kept:
+        assert kept.count() == 5 and kept.storageLevel.useMemory and "InMemoryTableScan" in plan(kept.groupBy("n").count())
+    assert not df.storageLevel.useMemory

@@ -7,7 +7,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from lakeops.operators import changes
+from lakeops.operators import aggregates, changes
 from lakeops.operators.quality import QualityGateError, control_totals, reconcile, table_counts
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry
 from lakeops.session import scratch, stored
@@ -164,12 +164,10 @@ def test_sensor_edges(spark):
 
 
 def test_hot_machine_scores_equal(spark, monkeypatch):
-    from lakeops.operators import aggregates
-
     i = F.col("id")
     df = spark.range(900).select(F.when(i % 3 > 0, 1).otherwise(i % 20).alias("k"), (i * 37 % 100).cast("double").alias("m"))
     small = rows(aggregates.zscores(df, "k", {"m": "z"}).withColumn("z", F.round("z", 9)))
-    monkeypatch.setattr(aggregates, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(aggregates, "fits_broadcast", lambda df: False)
     assert rows(aggregates.zscores(df, "k", {"m": "z"}, hot_share=0.2).withColumn("z", F.round("z", 9))) == small
 
 
