@@ -20,6 +20,8 @@ from lakeops.session import stored
 
 # A key with fewer rows than this is never cut: one task sorts that many without trouble.
 HOT_ROWS = 5_000_000
+# A carry table of at most this many short rows is broadcast.
+CARRY_ROWS = 500_000
 
 
 @dataclass
@@ -28,13 +30,14 @@ class Blocks:
 
     df: DataFrame
     cols: list[str] = field(default_factory=list)
+    carried: int = 0  # upper bound for the rows of the table that carries over
 
 
 def sortable(df: DataFrame, name: str) -> Column:
     """The column as a double that rises with it; null sorts lowest, as in Spark's ascending order."""
     kind, c = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.NumericType):
-        number = c.cast("double")
+        number = c.cast("double") + F.lit(0.0)  # makes -0.0 and 0.0 one value
     elif isinstance(kind, T.DateType):
         number = F.unix_date(c).cast("double")
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -46,6 +49,13 @@ def sortable(df: DataFrame, name: str) -> Column:
     return F.coalesce(number, F.lit(float("-inf")))
 
 
+def _distinct_as_double(kind: T.DataType, values: list[float]) -> bool:
+    """Whether different column values near these are also different as doubles."""
+    if isinstance(kind, T.LongType):
+        return all(abs(v) < 2**53 for v in values)
+    return not (isinstance(kind, T.DecimalType) and kind.precision > 15)
+
+
 def quantile_cuts(values: DataFrame, blocks: int) -> list[list[float]]:
     """Per column the approximate quantiles that cut it into ``blocks`` parts, all columns in one pass.
 
@@ -101,15 +111,16 @@ def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: in
     crowded = sorted({v for v in cuts if cuts.count(v) > 1})
     marked = bucketed(marked, "_v", "_b", [*cuts, *[math.nextafter(v, math.inf) for v in crowded]])
     out = marked.withColumn("_block", F.when(F.col("_hot"), F.col("_b").cast("int")).otherwise(0))
-    cols = ["_block"]
-    if crowded and len(order_by) > 1:
+    cols, per_key = ["_block"], len(cuts) + len(crowded) + 1
+    if crowded and len(order_by) > 1 and _distinct_as_double(df.schema[order_by[0]].dataType, crowded):
         out = out.withColumn("_w", sortable(df, order_by[1]))
         in_crowd = F.col("_hot") & F.col("_v").isin(crowded)
         parts = 2 * max(cuts.count(v) for v in crowded)
         out = bucketed(out, "_w", "_c", quantile_cuts(out.filter(in_crowd).select("_w"), parts)[0])
         out = out.withColumn("_sub", F.when(in_crowd, F.col("_c").cast("int")).otherwise(0))
         cols.append("_sub")
-    return Blocks(out.select(*df.columns, *cols, "_hot"), cols)
+        per_key += len(crowded) * (parts + 1)
+    return Blocks(out.select(*df.columns, *cols, "_hot"), cols, len(hot) * per_key)
 
 
 def windowed(
@@ -162,6 +173,8 @@ def _carry(
         *[F.sum(f"_s_{out}").over(before).alias(f"_s0_{out}") for out in sums],
         *[F.lag(f"_l_{out}").over(along).alias(f"_l0_{out}") for out in lags],
     ).filter("_n0 > 0")
+    if cut.carried <= CARRY_ROWS:  # then the rows themselves need no second shuffle
+        carried = F.broadcast(carried)
     same = [F.col(m).eqNullSafe(F.col(f"_k_{m}")) for m in marks]
     joined = part.join(carried, same, "left")
     fixed = {
@@ -192,9 +205,11 @@ def dense_rank_by(
     """Dense rank of ``measure`` within its group; nulls rank last when descending, first when ascending.
 
     The rank depends only on the distinct values, so these are numbered (repeats collapse map-side) and the
-    numbers joined back. The descending rank is the ascending one counted from the group's last level.
+    numbers joined back. They are stored once where several passes need them, which is unless ``hot_rows`` is
+    None. The descending rank is the ascending one counted from the group's last level.
     """
     levels = df.select(*group, measure).distinct()
+    levels = levels if hot_rows is None else stored(levels, "levels")
     numbered = windowed(levels, group, [measure], number=out, hot_rows=hot_rows)
     if descending:
         sizes = levels.groupBy(*group).agg(F.count(F.lit(1)).cast("int").alias("_n"))

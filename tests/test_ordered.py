@@ -82,6 +82,15 @@ def test_surrogate_keys_are_dense_and_in_order(spark):
     assert rows(got) == rows(want)
 
 
+def test_long_numbers_that_are_equal_as_doubles(spark):
+    i = F.col("id")
+    df = spark.range(600).select(
+        (600 - i).cast("int").alias("id"), F.lit(1).alias("k"), (F.lit(2**60) + i).alias("d"),
+        (i % 7).cast("decimal(10,2)").alias("v"),
+    )
+    assert rows(cut(df, 20)) == rows(plain(df))
+
+
 def test_text_cannot_be_cut(spark):
     df = spark.createDataFrame([("a",), ("b",)], "s string").withColumn("k", F.lit(1))
     with pytest.raises(TypeError):
