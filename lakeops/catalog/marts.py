@@ -545,9 +545,9 @@ def readmission_rate(t: Tables):
 )
 def census_daily(t: Tables):
     departments, stays = d.departments(t), d.admissions(t)
-    bounds = day_bounds(stays, "admit_date", "discharge_date")
-    first, last = bounds.select("first_day").scalar(), bounds.select("last_day").scalar()
-    return hospital.bed_census(stays, departments, "department_id", first, last).drop("department_id")
+    span = day_bounds(stays, "admit_date", "discharge_date").select(F.struct("first_day", "last_day")).scalar()
+    census = hospital.bed_census(stays, departments, "department_id", span["first_day"], span["last_day"])
+    return census.drop("department_id")
 
 
 @query(

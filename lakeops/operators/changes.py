@@ -6,12 +6,16 @@ step, either into a new version folder or by replacing the touched partitions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import holds
 from lakeops.operators.clean import dedup
-from lakeops.operators.joins import fits_broadcast
+from lakeops.operators.joins import BROADCAST_BYTES, fits_broadcast
+from lakeops.session import stored
 from lakeops.sources.sinks import overwrite_partitions
 
 CHANGE_TYPE, VERSION, COMMITTED = "_change_type", "_commit_version", "_commit_timestamp"
@@ -22,12 +26,15 @@ class DuplicateKeyError(ValueError):
     """The source of a merge holds a key more than once, so the result would be arbitrary."""
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Raise when a non-null key occurs twice. Only the keys are read and they are pre-aggregated map-side."""
-    twice = df.na.drop(subset=keys).groupBy(*keys).count().filter("count > 1").limit(1).collect()
-    if twice:
-        raise DuplicateKeyError(f"merge source repeats key {twice[0].asDict()}")
-    return df
+def checked_size(df: DataFrame, keys: list[str]) -> int:
+    """Size of the rows as text, from one pass that also raises when a non-null key occurs twice."""
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(width).alias("_bytes"))
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    row = per_key.agg(F.max(F.when(known, F.col("_n"))).alias("most"), F.sum("_bytes").alias("bytes")).first()
+    if (row["most"] or 0) > 1:
+        raise DuplicateKeyError(f"a key of {keys} occurs {row['most']} times in the merge source")
+    return int(row["bytes"] or 0)
 
 
 def _hinted(df: DataFrame, small: bool) -> DataFrame:
@@ -41,20 +48,25 @@ def _new_rows(updates: DataFrame, target: DataFrame, keys: list[str], small: boo
 
 
 def upsert(
-    target: DataFrame, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None
+    target: DataFrame,
+    updates: DataFrame,
+    keys: list[str],
+    update_cols: list[str] | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Keep one current row per key: matched rows take ``update_cols`` (default: all), new keys are inserted.
 
-    A null in a matched update wins. A batch that was measured small is broadcast, so the target is not
-    shuffled; a large one goes through one full outer join.
+    A null in a matched update wins. A batch that was measured small is stored and broadcast, so the target is
+    not shuffled; a large one goes through one full outer join.
     """
-    require_unique(updates, keys)
     rest = [c for c in target.columns if c not in keys]
     changed = set(rest if update_cols is None else update_cols)
     source = updates.select(*target.columns)
+    small = checked_size(source, keys) <= max_bytes
+    source = stored(source, "updates") if small else source
     fresh = source.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in rest], F.lit(True).alias("_in_u"))
 
-    if fits_broadcast(source):
+    if small:
         merged = target.join(F.broadcast(fresh), keys, "left")
         kept = merged.select(
             *[
@@ -74,7 +86,9 @@ def upsert(
 
 def insert_only(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Add the rows whose key is new; rows already there never change."""
-    return target.unionByName(_new_rows(updates, target, keys, fits_broadcast(updates.select(*keys))))
+    small = fits_broadcast(updates)
+    source = stored(updates, "updates") if small else updates
+    return target.unionByName(_new_rows(source, target, keys, small))
 
 
 def conditional_update(df: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:

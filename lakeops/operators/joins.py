@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.session import stored
+
 BROADCAST_BYTES = 100 * 1024 * 1024
 
 
@@ -38,10 +40,13 @@ def dim_lookup(
 
 
 def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys holding more than ``share`` of the rows. At most ``1 / share`` keys can, which bounds the result."""
+    """Keys holding more than ``share`` of the rows. At most ``1 / share`` keys can, which bounds the result.
+
+    They are counted once, reading the key column only, and stored, since a join looks at them twice.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     cut = counts.agg((F.sum("_n") * F.lit(share)).alias("_cut")).scalar()
-    return counts.filter(F.col("_n") > cut).select(key)
+    return stored(counts.filter(F.col("_n") > cut).select(key), "hot")
 
 
 def row_salt(df: DataFrame, buckets: int) -> Column:

@@ -40,7 +40,9 @@ def sortable(df: DataFrame, name: str) -> Column:
         number = c.cast("double") + F.lit(0.0)  # makes -0.0 and 0.0 one value
     elif isinstance(kind, T.DateType):
         number = F.unix_date(c).cast("double")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    elif isinstance(kind, T.TimestampType):
+        number = F.unix_micros(c).cast("double")
+    elif isinstance(kind, T.TimestampNTZType):  # by its fields: a session time zone must not shift it
         clock = F.hour(c) * 3600 + F.minute(c) * 60
         seconds = F.date_part(F.lit("SECOND"), c).cast("double")
         number = F.unix_date(c.cast("date")) * 86400.0 + clock + seconds

@@ -16,7 +16,7 @@ STAGING = [
     "freight_amount", "status", "is_express",
 ]
 
-# City and region by hub number modulo 10.
+# City and region by hub number modulo 10, hub type by modulo 4, service level by modulo 3.
 HUB_CITIES = {
     0: ("Mumbai", "West"), 1: ("Delhi", "North"), 2: ("Bengaluru", "South"), 3: ("Chennai", "South"),
     4: ("Kolkata", "East"), 5: ("Hyderabad", "South"), 6: ("Pune", "West"), 7: ("Ahmedabad", "West"),

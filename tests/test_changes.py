@@ -22,13 +22,12 @@ def updates(spark):
     return spark.createDataFrame([("b", "B*", None), ("d", "D", 4.0)], SCHEMA)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_upsert(target, updates, small, monkeypatch):
-    monkeypatch.setattr(c, "fits_broadcast", lambda df: small)
-    assert rows(c.upsert(target, updates, ["id"])) == [
+@pytest.mark.parametrize("max_bytes", [c.BROADCAST_BYTES, 0])
+def test_upsert(target, updates, max_bytes):
+    assert rows(c.upsert(target, updates, ["id"], max_bytes=max_bytes)) == [
         ("a", "A", 1.0), ("b", "B*", None), ("c", "C", 3.0), ("d", "D", 4.0), (None, "N", 0.0),
     ]
-    assert rows(c.upsert(target, updates, ["id"], ["balance"])) == [
+    assert rows(c.upsert(target, updates, ["id"], ["balance"], max_bytes)) == [
         ("a", "A", 1.0), ("b", "B", None), ("c", "C", 3.0), ("d", "D", 4.0), (None, "N", 0.0),
     ]
 
@@ -45,6 +44,8 @@ def test_upsert_refuses_repeated_source_keys(spark, target):
     twice = spark.createDataFrame([("b", "x", 1.0), ("b", "y", 2.0)], SCHEMA)
     with pytest.raises(c.DuplicateKeyError):
         c.upsert(target, twice, ["id"])
+    nulls = spark.createDataFrame([(None, "x", 1.0), (None, "y", 2.0)], SCHEMA)
+    assert c.upsert(target, nulls, ["id"]).count() == 6  # null matches nothing, so both are inserted
 
 
 def test_insert_only_leaves_old_rows(target, updates):

@@ -91,6 +91,26 @@ def test_long_numbers_that_are_equal_as_doubles(spark):
     assert rows(cut(df, 20)) == rows(plain(df))
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "double", "decimal(12,3)", "int"])
+def test_order_types(spark, kind):
+    """Close values, nulls and a repeated autumn hour (the session zone has one in this test)."""
+    i = F.col("id")
+    seconds = 1_761_436_800 + (i * 7919 % 500) * 30 + (i % 3) * 0.000001
+    moment = F.timestamp_micros((seconds * 1_000_000).cast("long"))
+    value = {
+        "timestamp": moment, "timestamp_ntz": moment.cast("timestamp_ntz"), "double": (i * 31 % 97 - 48) / 7,
+    }.get(kind, (i * 31 % 97 - 48).cast(kind))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.range(500).select(
+            i.cast("int").alias("id"), F.lit(1).alias("k"), F.when(i % 9 != 0, value).alias("d"),
+            (i % 7).cast("decimal(10,2)").alias("v"),
+        )
+        assert rows(cut(df, 25)) == rows(plain(df))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_text_cannot_be_cut(spark):
     df = spark.createDataFrame([("a",), ("b",)], "s string").withColumn("k", F.lit(1))
     with pytest.raises(TypeError):
