@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, mean_cents, query
 from lakeops.catalog.domains import with_
-from lakeops.functions.scalars import money, risk_bucket, risk_bucket_arrow, risk_bucket_row
+from lakeops.functions.scalars import money, risk_band, risk_bucket, risk_bucket_arrow, risk_bucket_row
 from lakeops.operators.aggregates import pivot_counts, split_stratified, top_k
 from lakeops.operators.clean import distinct_rows, fill, null_out, repair_sign, tidy_name, with_typed_null
+from lakeops.operators.forest import threshold_label
 from lakeops.operators.joins import broadcast_join, dim_lookup, heavy_keys, join_salting_hot, salted_join
 from lakeops.operators.quality import control_totals, reconcile, ri_split, table_counts
 from lakeops.sources.readers import parse_payload
@@ -443,3 +444,22 @@ def orphan_free_bank(t: Tables):
     accounts = t.customer.select(F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("account_id"))
     passed, _ = ri_split(d.bank(t), accounts, "account_id")
     return passed.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("first_orders", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
+def first_orders(t: Tables):
+    """The ten rows a reader would look at first."""
+    return t.orders.select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(10)
+
+
+@query(
+    "probability_bands",
+    """SELECT CASE WHEN p <= 0.3 THEN 'Low' WHEN p <= 0.6 THEN 'Medium' ELSE 'High' END AS risk_band, flagged, count(*) AS n
+    FROM (SELECT (o_orderkey % 101) / 100.0::double AS p, CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END::bigint AS flagged FROM orders)
+    GROUP BY ALL""",
+)
+def probability_bands(t: Tables):
+    """Bands of a probability, and a label derived from a threshold."""
+    rows = t.orders.select(((F.col("o_orderkey") % 101) / F.lit(100.0)).alias("p"), "o_totalprice")
+    labelled = threshold_label(rows, "o_totalprice", 250000, "flagged")
+    return labelled.groupBy(risk_band("p").alias("risk_band"), "flagged").agg(F.count(F.lit(1)).alias("n"))

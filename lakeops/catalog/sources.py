@@ -217,3 +217,43 @@ def zorder_curve(t: Tables):
     """Size of each curve position: quantile cuts keep them close to even."""
     curve = with_z_order(t.lineitem.select("l_partkey", "l_orderkey"), ["l_partkey", "l_orderkey"], bits=3)
     return curve.groupBy("_z").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "json_document_scan",
+    """SELECT n_nationkey::bigint AS n_nationkey, r_name AS region, n_regionkey::bigint AS region_key, w.word FROM nation
+    JOIN region ON n_regionkey = r_regionkey LEFT JOIN (VALUES (1, 'one'), (2, 'two')) AS w(i, word) ON w.i <= n_nationkey % 3""",
+)
+def json_document_scan(t: Tables):
+    """One nested document per file, spread over many lines, then flattened; empty arrays keep their row."""
+    path = scratch(t.spark, "documents")
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    words = F.slice(F.array(F.lit("one"), F.lit("two")), F.lit(1), F.col("n_nationkey") % 3)
+    record = F.struct(
+        "n_nationkey",
+        F.struct(F.col("r_name").alias("name"), F.col("n_regionkey").alias("key")).alias("place"),
+        words.alias("words"),
+    )
+    text = places.select("n_nationkey", F.to_json(record, {"pretty": "true"}).alias("value"))
+    text.write.partitionBy("n_nationkey").text(path)
+    documents = readers.read_json_document(t.spark, f"{path}/*/*.txt")
+    return readers.flatten_json(documents, ["n_nationkey"], {"region": "place.name", "region_key": "place.key"}, "words", "word")
+
+
+@query(
+    "cross_database_reload",
+    "SELECT s_nationkey::bigint AS s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey",
+)
+def cross_database_reload(t: Tables):
+    """Table in another schema, loaded twice by truncate and insert, read by its two-part name."""
+    schema = f"lakeops_{uuid.uuid4().hex}"
+    name, path = f"{schema}.suppliers", scratch(t.spark, "table")
+    t.spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch(t.spark, 'schema')}'")
+    rows = t.supplier.select("s_suppkey", "s_nationkey")
+    sinks.overwrite_table(rows.limit(0), name, path)
+    for _ in range(2):
+        sinks.reload_table(rows, name)
+    loaded = t.spark.table(name)
+    sinks.drop_table(t.spark, name)
+    t.spark.sql(f"DROP SCHEMA {schema}")
+    return loaded.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))

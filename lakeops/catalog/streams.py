@@ -107,3 +107,21 @@ def stream_to_anomalies(t: Tables):
     passed, _ = telemetry.plausible(t.spark.read.parquet(table))
     flags = telemetry.anomaly_flags(passed, d.machines(t))
     return telemetry.maintenance_queue(flags).select("machine_id", "machine_type", "line", "anomalous_reading_count")
+
+
+@query(
+    "stream_progress",
+    "SELECT count(*) AS rows_read, false AS still_running, count(*) AS rows_stored FROM events",
+)
+def stream_progress(t: Tables):
+    """What an available-now run reports about itself, beside the rows it stored."""
+    landing, table, state = (scratch(t.spark, x) for x in ("landing", "bronze", "state"))
+    write_json_batch(_rows(t), landing)
+    stream = ingest.stream_json(t.spark, landing, SCHEMA)
+    run = ingest.append_stream(stream, table, state, **ingest.trigger_options("available_now"))
+    ingest.finish(run)
+    read = sum(p["numInputRows"] for p in run.recentProgress)
+    stored_rows = t.spark.read.parquet(table).agg(F.count(F.lit(1)).alias("rows_stored"))
+    return stored_rows.select(
+        F.lit(read).cast("bigint").alias("rows_read"), F.lit(run.isActive).alias("still_running"), "rows_stored"
+    )
