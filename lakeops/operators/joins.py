@@ -50,8 +50,12 @@ def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
 
 
 def row_salt(df: DataFrame, buckets: int) -> Column:
-    """Bucket from the row's own content: a re-run task gives the same row the same bucket."""
-    return F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+    """Bucket from the row's content and the task that reads it.
+
+    Exact copies of a row are spread as far as they lie in different partitions, and a re-run task gives its
+    rows the same buckets whatever order it reads them in.
+    """
+    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(buckets)).cast("int")
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: str, buckets: int = 10) -> DataFrame:

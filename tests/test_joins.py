@@ -27,6 +27,15 @@ def test_salted_joins_equal_the_plain_join(spark):
     assert rows(j.join_salting_hot(fact, dim, "k", hot, 4, "left"), "id", "k", "v") == left
 
 
+def test_salt_spreads_copies_and_repeats_itself(spark):
+    copies = spark.range(0, 4000, 1, 40).select(F.lit(7).alias("k"))
+    counted = [
+        rows(copies.select(F.spark_partition_id().alias("p"), j.row_salt(copies, 8).alias("s")).groupBy("p", "s").count())
+        for _ in range(2)
+    ]
+    assert counted[0] == counted[1] and len({s for _, s, _ in counted[0]}) > 4
+
+
 def test_broadcast_only_when_measured_small(spark):
     fact, dim = skewed(spark), spark.range(40).select(F.col("id").cast("int").alias("k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
