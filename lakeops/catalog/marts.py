@@ -496,7 +496,7 @@ def age_bands(t: Tables):
     with_(
         HOSPITAL,
         f"""SELECT department_name, n AS admissions, cast(los AS double) / n AS alos, cast(revenue AS double) AS revenue,
-        {half_up("urgent * 100", "n", 2)} AS emergency_pct
+        urgent * 100.0::double / n AS emergency_pct
         FROM (SELECT department_name, count(*) AS n, sum(length_of_stay) AS los, sum(total_charges) AS revenue,
               count(*) FILTER (is_emergency) AS urgent
               FROM hospital_fact JOIN hospital_departments USING (department_key) GROUP BY department_name)""",
@@ -511,7 +511,7 @@ def dept_kpi(t: Tables):
     "readmission_rate",
     with_(
         HOSPITAL,
-        f"""SELECT department_name, n AS admissions, hits AS readmits_30d, {half_up("hits * 100", "n", 4)} AS readmit_rate_pct
+        f"""SELECT department_name, n AS admissions, hits AS readmits_30d, hits * 100.0::double / n AS readmit_rate_pct
         FROM (SELECT department_name, count(*) AS n,
               count(*) FILTER (date_diff('day', prev, admit_date) BETWEEN 0 AND 30) AS hits
               FROM (SELECT *, lag(discharge_date) OVER (PARTITION BY patient_key ORDER BY admit_date, admission_key) AS prev
@@ -533,7 +533,7 @@ def readmission_rate(t: Tables):
         HOSPITAL,
         f""", cal AS (SELECT cast(unnest(generate_series((SELECT min(admit_date) FROM hospital_fact),
         (SELECT max(discharge_date) FROM hospital_fact), interval 1 day)) AS date) AS day)
-        SELECT department_name, cast(beds AS bigint) AS beds, day, n AS in_patients, {half_up("n * 100", "beds", 4)} AS occupancy_pct
+        SELECT department_name, cast(beds AS bigint) AS beds, day, n AS in_patients, n * 100.0::double / beds AS occupancy_pct
         FROM (SELECT department_name, beds, day, count(a.admission_key) AS n FROM cal
               CROSS JOIN hospital_departments dep LEFT JOIN hospital_fact a ON a.department_key = dep.department_key
               AND cal.day >= a.admit_date AND cal.day < a.discharge_date GROUP BY ALL)""",
@@ -550,7 +550,7 @@ def census_daily(t: Tables):
     "age_band_mix",
     with_(
         HOSPITAL,
-        f"""SELECT age_band, insurance_type, diagnosis_group, n AS admissions, {mean_cents("total", "n")} AS avg_charge
+        f"""SELECT age_band, insurance_type, diagnosis_group, n AS admissions, {half_up("total * 100", "n * 100", 6)} AS avg_charge
         FROM (SELECT age_band, insurance_type, diagnosis_group, count(*) AS n, sum(total_charges) AS total
               FROM hospital_fact JOIN hospital_patients USING (patient_key) GROUP BY ALL)""",
     ),

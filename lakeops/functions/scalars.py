@@ -30,15 +30,15 @@ def money(value: str | Column, precision: int = 12, scale: int = 2) -> Column:
     return col(value).cast(f"decimal({precision},{scale})")
 
 
-def rate(num: str | Column, den: str | Column, digits: int, percent: bool = True) -> Column:
-    """``num / den`` as a rounded share; null where the denominator is zero."""
-    scaled = col(num).cast("decimal(20,2)") * F.lit(100 if percent else 1)
+def rate(num: str | Column, den: str | Column, digits: int) -> Column:
+    """``num`` as percent of ``den``, rounded half up from the exact quotient; null where ``den`` is zero."""
+    scaled = col(num).cast("decimal(20,2)") * F.lit(100)
     return F.round(F.try_divide(scaled, col(den).cast("decimal(20,2)")), digits)
 
 
-def mean_of(total: str | Column, count: str | Column, digits: int = 2) -> Column:
-    """Mean of an exact total, rounded half up; null for an empty group."""
-    return F.round(F.try_divide(col(total), col(count)), digits)
+def percent(num: str | Column, den: str | Column) -> Column:
+    """``num`` as percent of ``den``, not rounded; null where ``den`` is zero."""
+    return F.try_divide(col(num) * F.lit(100.0), col(den))
 
 
 def to_usd(amount: str | Column, currency: str | Column) -> Column:
@@ -122,10 +122,6 @@ def zero_padded(number: str | Column, width: int) -> Column:
     return F.right(F.concat(F.lit("0" * width), col(number).cast("string")), F.lit(width))
 
 
-def either_null(left: str | Column, right: str | Column) -> Column:
-    return col(left).isNull() | col(right).isNull()
-
-
 def case_of(value: str | Column, labels: Mapping, default: str | None = None) -> Column:
     """Simple CASE: a label per value."""
     v, out = col(value), None

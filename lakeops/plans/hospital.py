@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.scalars import age_band, holds, money, rate, year_boundaries
+from lakeops.functions.scalars import age_band, holds, money, percent, year_boundaries
 from lakeops.operators.joins import followed_within, interval_census
 from lakeops.operators.ordered import HOT_ROWS, surrogate_key, windowed
 
@@ -47,7 +47,7 @@ def department_kpis(fact: DataFrame, departments: DataFrame) -> DataFrame:
         n.alias("admissions"),
         F.try_divide(F.sum("length_of_stay"), F.count("length_of_stay")).alias("alos"),
         F.sum("total_charges").alias("revenue"),
-        rate(F.count_if("is_emergency"), n, 2).alias("emergency_pct"),
+        percent(F.count_if("is_emergency"), n).alias("emergency_pct"),
     )
     names = departments.select("department_key", "department_name")
     return per_key.join(names, "department_key").drop("department_key")
@@ -67,7 +67,7 @@ def readmission_rate(flagged: DataFrame, group: str) -> DataFrame:
     """Admissions, readmissions and their share per group."""
     n, hits = F.count(F.lit(1)), F.count_if("is_readmission")
     return flagged.groupBy(group).agg(
-        n.alias("admissions"), hits.alias("readmits_30d"), rate(hits, n, 4).alias("readmit_rate_pct")
+        n.alias("admissions"), hits.alias("readmits_30d"), percent(hits, n).alias("readmit_rate_pct")
     )
 
 
@@ -77,17 +77,16 @@ def bed_census(
 ) -> DataFrame:
     """In-patients and occupied share per department and day, days without patients included."""
     present = interval_census(stays, departments, key, admit, discharge, first, last, "in_patients")
-    return present.join(departments, key).withColumn("occupancy_pct", rate("in_patients", "beds", 4))
+    return present.join(departments, key).withColumn("occupancy_pct", percent("in_patients", "beds"))
 
 
 def diagnosis_mix(fact: DataFrame, patients: DataFrame) -> DataFrame:
     """Admissions and mean charge per age band, insurance and diagnosis."""
-    total, n = F.sum("total_charges"), F.count(F.lit(1))
     groups = patients.select("patient_key", "age_band", "insurance_type")
     return (
         fact.join(groups, "patient_key")
         .groupBy("age_band", "insurance_type", "diagnosis_group")
-        .agg(n.alias("admissions"), F.round(total / n, 2).alias("avg_charge"))
+        .agg(F.count(F.lit(1)).alias("admissions"), F.avg("total_charges").alias("avg_charge"))
     )
 
 

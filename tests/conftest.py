@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
     session = local_session(
         "8",
         app="lakeops-tests",
-        **{"spark.checkpoint.dir": str(root / "shared"), "spark.sql.warehouse.dir": str(root / "warehouse")},
+        **{"spark.sql.maxMetadataStringLength": "5000", "spark.checkpoint.dir": str(root / "shared"), "spark.sql.warehouse.dir": str(root / "warehouse")},
     )
     yield session
     session.stop()
