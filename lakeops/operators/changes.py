@@ -37,13 +37,14 @@ def checked_size(df: DataFrame, keys: list[str]) -> int:
     return int(row["bytes"] or 0)
 
 
-def _hinted(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def new_rows(updates: DataFrame, target: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Updates whose key is not in the target.
 
-
-def _new_rows(updates: DataFrame, target: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    """Updates whose key is not in the target. The target gives only the keys that the updates name."""
-    named = target.select(*keys).join(_hinted(updates.select(*keys), small), keys, "left_semi").distinct()
+    The target gives only the keys that the updates name. ``small`` says that the updates were measured small:
+    then they are broadcast and the target is scanned without a shuffle.
+    """
+    wanted = updates.select(*keys)
+    named = target.select(*keys).join(F.broadcast(wanted) if small else wanted, keys, "left_semi").distinct()
     return updates.join(named, keys, "left_anti")
 
 
@@ -74,7 +75,7 @@ def upsert(
                 for c in target.columns
             ]
         )
-        return kept.unionByName(_new_rows(source, target, keys, True))
+        return kept.unionByName(new_rows(source, target, keys, True))
 
     both = target.withColumn("_in_t", F.lit(True)).join(fresh, keys, "full")
     taken = []
@@ -88,7 +89,7 @@ def insert_only(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataF
     """Add the rows whose key is new; rows already there never change."""
     small = fits_broadcast(updates)
     source = stored(updates, "updates") if small else updates
-    return target.unionByName(_new_rows(source, target, keys, small))
+    return target.unionByName(new_rows(source, target, keys, small))
 
 
 def conditional_update(df: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import risk_band
+from lakeops.session import stored
 
 # Fixed values: (trees, depth) of the sweep.
 GRID = ((50, 4), (100, 6), (200, 8))
@@ -70,7 +71,11 @@ def metrics_of(model: PipelineModel, test: DataFrame, label: str) -> tuple[float
 def sweep(
     train: DataFrame, test: DataFrame, label: str, numeric: list[str], categorical: list[str], grid=GRID, **options
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit every (trees, depth) pair; the model with the best AUC and the metrics as rows."""
+    """Fit every (trees, depth) pair; the model with the best AUC and the metrics as rows.
+
+    Both sides of the split are stored, so each fit reads the same rows and none is on both sides.
+    """
+    train, test = stored(train, "train"), stored(test, "test")
     best, best_auc, rows = None, -1.0, []
     for trees, depth in grid:
         model = fit_forest(train, label, numeric, categorical, trees, depth, **options)

@@ -137,7 +137,8 @@ def windowed(
     """Sequence number, previous value and running total per key, ascending along ``order_by``.
 
     ``lags`` and ``sums`` map an output name to its source column. ``order_by`` should identify a row within
-    its key, otherwise equal rows are numbered in any order.
+    its key, otherwise equal rows are numbered in any order. With hot keys the input is read more than once,
+    so it must give the same rows each time: store it first if it is expensive or not deterministic.
     """
     lags, sums = dict(lags or {}), dict(sums or {})
     cut = cut_blocks(df, keys, order_by, hot_rows)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.scalars import money, to_usd
+from lakeops.operators.changes import new_rows
 from lakeops.operators.clean import dedup
+from lakeops.operators.joins import fits_broadcast
 from lakeops.operators.quality import gate_metrics, quality_gate, quarantine
 from lakeops.sources.readers import add_lineage, read_if_present
 from lakeops.sources.sinks import already_done, log_run, overwrite_partitions
@@ -89,21 +91,29 @@ def run_day(spark: SparkSession, source: str, root: str, control: str, run_date:
     earlier = read_if_present(spark, silver_path)
     if earlier is not None:
         others = earlier.filter(F.col("_batch_date") != F.lit(run_date).cast("date"))
-        fresh = fresh.join(others.select("txn_id"), "txn_id", "left_anti")
+        small = fits_broadcast(fresh.select("txn_id"))
+        fresh = new_rows(fresh, others, ["txn_id"], small)
     overwrite_partitions(fresh, silver_path, ["_batch_date"], spread=False)
     silver = spark.read.parquet(silver_path)
     here = silver.filter(F.col("_batch_date") == F.lit(run_date).cast("date"))
-    landed = here.count()
-    log_run(spark, control, run_date, "silver", "SUCCESS", landed)
+    span = here.agg(
+        F.count(F.lit(1)).alias("n"), F.min("txn_ts").alias("first"), F.max("txn_ts").alias("last")
+    ).first()
+    log_run(spark, control, run_date, "silver", "SUCCESS", span["n"])
 
+    # Gold is rebuilt for every day the batch touched. The span reaches the scan, the days make it exact.
     days = here.select(F.to_date("txn_ts").alias("_day")).distinct()
-    touched = silver.join(days, F.to_date("txn_ts") == F.col("_day"), "left_semi")
+    near = silver.filter(
+        (F.col("txn_ts") >= F.date_trunc("day", F.lit(span["first"])))
+        & (F.col("txn_ts") < F.date_trunc("day", F.lit(span["last"])) + F.expr("interval 1 day"))
+    )
+    touched = near.join(days, F.to_date("txn_ts") == F.col("_day"), "left_semi")
     overwrite_partitions(daily_channel(touched), f"{root}/gold", ["txn_date"])
-    log_run(spark, control, run_date, "gold", "SUCCESS", landed)
+    log_run(spark, control, run_date, "gold", "SUCCESS", span["n"])
     return {
         "batch_date": run_date,
         "skipped": False,
         "bronze_rows": counts["batch_rows"],
-        "silver_rows": landed,
+        "silver_rows": span["n"],
         "quarantined_rows": counts["rejected_rows"],
     }
