@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, query
+from lakeops.catalog.domains import with_
 from lakeops.operators import forest
 from lakeops.operators.aggregates import split_random
 from lakeops.operators.quality import quarantine
@@ -40,6 +41,23 @@ def fraud_scores(t: Tables):
     return forest.score(model, rows, "fraud_score").select("txn_id", "channel", "amount_usd", "fraud_score")
 
 
+@query(
+    "fraud_score_summary",
+    with_(
+        "bank bank_valid",
+        "SELECT channel, count(*) AS n, true AS in_range, true AS separates FROM bank_valid GROUP BY channel",
+    ),
+)
+def fraud_score_summary(t: Tables):
+    """Per channel: all rows scored, scores are probabilities, flagged rows score higher than the others."""
+    score, flagged = F.col("fraud_score"), F.col("amount_usd") > 100
+    return fraud_scores(t).groupBy("channel").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(score.between(0, 1)).alias("in_range"),
+        (F.avg(F.when(flagged, score)) > F.avg(F.when(~flagged, score))).alias("separates"),
+    )
+
+
 @query("churn_risk_bands")
 def churn_risk_bands(t: Tables):
     """Held-out subscribers with their churn probability and band."""

@@ -212,11 +212,19 @@ def zorder_layout(t: Tables):
     return t.spark.read.parquet(path).filter("l_partkey < 100")
 
 
-@query("zorder_curve")
+@query(
+    "zorder_curve",
+    "SELECT count(*) AS n, true AS in_range, true AS balanced FROM lineitem",
+)
 def zorder_curve(t: Tables):
-    """Size of each curve position: quantile cuts keep them close to even."""
+    """Curve positions lie on the curve, and quantile cuts keep them from collecting the rows."""
     curve = with_z_order(t.lineitem.select("l_partkey", "l_orderkey"), ["l_partkey", "l_orderkey"], bits=3)
-    return curve.groupBy("_z").agg(F.count(F.lit(1)).alias("n"))
+    sizes = curve.groupBy("_z").agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(
+        F.sum("_n").alias("n"),
+        F.bool_and(F.col("_z").between(0, 63)).alias("in_range"),
+        (F.max("_n") < F.sum("_n") / 16).alias("balanced"),
+    )
 
 
 @query(
