@@ -9,10 +9,9 @@ from lakeops.catalog.base import Tables, half_up, mean_cents, query
 from lakeops.catalog.domains import with_
 from lakeops.operators.aggregates import pivot_counts
 from lakeops.operators.clean import distinct_rows
-from lakeops.operators.ordered import surrogate_key
 from lakeops.operators.quality import gate_metrics, quarantine
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry, visits
-from lakeops.session import stored
+from lakeops.session import scratch, stored
 from lakeops.sources.readers import calendar, day_bounds
 
 # --- retail ---------------------------------------------------------------------------------------------
@@ -48,6 +47,25 @@ def monthly_region_category(t: Tables):
     return retail.monthly_region_category(_silver(t))
 
 
+@query(
+    "retail_layers",
+    with_(
+        "retail",
+        """, kept AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY product_id DESC, quantity DESC, unit_price DESC,
+        discount DESC, profit DESC) AS _rn FROM retail WHERE customer_name <> '')
+        SELECT order_year, order_month, region, category, cast(round(sum(sales), 2) AS double) AS total_sales,
+        cast(sum(cast(profit AS decimal(12,2))) AS double) AS total_profit, count(DISTINCT order_id) AS order_count
+        FROM (SELECT *, year(order_date) AS order_year, month(order_date) AS order_month FROM kept WHERE _rn = 1) GROUP BY ALL""",
+    ),
+)
+def retail_layers(t: Tables):
+    """Raw CSV through bronze, silver and gold; the monthly gold table."""
+    source = scratch(t.spark, "raw")
+    raw = d.retail_bronze(t).drop("_ingested_at").withColumn("order_id", F.concat(F.lit("R"), "order_id"))
+    raw.withColumnsRenamed({"order_id": "OrderID", "unit_price": "UnitPrice"}).write.option("header", True).csv(source)
+    return retail.run(t.spark, source, scratch(t.spark, "retail"))["monthly"]
+
+
 @query(
     "customer_lifetime",
     with_(
@@ -471,8 +489,8 @@ def sla_verdict_counts(t: Tables):
 
 
 def _hospital(t: Tables):
-    departments = surrogate_key(d.departments(t), ["department_id"], "department_key")
-    doctors = surrogate_key(d.doctors(t), ["doctor_id"], "doctor_key")
+    departments = hospital.department_dim(d.departments(t))
+    doctors = hospital.doctor_dim(d.doctors(t), departments)
     patients = hospital.patient_dim(d.patients(t))
     fact = hospital.fact_admissions(d.admissions(t), patients, doctors, departments)
     return fact, patients, doctors, departments
@@ -486,6 +504,21 @@ def hospital_fact(t: Tables):
     return _hospital(t)[0]
 
 
+@query(
+    "hospital_load_log",
+    """SELECT run_id, step, n AS rows_affected FROM (SELECT 1 AS k, 'dim_department' AS step, count(*) AS n FROM nation
+    UNION ALL SELECT 2, 'dim_doctor', count(*) FROM supplier UNION ALL SELECT 3, 'dim_patient', count(*) FROM customer
+    UNION ALL SELECT 4, 'fact_admission', count(*) FROM orders)
+    CROSS JOIN LATERAL (SELECT unnest([k, k + 4])::bigint AS run_id)""",
+)
+def hospital_load_log(t: Tables):
+    """The star loaded twice; its run log."""
+    root = scratch(t.spark, "hospital")
+    for _ in range(2):
+        log = hospital.load_star(t.spark, root, d.departments(t), d.doctors(t), d.patients(t), d.admissions(t))
+    return log.select("run_id", "step", "rows_affected")
+
+
 @query("age_bands", with_("hospital_patients", "SELECT patient_key, age_band, birth_date FROM hospital_patients"))
 def age_bands(t: Tables):
     return hospital.patient_dim(d.patients(t)).select("patient_key", "age_band", "birth_date")

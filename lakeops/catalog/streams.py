@@ -99,14 +99,11 @@ def stream_messages_parsed(t: Tables):
 )
 def stream_to_anomalies(t: Tables):
     """Readings streamed to a bronze folder, then cleaned and scored as a batch."""
-    landing, table, state = (scratch(t.spark, x) for x in ("landing", "bronze", "state"))
+    landing, root = scratch(t.spark, "landing"), scratch(t.spark, "telemetry")
     readings = d.readings(t)
     write_json_batch(readings, f"{landing}/batch_000")
-    stream = ingest.stream_json(t.spark, landing, readings.schema)
-    ingest.finish(ingest.append_stream(stream, table, state))
-    passed, _ = telemetry.plausible(t.spark.read.parquet(table))
-    flags = telemetry.anomaly_flags(passed, d.machines(t))
-    return telemetry.maintenance_queue(flags).select("machine_id", "machine_type", "line", "anomalous_reading_count")
+    tables = telemetry.run(t.spark, landing, d.machines(t), root, readings.schema)
+    return tables["maintenance"].select("machine_id", "machine_type", "line", "anomalous_reading_count")
 
 
 @query(

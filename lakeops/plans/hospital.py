@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import age_band, holds, money, percent, year_boundaries
 from lakeops.operators.joins import followed_within, interval_census
 from lakeops.operators.ordered import HOT_ROWS, surrogate_key, windowed
+from lakeops.sources.readers import read_if_present
+from lakeops.sources.sinks import replaced
+
+
+def department_dim(departments: DataFrame) -> DataFrame:
+    return surrogate_key(departments, ["department_id"], "department_key")
+
+
+def doctor_dim(doctors: DataFrame, departments: DataFrame) -> DataFrame:
+    """Doctors of known departments, with their own and the department's key."""
+    placed = doctors.join(departments.select("department_id", "department_key"), "department_id")
+    return surrogate_key(placed.drop("department_id"), ["doctor_id"], "doctor_key")
 
 
 def patient_dim(patients: DataFrame, at: str = "2026-01-01") -> DataFrame:
@@ -40,6 +52,33 @@ def fact_admissions(
     )
 
 
+def load_star(
+    spark: SparkSession, root: str, departments: DataFrame, doctors: DataFrame, patients: DataFrame, admissions: DataFrame
+) -> DataFrame:
+    """Reload the whole star under ``root`` and append one row per table to its run log; returns the log.
+
+    Keys depend on the members alone, so a second load of the same sources gives the same tables.
+    """
+    log_path = f"{root}/run_log"
+
+    def load(step: str, df: DataFrame) -> DataFrame:
+        table = replaced(df, f"{root}/{step}")
+        log = read_if_present(spark, log_path)
+        last = log.agg(F.max("run_id")).first()[0] if log is not None else 0
+        row = table.agg(F.count(F.lit(1)).alias("rows_affected")).select(
+            F.lit(last + 1).alias("run_id"), F.lit(step).alias("step"), F.current_timestamp().alias("logged_at"),
+            "rows_affected",
+        )
+        row.write.mode("append").parquet(log_path)
+        return table
+
+    department = load("dim_department", department_dim(departments))
+    doctor = load("dim_doctor", doctor_dim(doctors, department))
+    patient = load("dim_patient", patient_dim(patients))
+    load("fact_admission", fact_admissions(admissions, patient, doctor, department))
+    return spark.read.parquet(log_path)
+
+
 def department_kpis(fact: DataFrame, departments: DataFrame) -> DataFrame:
     """Admissions, mean stay, revenue and emergency share per department."""
     n = F.count(F.lit(1))

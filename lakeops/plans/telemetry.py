@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.operators.aggregates import anomalies
 from lakeops.operators.quality import quarantine
+from lakeops.sources.sinks import replaced
+from lakeops.streaming.ingest import append_stream, finish, stream_json
 
 SCORES = {"temperature_c": "temp_zscore", "vibration_mm_s": "vibe_zscore"}
 
@@ -38,3 +41,25 @@ def maintenance_queue(flags: DataFrame) -> DataFrame:
         .withColumn("maintenance_priority", priority)
         .orderBy(F.desc("anomalous_reading_count"), "machine_id")
     )
+
+
+def run(spark: SparkSession, landing: str, machines: DataFrame, root: str, schema: T.StructType) -> dict[str, DataFrame]:
+    """New JSON readings into bronze as a stream, then silver, quarantine and the two gold tables.
+
+    Bronze grows by what the checkpoint has not seen; the later layers are replaced. Returns the written tables.
+    """
+    arrived = stream_json(spark, landing, schema).withColumn("_ingested_at", F.current_timestamp())
+    finish(append_stream(arrived, f"{root}/bronze", f"{root}/_checkpoint"))
+    bronze = spark.read.parquet(f"{root}/bronze")
+    if isinstance(bronze.schema["reading_timestamp"].dataType, T.StringType):
+        bronze = bronze.withColumn("reading_timestamp", F.try_to_timestamp("reading_timestamp"))
+    passed, failed = plausible(bronze)
+    silver = replaced(passed, f"{root}/silver")
+    flags = replaced(anomaly_flags(silver, machines), f"{root}/gold_anomalies")
+    return {
+        "bronze": bronze,
+        "silver": silver,
+        "quarantine": replaced(failed, f"{root}/quarantine"),
+        "anomalies": flags,
+        "maintenance": replaced(maintenance_queue(flags), f"{root}/gold_maintenance"),
+    }

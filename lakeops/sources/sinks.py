@@ -14,6 +14,12 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def replaced(df: DataFrame, path: str) -> DataFrame:
+    """Replace a table folder as a whole and read back what was written."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def append_merged(df: DataFrame, path: str) -> None:
     """Append rows that may carry new columns; read back with schema merging."""
     df.write.mode("append").parquet(path)

@@ -200,3 +200,62 @@ def test_churn_model(spark):
     scored = churn.churn_predictions(model, held_out)
     assert scored.count() == held_out.count() < 300
     assert scored.filter("churn_probability < 0 OR churn_probability > 1 OR risk_band IS NULL").isEmpty()
+
+
+def test_retail_layers(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(
+        "OrderID,OrderDate,CustomerID,CustomerName,Region,ProductID,ProductName,Category,Quantity,UnitPrice,Discount,Profit\n"
+        "O1,2026-01-02,c1, Ann , north ,p1,Tee,Apparel,2,-10.5,0.1,5.0\n"
+        "O1,2026-01-02,c1,Ann,NORTH,p1,Tee,Apparel,3,10.5,0.1,5.0\n"
+        "O2,2026-02-02,c2,,South,p1,Tee,Apparel,1,10.5,0,5.0\n"
+    )
+    root = scratch(spark, "retail")
+    for _ in range(2):
+        tables = retail.run(spark, str(tmp_path / "sales.csv"), root)
+    assert tables["bronze"].count() == 3 and "_source_file" in tables["bronze"].columns
+    assert rows(tables["silver"], "order_id", "customer_name", "region", "quantity") == [("O1", "Ann", "North", 3)]
+    assert tables["fact"].columns == retail.FACT_COLUMNS
+    assert rows(tables["monthly"], "order_month", "total_sales", "order_count") == [(1, Decimal("28.35"), 1)]
+    assert rows(tables["customers"], "customer_id", "lifetime_profit") == [("c1", Decimal("5.00"))]
+
+
+def test_star_load_twice(spark):
+    departments = spark.createDataFrame([("D02", "Neuro", 3), ("D01", "Cardio", 2)], "department_id string, department_name string, beds int")
+    doctors = spark.createDataFrame([("R2", "B", "D01"), ("R1", "A", "D02"), ("R9", "X", "D99")], "doctor_id string, doctor_name string, department_id string")
+    patients = spark.createDataFrame([("P1", dt.datetime(2008, 12, 31), "Private"), ("P2", dt.datetime(1950, 1, 1), "Self-pay")], "patient_id string, birth_date timestamp, insurance_type string")
+    admissions = spark.createDataFrame(
+        [(1, "P1", "R1", "D02", dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 4), "Stroke", True, 10.005),
+         (2, "P2", "R2", "D01", dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 3), "Cardiac", None, 20.0),
+         (3, "P2", "R9", "D01", dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 3), "Cardiac", False, 20.0)],
+        "admission_id int, patient_id string, doctor_id string, department_id string, admit_date timestamp, discharge_date timestamp, diagnosis_group string, is_emergency boolean, total_charges double",
+    )
+    root, seen = scratch(spark, "star"), []
+    for _ in range(2):
+        log = hospital.load_star(spark, root, departments, doctors, patients, admissions)
+        fact = spark.read.parquet(f"{root}/fact_admission")
+        seen.append(rows(fact))
+    assert seen[0] == seen[1]
+    assert rows(log, "run_id", "step", "rows_affected")[:4] == [(1, "dim_department", 2), (2, "dim_doctor", 2), (3, "dim_patient", 2), (4, "fact_admission", 2)]
+    assert log.count() == 8 and log.agg(F.max("run_id")).first()[0] == 8
+    assert rows(spark.read.parquet(f"{root}/dim_doctor"), "doctor_key", "doctor_id", "department_key") == [(1, "R1", 2), (2, "R2", 1)]
+    patient = spark.read.parquet(f"{root}/dim_patient")
+    assert rows(patient, "patient_id", "age_band") == [("P1", "18-39"), ("P2", "65+")]
+    assert rows(fact, "admission_key", "length_of_stay", "is_emergency") == [(1, 3, True), (2, 1, False)]
+    department = spark.read.parquet(f"{root}/dim_department")
+    assert rows(hospital.department_kpis(fact, department), "department_name", "alos", "emergency_pct") == [("Cardio", 1.0, 0.0), ("Neuro", 3.0, 100.0)]
+    census = hospital.bed_census(fact, department, "department_key", F.lit(dt.date(2025, 1, 1)), F.lit(dt.date(2026, 12, 1)))
+    assert census.count() == 700 * 2 and census.agg(F.sum("in_patients")).first()[0] == 4
+    assert rows(hospital.diagnosis_mix(fact, patient), "age_band", "admissions") == [("18-39", 1), ("65+", 1)]
+
+
+def test_telemetry_run_twice(spark):
+    at = "2026-01-01T00:00:00"
+    landing, root = scratch(spark, "landing"), scratch(spark, "telemetry")
+    data = [("M1", at, 60.0, 2.0, 900)] * 30 + [("M1", at, 100.0, 2.1, 900), ("M1", at, 999.0, 2.0, 900)]
+    schema = "machine_id string, reading_timestamp string, temperature_c double, vibration_mm_s double, rpm int"
+    readings = spark.createDataFrame(data, schema)
+    machines = spark.createDataFrame([("M1", "Press", "A")], "machine_id string, machine_type string, line string")
+    readings.coalesce(1).write.json(f"{landing}/batch_000")
+    for _ in range(2):
+        tables = telemetry.run(spark, landing, machines, root, readings.schema)
+        assert {k: t.count() for k, t in tables.items()} == {"bronze": 32, "silver": 31, "quarantine": 1, "anomalies": 1, "maintenance": 1}
