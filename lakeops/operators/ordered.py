@@ -46,6 +46,11 @@ def sortable(df: DataFrame, name: str) -> Column:
         clock = F.hour(c) * 3600 + F.minute(c) * 60
         seconds = F.date_part(F.lit("SECOND"), c).cast("double")
         number = F.unix_date(c.cast("date")) * 86400.0 + clock + seconds
+    elif isinstance(kind, T.StringType):  # the first six bytes as one number; text sorts by its bytes
+        head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6))
+        number = F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+    elif isinstance(kind, T.BooleanType):
+        number = c.cast("int").cast("double")
     else:
         raise TypeError(f"cannot cut blocks along {name} of type {kind.simpleString()}")
     return F.coalesce(number, F.lit(float("-inf")))
@@ -53,6 +58,8 @@ def sortable(df: DataFrame, name: str) -> Column:
 
 def _distinct_as_double(kind: T.DataType, values: list[float]) -> bool:
     """Whether different column values near these are also different as doubles."""
+    if isinstance(kind, T.StringType):
+        return False
     if isinstance(kind, T.LongType):
         return all(abs(v) < 2**53 for v in values)
     return not (isinstance(kind, T.DecimalType) and kind.precision > 15)
@@ -95,7 +102,8 @@ def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: in
     """Give the rows of hot keys a block that rises along ``order_by``; without hot keys nothing changes.
 
     Blocks follow quantiles of the first order column. A value so frequent that it fills blocks alone gets a
-    block of its own, cut again along the second order column. ``hot_rows=None`` skips the count, for keys
+    block of its own, cut again along the second order column (not where the first is text, of which only the
+    head is compared: put a time or number first). ``hot_rows=None`` skips the count, for keys
     whose number of rows is bounded by their meaning.
     """
     hot, blocks = hot_keys(df, keys, hot_rows) if hot_rows is not None else ([], 1)

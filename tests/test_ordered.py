@@ -111,7 +111,24 @@ def test_order_types(spark, kind):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_text_cannot_be_cut(spark):
-    df = spark.createDataFrame([("a",), ("b",)], "s string").withColumn("k", F.lit(1))
+def test_text_order(spark):
+    """Text with common heads, empty, null and non-ASCII values, as first and as second order column."""
+    i = F.col("id")
+    names = F.array(*[F.lit(x) for x in ("", "a", "shipment-1", "shipment-2", "zß", "é", "日本")])
+    df = spark.range(700).select(
+        i.cast("int").alias("id"), F.lit(1).alias("k"), F.when(i % 11 != 0, names[(i % 7).cast("int")]).alias("s"),
+        F.when(i % 3 == 0, 5).otherwise(i % 40).alias("d"), (i % 13).cast("decimal(10,2)").alias("v"),
+    )
+    for order in (["s", "id"], ["d", "s", "id"]):
+        w = Window.partitionBy("k").orderBy(*order)
+        want = df.select("id", F.row_number().over(w).alias("n"), F.lag("v").over(w).alias("p"))
+        blocks = o.cut_blocks(df, ["k"], order, 30)
+        assert blocks.df.select(*blocks.cols).distinct().count() > 4
+        got = o.windowed(df, ["k"], order, "n", {"p": "v"}, hot_rows=30)
+        assert rows(got, "id", "n", "p") == rows(want)
+
+
+def test_nested_values_cannot_be_cut(spark):
+    df = spark.createDataFrame([([1],), ([2],)], "a array<int>").withColumn("k", F.lit(1))
     with pytest.raises(TypeError):
-        o.windowed(df, ["k"], ["s"], "n", hot_rows=1)
+        o.windowed(df, ["k"], ["a"], "n", hot_rows=1)

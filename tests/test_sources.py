@@ -41,6 +41,7 @@ def test_visits_from_file_to_rank(spark, tmp_path):
     assert rows(clean, "patient_id", "department", "age") == [
         ("P1", "CARDIO", 73), ("P1", "ORTHO", 74), ("P2", "CARDIO", 45), ("P3", "UNKNOWN", None),
     ]
+    assert rows(visits.ranked_visits(clean, hot_rows=1)) == rows(visits.ranked_visits(clean))
     ranked = visits.ranked_visits(clean)
     assert rows(ranked, "patient_id", "visit_number", "days_since_prev", "dept_rank_by_age") == [
         ("P1", 1, None, 1), ("P1", 2, 14, 1), ("P2", 1, None, 2), ("P3", 1, None, 1),
