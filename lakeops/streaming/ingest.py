@@ -11,7 +11,7 @@ from lakeops.operators.clean import dedup
 from lakeops.sources.readers import parse_payload
 from lakeops.sources.sinks import overwrite_partitions
 
-BATCH = "_batch_id"
+STREAM, BATCH, MERGED = "_stream", "_batch_id", "_merged_at"
 
 
 def stream_json(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -63,22 +63,28 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Keyed upsert per micro-batch.
 
-    A batch is reduced to the latest row per key and written to its own batch folder. The cost is that of
-    the batch, the table so far is never rewritten, and a replayed batch replaces its own folder. Read the
-    current rows with :func:`current_rows`.
+    A batch is reduced to the latest row per key and written to a folder of its own, named by the stream and
+    the batch number. The cost is that of the batch and the table so far is never rewritten. A replayed batch
+    replaces its own folder; a stream that lost its checkpoint is a new stream and touches no earlier folder.
+    Read the current rows with :func:`current_rows`.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        latest = dedup(batch, keys, order_by).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        overwrite_partitions(latest, path, [BATCH])
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        latest = dedup(batch, keys, order_by).withColumns({
+            MERGED: F.current_timestamp(),
+            STREAM: F.lit(stream_id),
+            BATCH: F.lit(batch_id).cast("long"),
+        })
+        overwrite_partitions(latest, path, [STREAM, BATCH], spread=False)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or trigger_options())).start()
 
 
 def current_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current row per key of an upserted folder: the one of the latest batch that named the key."""
-    return dedup(spark.read.parquet(path), keys, [BATCH]).drop(BATCH)
+    """Current row per key of an upserted folder: the one merged last."""
+    return dedup(spark.read.parquet(path), keys, [MERGED, BATCH]).drop(MERGED, STREAM, BATCH)
 
 
 def finish(query: StreamingQuery) -> dict | None:

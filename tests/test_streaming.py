@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -51,12 +52,29 @@ def test_upsert_keeps_the_latest_and_replays_harmlessly(spark):
         ingest.finish(ingest.stream_upsert(stream, ["txn_id"], ["txn_ts", "amount"], table, state))
     want = [("a", 9.0), ("b", 3.0), ("c", 4.0)]
     assert rows(ingest.current_rows(spark, table, ["txn_id"]), "txn_id", "amount") == want
-    # A run that lost its checkpoint writes the same batch folder again.
-    again = ingest.stream_json(spark, f"{landing}/b0", batch(spark).schema)
+    folders = spark.read.parquet(table).select("_stream", "_batch_id").distinct()
+    assert rows(folders, "_batch_id") == [(0,), (1,)] and folders.select("_stream").distinct().count() == 1
+    # A stream that lost its checkpoint starts at batch 0 again; it must not replace the first stream's batch 0.
+    write_json_batch(batch(spark, ("c", 7.0, 9)), f"{landing}/late", files=1)
+    again = ingest.stream_json(spark, f"{landing}/late", batch(spark).schema)
     ingest.finish(ingest.stream_upsert(again, ["txn_id"], ["txn_ts", "amount"], table, scratch(spark, "state")))
+    want = [("a", 9.0), ("b", 3.0), ("c", 7.0)]
     assert rows(ingest.current_rows(spark, table, ["txn_id"]), "txn_id", "amount") == want
 
 
+def test_replayed_batch_replaces_itself(spark):
+    """A batch whose commit was lost runs again after a restart on the same checkpoint."""
+    landing, table, state = (scratch(spark, x) for x in ("in", "out", "state"))
+    write_json_batch(batch(spark, ("a", 1.0, 0), ("b", 2.0, 0)), landing, files=1)
+    stream = ingest.stream_json(spark, landing, batch(spark).schema)
+    ingest.finish(ingest.stream_upsert(stream, ["txn_id"], ["txn_ts"], table, state))
+    for file in (Path(state, "commits", "0"), Path(state, "commits", ".0.crc")):
+        file.unlink()
+    ingest.finish(ingest.stream_upsert(stream, ["txn_id"], ["txn_ts"], table, state))
+    assert spark.read.parquet(table).count() == 2
+    assert rows(ingest.current_rows(spark, table, ["txn_id"]), "txn_id", "amount") == [("a", 1.0), ("b", 2.0)]
+
+
 def test_stream_into_table(spark):
     landing, state = scratch(spark, "in"), scratch(spark, "state")
     write_json_batch(batch(spark, ("a", 1.0, 0)), landing, files=1)
