@@ -12,11 +12,12 @@ from lakeops.operators.quality import guarded
 from lakeops.session import scratch
 from lakeops.sources.sinks import write_partitioned
 
-# Updates: half of the customers of one segment with a new balance (null for some), and new customers.
+# Updates: customers of one segment with a low balance get another name and balance (unknown for some
+# nations), and customers in debt open a second account.
 UPDATES = """
-    SELECT c_custkey, c_name || '*' AS c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal + 1000 END AS c_acctbal
-    FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0
-    UNION ALL SELECT c_custkey + 10000000, c_name, c_acctbal FROM customer WHERE c_custkey % 10 = 0"""
+    SELECT c_custkey, c_name || '*' AS c_name, CASE WHEN c_nationkey >= 5 THEN c_acctbal + 1000 END AS c_acctbal
+    FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 5000
+    UNION ALL SELECT c_custkey + 10000000, c_name, c_acctbal FROM customer WHERE c_acctbal < 0"""
 
 
 def _target(t: Tables):
@@ -24,13 +25,14 @@ def _target(t: Tables):
 
 
 def _updates(t: Tables):
-    key = F.col("c_custkey")
-    matched = t.customer.filter((F.col("c_mktsegment") == "BUILDING") & (key % 2 == 0)).select(
+    matched = t.customer.filter("c_mktsegment = 'BUILDING' AND c_acctbal < 5000").select(
         "c_custkey",
         F.concat("c_name", F.lit("*")).alias("c_name"),
-        F.when(key % 4 != 0, F.col("c_acctbal") + 1000).alias("c_acctbal"),
+        F.when(F.col("c_nationkey") >= 5, F.col("c_acctbal") + 1000).alias("c_acctbal"),
+    )
+    fresh = t.customer.filter("c_acctbal < 0").select(
+        (F.col("c_custkey") + 10_000_000).alias("c_custkey"), "c_name", "c_acctbal"
     )
-    fresh = t.customer.filter(key % 10 == 0).select((key + 10_000_000).alias("c_custkey"), "c_name", "c_acctbal")
     return matched.unionByName(fresh)
 
 
@@ -65,24 +67,22 @@ def insert_only(t: Tables):
 
 
 def _versions(t: Tables):
-    """Suppliers at version 0, then with changed balances, removed and new members."""
-    key = F.col("s_suppkey")
-    old = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
-    kept = old.filter(key % 7 != 0).withColumn(
-        "s_acctbal", F.when(key % 3 == 0, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal"))
-    )
-    fresh = old.filter(key % 5 == 0).withColumn("s_suppkey", key + 1_000_000)
-    return old, kept.unionByName(fresh)
+    """Suppliers at version 0, then without the poorest, with changed balances and with second branches."""
+    old = t.supplier.select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    changed = F.when(F.col("s_nationkey") < 8, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal"))
+    kept = old.filter("s_acctbal >= 500").withColumn("s_acctbal", changed)
+    fresh = old.filter("s_acctbal > 8000").withColumn("s_suppkey", F.col("s_suppkey") + 1_000_000)
+    return old.drop("s_nationkey"), kept.unionByName(fresh).drop("s_nationkey")
 
 
 V0 = "SELECT s_suppkey, s_name, s_acctbal FROM supplier"
-V1 = """SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal FROM supplier
-    WHERE s_suppkey % 7 <> 0 UNION ALL SELECT s_suppkey + 1000000, s_name, s_acctbal FROM supplier WHERE s_suppkey % 5 = 0"""
-CHANGED = "s_suppkey % 7 <> 0 AND s_suppkey % 3 = 0"
+V1 = """SELECT s_suppkey, s_name, CASE WHEN s_nationkey < 8 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal FROM supplier
+    WHERE s_acctbal >= 500 UNION ALL SELECT s_suppkey + 1000000, s_name, s_acctbal FROM supplier WHERE s_acctbal > 8000"""
+CHANGED = "WHERE s_acctbal >= 500 AND s_nationkey < 8"
 FEED = f"""
-    SELECT *, 'delete' AS _change_type FROM ({V0}) WHERE s_suppkey % 7 = 0
-    UNION ALL SELECT *, 'update_preimage' FROM ({V0}) WHERE {CHANGED}
-    UNION ALL SELECT s_suppkey, s_name, s_acctbal + 1, 'update_postimage' FROM ({V0}) WHERE {CHANGED}
+    SELECT *, 'delete' AS _change_type FROM ({V0}) WHERE s_acctbal < 500
+    UNION ALL SELECT s_suppkey, s_name, s_acctbal, 'update_preimage' FROM supplier {CHANGED}
+    UNION ALL SELECT s_suppkey, s_name, s_acctbal + 1, 'update_postimage' FROM supplier {CHANGED}
     UNION ALL SELECT *, 'insert' FROM ({V1}) WHERE s_suppkey >= 1000000"""
 
 
@@ -151,25 +151,25 @@ def repair_from_backup(t: Tables):
     return fixed.agg(F.sum("price").alias("repaired_total")).select(damaged.alias("damaged_total"), "repaired_total")
 
 
-MONTHS = "SELECT l_orderkey, l_suppkey, cast(strftime(l_shipdate, '%Y%m') AS bigint) AS ship_month, l_extendedprice FROM lineitem"
+MONTHS = "SELECT l_orderkey, l_quantity, cast(strftime(l_shipdate, '%Y%m') AS bigint) AS ship_month, l_extendedprice FROM lineitem"
 
 
 def _months(t: Tables):
     month = F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ship_month")
-    return t.lineitem.select("l_orderkey", "l_suppkey", month, "l_extendedprice")
+    return t.lineitem.select("l_orderkey", "l_quantity", month, "l_extendedprice")
 
 
 @query(
     "reload_slice",
     f"""SELECT ship_month, count(*) AS n, cast(sum(cast(l_extendedprice AS decimal(12,2))) AS double) AS total FROM
     (SELECT * FROM ({MONTHS}) WHERE ship_month <> 199607
-     UNION ALL SELECT l_orderkey + 1000000, l_suppkey, ship_month, l_extendedprice FROM ({MONTHS}) WHERE ship_month = 199607 AND l_suppkey % 2 = 0)
+     UNION ALL SELECT l_orderkey + 1000000, l_quantity, ship_month, l_extendedprice FROM ({MONTHS}) WHERE ship_month = 199607 AND l_quantity >= 25)
     GROUP BY ship_month""",
 )
 def reload_slice(t: Tables):
     """One month replaced by a delta; loaded twice, with the result of loading once."""
     fact = _months(t)
-    delta = fact.filter("l_suppkey % 2 = 0").withColumn("l_orderkey", F.col("l_orderkey") + 1_000_000)
+    delta = fact.filter("l_quantity >= 25").withColumn("l_orderkey", F.col("l_orderkey") + 1_000_000)
     once, _ = changes.reload_slice(fact, delta, "ship_month", 199607)
     twice, _ = changes.reload_slice(once, delta, "ship_month", 199607)
     return twice.groupBy("ship_month").agg(
@@ -180,19 +180,19 @@ def reload_slice(t: Tables):
 @query(
     "reload_slice_log",
     f"""SELECT 'load_lines' AS proc_name, 199607::bigint AS ship_month, count(*) AS rows_deleted,
-    count(*) FILTER (l_suppkey % 2 = 0) AS rows_inserted, 'SUCCESS' AS status, cast(NULL AS varchar) AS message
+    count(*) FILTER (l_quantity >= 25) AS rows_inserted, 'SUCCESS' AS status, cast(NULL AS varchar) AS message
     FROM ({MONTHS}) WHERE ship_month = 199607""",
 )
 def reload_slice_log(t: Tables):
     fact = _months(t)
-    _, log = changes.reload_slice(fact, fact.filter("l_suppkey % 2 = 0"), "ship_month", 199607, "load_lines")
+    _, log = changes.reload_slice(fact, fact.filter("l_quantity >= 25"), "ship_month", 199607, "load_lines")
     return log.drop("log_ts")
 
 
 @query(
     "slice_load_run",
     f"""WITH s AS (SELECT count(*) AS n, count(*) FILTER (ship_month = 199607) AS a,
-    count(*) FILTER (ship_month = 199607 AND l_suppkey % 2 = 0) AS h FROM ({MONTHS}))
+    count(*) FILTER (ship_month = 199607 AND l_quantity >= 25) AS h FROM ({MONTHS}))
     SELECT 1::bigint AS run, a AS rows_deleted, h AS rows_inserted, 'SUCCESS' AS status, n - a + h AS fact_rows FROM s
     UNION ALL SELECT 2, h, h, 'SUCCESS', n - a + h FROM s""",
 )
@@ -201,7 +201,7 @@ def slice_load_run(t: Tables):
     path = scratch(t.spark, "fact")
     fact = _months(t)
     write_partitioned(fact, path, ["ship_month"])
-    delta = fact.filter("l_suppkey % 2 = 0")
+    delta = fact.filter("l_quantity >= 25")
     runs = []
     for run in (1, 2):
         log = changes.run_slice_load(t.spark, path, delta, "ship_month", 199607)

@@ -327,11 +327,11 @@ def visits_enriched(t: Tables):
 
 
 def _insurance(t: Tables):
-    """Customers as nested insurance records; some have no insurer, some no procedures."""
+    """Customers without debt as nested insurance records; some have no insurer, some no procedures."""
     key = F.col("c_custkey")
     words = F.slice(F.array(F.lit("MRI"), F.lit("XRAY"), F.lit("CONSULT")), F.lit(1), (key % 4).cast("int"))
     insurer = F.struct(F.col("c_name").alias("policy_no"), F.col("c_mktsegment").alias("provider"))
-    return t.customer.filter(key % 3 != 0).select(
+    return t.customer.filter("c_acctbal >= 0").select(
         F.concat(F.lit("P"), key.cast("string")).alias("patient_id"),
         F.when(key % 7 != 0, insurer).alias("insurance"),
         words.alias("procedures"),
@@ -344,7 +344,7 @@ def _insurance(t: Tables):
     CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS insurance_provider,
     CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS policy_no, p.procedure
     FROM customer LEFT JOIN (VALUES (1, 'MRI'), (2, 'XRAY'), (3, 'CONSULT')) AS p(i, procedure) ON p.i <= c_custkey % 4
-    WHERE c_custkey % 3 <> 0""",
+    WHERE c_acctbal >= 0""",
 )
 def insurance_rows(t: Tables):
     return visits.insurance_rows(_insurance(t))
@@ -355,7 +355,7 @@ def insurance_rows(t: Tables):
     with_(
         "visits visits_clean",
         "SELECT * FROM visits_clean WHERE patient_id NOT IN (SELECT 'P' || cast(c_custkey AS varchar) FROM customer "
-        "WHERE c_custkey % 3 <> 0)",
+        "WHERE c_acctbal >= 0)",
     ),
 )
 def uninsured_visits(t: Tables):
