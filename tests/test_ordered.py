@@ -48,7 +48,7 @@ row = st.tuples(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, database=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(row, min_size=1, max_size=60))
 def test_cut_windows_on_any_rows(spark, data):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], SCHEMA)
