@@ -1,0 +1,137 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from edge_cases import edge_docs, no_docs  # noqa: F401
+
+from lakeops.llm import packing, tokenfiles
+from lakeops.llm.packing import Packer
+from lakeops.llm.tokens import Encoder, public_path
+
+FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
+ENCODERS = {f: (Encoder(public_path(f), 50), Tokenizer.from_file(public_path(f))) for f in FILES}
+TEXT = st.text(st.one_of(st.sampled_from(list(" \n\t\r'sl re.,!19é²ßİªƀ\x1c\x85\xa0—中<|>")), st.characters(codec="utf-8")), max_size=40)
+
+
+def plain_ids(tokenizer, text, end):
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, end], "<u4")
+
+
+@pytest.mark.parametrize("file", FILES)
+@settings(max_examples=400, derandomize=True, deadline=None)
+@given(text=TEXT)
+def test_pieces_equal_whole_text(file, text):
+    fast, plain = ENCODERS[file]
+    assert np.frombuffer(fast.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_added_tokens_and_documents(spark, small, file):
+    fast, plain = ENCODERS[file]
+    texts = ["a<|endoftext|>b <|startoftext|>", *[r[0] for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect()]]
+    for text, ids in zip(texts, fast.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def expected_table(docs, file, end):
+    tokenizer, out, start = Tokenizer.from_file(public_path(file)), [], 0
+    rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    for doc, text in rows:
+        ids = plain_ids(tokenizer, text, end)
+        out.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_token_table(spark, edge_docs, no_docs, small):
+    for docs in (edge_docs, spark.read.parquet(f"{small}/documents.parquet")):
+        got = tokenfiles.token_table(docs, public_path(FILES[0]), 0)
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == expected_table(docs, FILES[0], 0)
+    assert tokenfiles.token_table(no_docs, public_path(FILES[0]), 0).collect() == []
+
+
+def test_token_files(spark, small, tmp_path):
+    import pyarrow.parquet as pq
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    tokenfiles.write_tokens(docs, str(tmp_path / "t"), public_path(FILES[0]), 0)
+    meta = tokenfiles.token_metadata(spark, str(tmp_path / "t"))
+    assert sorted(map(tuple, meta.collect())) == [r[:3] for r in expected_table(docs, FILES[0], 0)]
+    assert "ids" not in meta._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split("\n")[0]
+    one = tokenfiles.read_tokens(spark, str(tmp_path / "t"), [5]).collect()
+    assert [r.doc_id for r in one] == [5]
+    for file in (tmp_path / "t").glob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        kinds = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+        assert "DELTA_BINARY_PACKED" in kinds["doc_id"].encodings
+        assert any("DICTIONARY" in e for e in kinds["ids.list.element"].encodings)
+        assert kinds["doc_id"].has_column_index
+
+
+def packed_well(spark, docs, got, size, file, end):
+    """Pieces are those of the plain tokenizer; sequences are gapless and within the size."""
+    tokenizer, want = Tokenizer.from_file(public_path(file)), []
+    for doc, text in docs.select("doc_id", "text").collect():
+        ids = plain_ids(tokenizer, text, end)
+        for k in range(0, len(ids), size):
+            own = ids[k : k + size]
+            want.append((doc, k // size, k, len(own), zlib.crc32(own.tobytes())))
+    rows = got.collect()
+    assert sorted((tuple(r[:5]) for r in rows), key=repr) == sorted(want, key=repr)
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for items in sequences.values():
+        place = 0
+        for offset, length in sorted(items):
+            assert offset == place
+            place += length
+        assert place <= size
+    return len(sequences), sum(r[3] for r in want)
+
+
+def test_pack(spark, edge_docs, no_docs, small):
+    for docs, size in ((edge_docs, 64), (edge_docs, 4096), (spark.read.parquet(f"{small}/documents.parquet").repartition(5), 4096)):
+        made, tokens = packed_well(spark, docs, packing.pack(docs, public_path(FILES[1]), 1, size), size, FILES[1], 1)
+        assert made <= tokens / size * 1.05 + 2
+    assert packing.pack(no_docs, public_path(FILES[1]), 1).collect() == []
+
+
+def test_pack_rounds(spark, small, monkeypatch):
+    monkeypatch.setattr(packing, "REPACK_ROWS", 20)
+    docs = spark.read.parquet(f"{small}/documents.parquet").repartition(6)
+    made, tokens = packed_well(spark, docs, packing.pack(docs, public_path(FILES[1]), 1, 4096, open_limit=8), 4096, FILES[1], 1)
+    assert made <= tokens / 4096 * 1.1 + 2
+
+
+@settings(max_examples=100, derandomize=True, deadline=None)
+@given(lengths=st.lists(st.integers(1, 50), max_size=80), limit=st.integers(1, 6))
+def test_packer_by_definition(lengths, limit):
+    """Against best fit over a plain list of open sequences."""
+    packer, closed = Packer(50, limit), []
+    used: dict[int, int] = {}
+    made = 0
+    for i, n in enumerate(lengths):
+        closed += packer.put(n, i)
+        fits = [(50 - u, b) for b, u in used.items() if 50 - u >= n]
+        if fits:
+            space = min(fits)[0]
+            assert min(f for f, _ in fits) == space
+            b = next(num for num, items in [*closed, *packer.rest()] if any(x == i for _, x in items))
+            assert 50 - used[b] == space
+        else:
+            if len(used) >= limit:
+                fullest = max(used.values())
+                gone = [b for b in used if b in {num for num, _ in closed}]
+                assert len(gone) == 1 and used.pop(gone[0]) == fullest
+            b, made = made, made + 1
+            used[b] = 0
+        used[b] += n
+        if used[b] == 50:
+            del used[b]
+    assert sorted(x for _, items in [*closed, *packer.rest()] for _, x in items) == list(range(len(lengths)))
