@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import exact, mixing, packing, tokenfiles
+from lakeops.llm import chat, exact, lengths, mixing, packing, simhash, tokenfiles
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,15 @@ def op1(spark, folder):
     return exact.label_copies(table(spark, folder, "documents"))
 
 
+@query("op2_chat_format")
+def op2(spark, folder):
+    """All conversations and one whose texts hold control strings."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.chat_digest(chat.format_chats(rows))
+
+
 @query("op3_source_mixing")
 def op3(spark, folder):
     return mixing.schedule(table(spark, folder, "documents"), MIX_WEIGHTS)
@@ -51,6 +60,17 @@ def op7(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_path("word_bpe_49k.json"), 1, SEQUENCE)
 
 
+@query("op8_simhash_near_dedup")
+def op8(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"), words=4, max_bits=4)
+
+
+@query("op9_length_histogram")
+def op9(spark, folder):
+    lengths_of = lengths.token_lengths(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"))
+    return lengths.length_histogram(lengths_of)
+
+
 @query("op10_token_files")
 def op10(spark, folder):
     return tokenfiles.token_table(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"), 0)
