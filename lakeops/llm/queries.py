@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import chat, exact, lengths, mixing, packing, simhash, tokenfiles
+from lakeops.llm import chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op3(spark, folder):
     return mixing.schedule(table(spark, folder, "documents"), MIX_WEIGHTS)
 
 
+@query("op5_personal_data")
+def op5(spark, folder):
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 @query("op7_sequence_packing")
 def op7(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_path("word_bpe_49k.json"), 1, SEQUENCE)
