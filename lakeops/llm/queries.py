@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm import chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles
+from lakeops.llm import ann, chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +61,11 @@ def op5(spark, folder):
     return pii.personal_data(table(spark, folder, "documents"))
 
 
+@query("op6_nearest_neighbours")
+def op6(spark, folder):
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op7_sequence_packing")
 def op7(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_path("word_bpe_49k.json"), 1, SEQUENCE)
