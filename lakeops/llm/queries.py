@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles
+from lakeops.llm import ann, chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles, toxicity
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,25 @@ def op3(spark, folder):
     return mixing.schedule(table(spark, folder, "documents"), MIX_WEIGHTS)
 
 
+def learns() -> Column:
+    """Rows of the labels a model may learn from; the others are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.train(*toxicity.labelled_sample(docs, labels, learns()))
+
+
+@query("op4_toxicity")
+def op4(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity_model(docs, table(spark, folder, "labels")))
+    rows = scored.select("_row.doc_id", "score")
+    return rows.select(
+        "doc_id", F.coalesce(~learns(), F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op5_personal_data")
 def op5(spark, folder):
     return pii.personal_data(table(spark, folder, "documents"))
