@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import Tables
+from lakeops.functions.scalars import zero_padded
 
 
 def with_(names: str, body: str) -> str:
@@ -17,6 +18,12 @@ def with_(names: str, body: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in names.split()) + " " + body
 
 
+def padded(number: str, width: int) -> str:
+    """SQL for :func:`lakeops.functions.scalars.zero_padded`."""
+    text = f"cast({number} AS varchar)"
+    return f"lpad({text}, cast(greatest({width}, length({text})) AS integer), '0')"
+
+
 def payload_key() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -84,11 +91,11 @@ def staging(t: Tables) -> DataFrame:
         .when(flag == "R", "Returned").otherwise("Delivered")
     )
     return lines.select(
-        F.concat(F.lit("SHP"), F.lpad(number.cast("string"), 12, "0")).alias("shipment_id"),
-        F.concat(F.lit("CUST"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("customer_id"),
-        F.concat(F.lit("HUB"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0")).alias("hub_code"),
+        F.concat(F.lit("SHP"), zero_padded(number, 12)).alias("shipment_id"),
+        F.concat(F.lit("CUST"), zero_padded(F.col("o_custkey"), 9)).alias("customer_id"),
+        F.concat(F.lit("HUB"), zero_padded(F.col("l_suppkey"), 7)).alias("hub_code"),
         F.when(F.col("l_partkey") % 97 == 0, "CAR99")
-        .otherwise(F.concat(F.lit("CAR"), F.lpad((F.col("l_partkey") % 12 + 1).cast("string"), 2, "0")))
+        .otherwise(F.concat(F.lit("CAR"), zero_padded(F.col("l_partkey") % 12 + 1, 2)))
         .alias("carrier_code"),
         F.date_format(shipped, "yyyy-MM-dd").alias("ship_date"),
         F.when(~status.isin("Cancelled", "In Transit"), F.date_format(arrived, "yyyy-MM-dd")).alias("delivery_date"),
@@ -103,7 +110,7 @@ def hubs(t: Tables) -> DataFrame:
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return t.supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("hub_key"),
-        F.concat(F.lit("HUB"), F.lpad(F.col("s_suppkey").cast("string"), 7, "0")).alias("hub_code"),
+        F.concat(F.lit("HUB"), zero_padded(F.col("s_suppkey"), 7)).alias("hub_code"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("region"),
     )
@@ -117,14 +124,14 @@ def carrier_numbers(t: Tables) -> DataFrame:
 def segments(t: Tables) -> DataFrame:
     return t.customer.select(
         F.col("c_custkey").alias("customer_key"),
-        F.concat(F.lit("CUST"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("customer_id"),
+        F.concat(F.lit("CUST"), zero_padded(F.col("c_custkey"), 9)).alias("customer_id"),
         F.col("c_mktsegment").alias("segment"),
     )
 
 
 def departments(t: Tables) -> DataFrame:
     return t.nation.select(
-        F.concat(F.lit("D"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("department_id"),
+        F.concat(F.lit("D"), zero_padded(F.col("n_nationkey"), 2)).alias("department_id"),
         F.col("n_name").alias("department_name"),
         (F.col("n_nationkey") % 7 + 5).alias("beds"),
     )
@@ -132,16 +139,16 @@ def departments(t: Tables) -> DataFrame:
 
 def doctors(t: Tables) -> DataFrame:
     return t.supplier.select(
-        F.concat(F.lit("DR"), F.lpad(F.col("s_suppkey").cast("string"), 7, "0")).alias("doctor_id"),
+        F.concat(F.lit("DR"), zero_padded(F.col("s_suppkey"), 7)).alias("doctor_id"),
         F.col("s_name").alias("doctor_name"),
-        F.concat(F.lit("D"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("department_id"),
+        F.concat(F.lit("D"), zero_padded(F.col("s_nationkey"), 2)).alias("department_id"),
     )
 
 
 def patients(t: Tables) -> DataFrame:
     age_days = (365 + F.col("c_custkey") * 37 % 32000).cast("int")
     return t.customer.select(
-        F.concat(F.lit("PT"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("patient_id"),
+        F.concat(F.lit("PT"), zero_padded(F.col("c_custkey"), 9)).alias("patient_id"),
         F.date_sub(F.lit("2026-01-01").cast("date"), age_days).alias("birth_date"),
         F.col("c_mktsegment").alias("insurance_type"),
     )
@@ -152,13 +159,13 @@ def admissions(t: Tables) -> DataFrame:
     doctor = F.col("o_orderkey") % 10
     placed = t.supplier.select(
         F.col("s_suppkey").alias("_doc"),
-        F.concat(F.lit("D"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("department_id"),
+        F.concat(F.lit("D"), zero_padded(F.col("s_nationkey"), 2)).alias("department_id"),
     )
     start = F.to_date("o_orderdate")
     return t.orders.join(placed, doctor == F.col("_doc")).select(
         F.col("o_orderkey").alias("admission_id"),
-        F.concat(F.lit("PT"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("patient_id"),
-        F.concat(F.lit("DR"), F.lpad(doctor.cast("string"), 7, "0")).alias("doctor_id"),
+        F.concat(F.lit("PT"), zero_padded(F.col("o_custkey"), 9)).alias("patient_id"),
+        F.concat(F.lit("DR"), zero_padded(doctor, 7)).alias("doctor_id"),
         "department_id",
         start.alias("admit_date"),
         F.date_add(start, (F.col("o_orderkey") * 7 % 10).cast("int")).alias("discharge_date"),
@@ -308,11 +315,11 @@ CTES = {
         SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _ingested_at DESC,
                product_id DESC, quantity DESC, profit DESC, discount DESC, unit_price DESC) AS _rn
         FROM retail WHERE customer_name <> '') WHERE _rn = 1""",
-    "staging": """
-        SELECT 'SHP' || lpad(cast(l_orderkey * 10 + l_linenumber AS varchar), 12, '0') AS shipment_id,
+    "staging": f"""
+        SELECT 'SHP' || {padded('l_orderkey * 10 + l_linenumber', 12)} AS shipment_id,
                o_custkey, l_suppkey, l_partkey,
                CASE WHEN l_partkey % 97 = 0 THEN 'CAR99'
-                    ELSE 'CAR' || lpad(cast(l_partkey % 12 + 1 AS varchar), 2, '0') END AS carrier_code,
+                    ELSE 'CAR' || {padded('l_partkey % 12 + 1', 2)} END AS carrier_code,
                strftime(o_orderdate, '%Y-%m-%d') AS ship_date,
                CASE WHEN NOT (l_partkey % 19 = 1 OR o_orderstatus = 'O')
                     THEN strftime(cast(o_orderdate AS date) + cast(1 + l_partkey % 6 AS integer), '%Y-%m-%d')
@@ -322,17 +329,17 @@ CTES = {
                CASE WHEN l_partkey % 19 = 1 THEN 'Cancelled' WHEN o_orderstatus = 'O' THEN 'In Transit'
                     WHEN l_returnflag = 'R' THEN 'Returned' ELSE 'Delivered' END AS status,
                CASE WHEN l_linestatus = 'F' THEN 'Y' ELSE 'N' END AS is_express,
-               'HUB' || lpad(cast(l_suppkey AS varchar), 7, '0') AS hub_code,
-               'CUST' || lpad(cast(o_custkey AS varchar), 9, '0') AS customer_id
+               'HUB' || {padded('l_suppkey', 7)} AS hub_code,
+               'CUST' || {padded('o_custkey', 9)} AS customer_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "hubs": """
-        SELECT s_suppkey AS hub_key, 'HUB' || lpad(cast(s_suppkey AS varchar), 7, '0') AS hub_code,
+    "hubs": f"""
+        SELECT s_suppkey AS hub_key, 'HUB' || {padded('s_suppkey', 7)} AS hub_code,
                n_name AS city, r_name AS region
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
-    "carrier_dim": """
+    "carrier_dim": f"""
         SELECT -1 AS carrier_key, 'UNK' AS carrier_code, 'Unknown carrier' AS carrier_name, 'Unknown' AS service_level
         UNION ALL
-        SELECT n, 'CAR' || lpad(cast(n AS varchar), 2, '0'), 'Carrier ' || cast(n AS varchar),
+        SELECT n, 'CAR' || {padded('n', 2)}, 'Carrier ' || cast(n AS varchar),
                CASE n % 3 WHEN 0 THEN 'Express' WHEN 1 THEN 'Standard' ELSE 'Economy' END
         FROM (SELECT DISTINCT p_partkey % 12 + 1 AS n FROM part)""",
     "fact": """

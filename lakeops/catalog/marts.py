@@ -428,8 +428,8 @@ def freight_by_region_month_raw(t: Tables):
     "top_customers_segment",
     with_(
         FACT,
-        """SELECT customer_id, cast(freight AS double) AS freight FROM (SELECT
-        'CUST' || lpad(cast(customer_key AS varchar), 9, '0') AS customer_id, sum(freight_amount) AS freight
+        f"""SELECT customer_id, cast(freight AS double) AS freight FROM (SELECT
+        'CUST' || {d.padded("customer_key", 9)} AS customer_id, sum(freight_amount) AS freight
         FROM fact JOIN customer ON c_custkey = customer_key WHERE c_mktsegment = 'BUILDING' GROUP BY 1)
         ORDER BY freight DESC, customer_id LIMIT 20""",
     ),

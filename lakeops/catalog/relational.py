@@ -8,12 +8,13 @@ from pyspark.sql import types as T
 from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, mean_cents, query
 from lakeops.catalog.domains import with_
-from lakeops.functions.scalars import money, risk_band, risk_bucket, risk_bucket_arrow, risk_bucket_row
+from lakeops.functions.scalars import money, risk_band, risk_bucket, risk_bucket_arrow, risk_bucket_row, zero_padded
 from lakeops.operators.aggregates import pivot_counts, split_stratified, top_k
 from lakeops.operators.clean import distinct_rows, fill, null_out, repair_sign, tidy_name, with_typed_null
 from lakeops.operators.forest import threshold_label
 from lakeops.operators.joins import broadcast_join, dim_lookup, heavy_keys, join_salting_hot, salted_join
 from lakeops.operators.quality import control_totals, reconcile, ri_split, table_counts
+from lakeops.session import stored
 from lakeops.sources.readers import parse_payload
 from lakeops.sources.sinks import publish_views
 
@@ -25,7 +26,8 @@ from lakeops.sources.sinks import publish_views
     """SELECT o_orderkey AS order_no, o_orderstatus AS status, cast(year(o_orderdate) AS bigint) AS order_year,
     cast(quarter(o_orderdate) AS bigint) AS order_quarter, strftime(o_orderdate, '%B') AS month_name,
     strftime(o_orderdate, '%A') AS day_name, cast(strftime(o_orderdate, '%Y%m%d') AS bigint) AS date_key,
-    right('000000000' || cast(o_custkey AS varchar), 9) AS customer_code, left(o_orderpriority, 1) AS rank_digit,
+    lpad(cast(o_custkey AS varchar), cast(greatest(9, length(cast(o_custkey AS varchar))) AS integer), '0') AS customer_code,
+    left(o_orderpriority, 1) AS rank_digit, right(o_orderpriority, 3) AS priority_end,
     replace(substr(o_orderpriority, 3), ' ', '_') AS priority_name,
     cast(o_orderdate AS date) + 30 AS due_date, cast(floor(o_totalprice) AS bigint) AS whole_price FROM orders""",
 )
@@ -40,8 +42,9 @@ def column_basics(t: Tables):
             "month_name": F.date_format(day, "MMMM"),
             "day_name": F.date_format(day, "EEEE"),
             "date_key": F.date_format(day, "yyyyMMdd").cast("bigint"),
-            "customer_code": F.right(F.concat(F.lit("000000000"), F.col("o_custkey").cast("string")), F.lit(9)),
+            "customer_code": zero_padded("o_custkey", 9),
             "rank_digit": F.left("o_orderpriority", F.lit(1)),
+            "priority_end": F.right("o_orderpriority", F.lit(3)),
             "priority_name": F.replace(F.substring("o_orderpriority", 3, 100), F.lit(" "), F.lit("_")),
             "due_date": F.date_add(day, 30),
             "whole_price": F.floor("o_totalprice"),
@@ -246,7 +249,7 @@ SALTED = """SELECT s_nationkey::bigint AS s_nationkey, count(*) AS n, cast(sum(c
 
 
 def _skew_sides(t: Tables):
-    lines = t.lineitem.select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
+    lines = t.lineitem.select("l_suppkey", "l_extendedprice")
     return lines, t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
 
 
@@ -290,7 +293,7 @@ def key_statistics_join(t: Tables):
     stats = rows.groupBy("event_type").agg(
         (F.sum(money("value")).cast("double") / F.count(F.lit(1))).alias("avg_value")
     )
-    joined = rows.join(stats, "event_type")
+    joined = broadcast_join(rows, stored(stats, "statistics"), "event_type")
     return joined.withColumn("above", F.col("value") > 2 * F.col("avg_value")).drop("avg_value")
 
 

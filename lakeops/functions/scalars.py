@@ -93,10 +93,9 @@ def risk_bucket_row(age):
 
 @F.pandas_udf(T.StringType())
 def risk_bucket_arrow(age: pd.Series) -> pd.Series:
-    """Batch form of :func:`risk_bucket`; -1 stands for a missing age."""
-    edges = [-2, -1, 39, 64, 200]
-    names = ["UNKNOWN", "LOW", "MODERATE", "HIGH"]
-    return pd.cut(age.fillna(-1), bins=edges, labels=names).astype(str)
+    """Batch form of :func:`risk_bucket`: how many of its bounds each age has reached names the band."""
+    reached = (age >= 40).astype(int) + (age >= 65).astype(int)
+    return reached.map({0: "LOW", 1: "MODERATE", 2: "HIGH"}).mask(age.isna(), "UNKNOWN")
 
 
 def sla_verdict(transit_days: str | Column, is_express: str | Column) -> Column:
@@ -118,8 +117,9 @@ def text_date_key(text: str | Column) -> Column:
 
 
 def zero_padded(number: str | Column, width: int) -> Column:
-    """The last ``width`` digits with leading zeros."""
-    return F.right(F.concat(F.lit("0" * width), col(number).cast("string")), F.lit(width))
+    """The number with leading zeros up to ``width`` digits; longer numbers keep all of theirs."""
+    digits = col(number).cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
 
 
 def case_of(value: str | Column, labels: Mapping, default: str | None = None) -> Column:

@@ -16,7 +16,7 @@ from lakeops.functions.scalars import holds
 from lakeops.operators.clean import dedup
 from lakeops.operators.joins import BROADCAST_BYTES, fits_broadcast
 from lakeops.session import stored
-from lakeops.sources.sinks import overwrite_partitions
+from lakeops.sources.sinks import replace_slice
 
 CHANGE_TYPE, VERSION, COMMITTED = "_change_type", "_commit_version", "_commit_timestamp"
 FEED_COLUMNS = (CHANGE_TYPE, VERSION, COMMITTED)
@@ -26,15 +26,13 @@ class DuplicateKeyError(ValueError):
     """The source of a merge holds a key more than once, so the result would be arbitrary."""
 
 
-def checked_size(df: DataFrame, keys: list[str]) -> int:
-    """Size of the rows as text, from one pass that also raises when a non-null key occurs twice."""
-    width = F.octet_length(F.to_json(F.struct("*"))).cast("long")
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(width).alias("_bytes"))
-    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    row = per_key.agg(F.max(F.when(known, F.col("_n"))).alias("most"), F.sum("_bytes").alias("bytes")).first()
-    if (row["most"] or 0) > 1:
-        raise DuplicateKeyError(f"a key of {keys} occurs {row['most']} times in the merge source")
-    return int(row["bytes"] or 0)
+def require_unique(df: DataFrame, keys: list[str], nulls: bool = False) -> None:
+    """Raise when a key occurs twice; keys with a null count only with ``nulls``, for merges that match them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counted = F.lit(True) if nulls else reduce(and_, [F.col(k).isNotNull() for k in keys])
+    most = counts.agg(F.max(F.when(counted, F.col("_n")))).first()[0] or 0
+    if most > 1:
+        raise DuplicateKeyError(f"a key of {keys} occurs {most} times in the merge source")
 
 
 def new_rows(updates: DataFrame, target: DataFrame, keys: list[str], small: bool) -> DataFrame:
@@ -57,14 +55,14 @@ def upsert(
 ) -> DataFrame:
     """Keep one current row per key: matched rows take ``update_cols`` (default: all), new keys are inserted.
 
-    A null in a matched update wins. A batch that was measured small is stored and broadcast, so the target is
-    not shuffled; a large one goes through one full outer join.
+    A null in a matched update wins. The batch is stored, so all passes see the same rows. One that was measured small is
+    broadcast and the target is not shuffled; a large one goes through one full outer join.
     """
     rest = [c for c in target.columns if c not in keys]
     changed = set(rest if update_cols is None else update_cols)
-    source = updates.select(*target.columns)
-    small = checked_size(source, keys) <= max_bytes
-    source = stored(source, "updates") if small else source
+    source = stored(updates.select(*target.columns), "updates")
+    require_unique(source, keys)
+    small = fits_broadcast(source, max_bytes)
     fresh = source.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in rest], F.lit(True).alias("_in_u"))
 
     if small:
@@ -87,9 +85,8 @@ def upsert(
 
 def insert_only(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Add the rows whose key is new; rows already there never change."""
-    small = fits_broadcast(updates)
-    source = stored(updates, "updates") if small else updates
-    return target.unionByName(new_rows(source, target, keys, small))
+    source = stored(updates, "updates")
+    return target.unionByName(new_rows(source, target, keys, fits_broadcast(source.select(*keys))))
 
 
 def conditional_update(df: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:
@@ -108,10 +105,17 @@ def delete_where(df: DataFrame, where: Column) -> DataFrame:
 def change_feed(
     old: DataFrame, new: DataFrame, keys: list[str], version: int, committed: Column | None = None
 ) -> DataFrame:
-    """Row changes that turn ``old`` into ``new``: insert, delete, update_preimage, update_postimage."""
+    """Row changes that turn ``old`` into ``new``: insert, delete, update_preimage, update_postimage.
+
+    A null is a key value like any other. A key that repeats on either side raises :class:`DuplicateKeyError`.
+    """
     rest = [c for c in new.columns if c not in keys]
-    before = old.select(*keys, F.struct(*rest).alias("_old"))
-    after = new.select(*keys, F.struct(*rest).alias("_new"))
+    require_unique(old, keys, nulls=True)
+    require_unique(new, keys, nulls=True)
+    before = old.select(F.struct(*keys).alias("_k"), F.struct(*rest).alias("_old"))
+    after = new.select(F.struct(*keys).alias("_l"), F.struct(*rest).alias("_new"))
+    same = reduce(and_, [F.col(f"_k.{k}").eqNullSafe(F.col(f"_l.{k}")) for k in keys])
+    key = F.coalesce("_k", "_l")
 
     def change(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.col(row).alias("row"))
@@ -124,8 +128,8 @@ def change_feed(
             F.array(change("update_preimage", "_old"), change("update_postimage", "_new")),
         )
     )
-    return before.join(after, keys, "full").select(*keys, F.explode(changes).alias("_c")).select(
-        *keys,
+    return before.join(after, same, "full").select(key.alias("_k"), F.explode(changes).alias("_c")).select(
+        *[F.col("_k")[k].alias(k) for k in keys],
         *[F.col("_c.row")[c].alias(c) for c in rest],
         F.col("_c.kind").alias(CHANGE_TYPE),
         F.lit(version).cast("long").alias(VERSION),
@@ -169,7 +173,11 @@ def history(log: DataFrame) -> DataFrame:
 
 
 def repair_from(target: DataFrame, backup: DataFrame, keys: list[str], cols: list[str], where: Column) -> DataFrame:
-    """Take ``cols`` from the backup for the rows that meet ``where``; only those rows are joined."""
+    """Take ``cols`` from the backup for the rows that meet ``where``; only those rows are joined.
+
+    A key that repeats in the backup raises :class:`DuplicateKeyError`.
+    """
+    require_unique(backup, keys)
     hit = holds(where)
     saved = backup.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
     damaged = target.filter(hit).join(saved, keys, "left")
@@ -217,8 +225,8 @@ def run_slice_load(
 ) -> DataFrame:
     """Reload one partition of a fact folder that is partitioned by ``slice_col``; returns the log row.
 
-    The slice is replaced by one dynamic partition overwrite. A failure leaves the fact as it was and logs
-    zero rows with the message.
+    The delta is stored and both sides are counted first; the last step replaces the slice, so a failure leaves the fact as it
+    was and logs zero rows with the message. An empty delta empties the slice.
     """
     def log(deleted: int, inserted: int, status: str, message: str | None) -> DataFrame:
         row = [(name, str(value), deleted, inserted, status, message)]
@@ -227,22 +235,9 @@ def run_slice_load(
     try:
         fact = spark.read.parquet(fact_path)
         here = F.col(slice_col) == F.lit(value)
-        deleted = fact.filter(here).count()
-        added = delta.filter(here).select(*fact.columns)
-        if added.isEmpty():  # a dynamic overwrite touches no folder then
-            added.drop(slice_col).write.mode("overwrite").parquet(f"{fact_path}/{slice_col}={value}")
-        else:
-            overwrite_partitions(added, fact_path, [slice_col])
-        inserted = spark.read.parquet(fact_path).filter(here).count()
-        return log(deleted, inserted, "SUCCESS", None)
+        added = stored(delta.filter(here).select(*fact.columns), "slice")
+        deleted, inserted = fact.filter(here).count(), added.count()
+        replace_slice(added, fact_path, slice_col, value, spread=True)
     except Exception as problem:  # the run log must record any failure
-        return log(0, 0, "FAILED", str(problem)[:500])
-
-
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Snapshot folder of one version; it is written once and never changed."""
-    df.write.mode("errorifexists").parquet(f"{path}/version={version}")
-
-
-def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={version}")
+        return log(0, 0, "FAILED", str(problem))
+    return log(deleted, inserted, "SUCCESS", None)

@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.session import stored
 
 BROADCAST_BYTES = 100 * 1024 * 1024
 
 
+def row_width(df: DataFrame) -> Column:
+    """Bytes of a row: eight a plain value, the bytes of a text, the JSON of what is nested."""
+    parts = [F.lit(8)]
+    for f in df.schema:
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            parts.append(F.octet_length(F.col(f"`{f.name}`")) + 8)
+        elif isinstance(f.dataType, T.StructType | T.ArrayType | T.MapType | T.VariantType):
+            parts.append(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))))
+        else:
+            parts.append(F.lit(8))
+    return reduce(add, [F.coalesce(p, F.lit(8)) for p in parts]).cast("long")
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of all rows as text. One pass that returns one number; meant for the side expected to be small."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    return int(df.agg(F.sum(width.cast("long"))).first()[0] or 0)
+    """Size of all rows, from one pass that returns one number; meant for the side expected to be small."""
+    return int(df.agg(F.sum(row_width(df))).first()[0] or 0)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -49,32 +65,37 @@ def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     return stored(counts.filter(F.col("_n") > cut).select(key), "hot")
 
 
-def row_salt(df: DataFrame, buckets: int) -> Column:
-    """Bucket from the row's content and the task that reads it.
+def row_salt(df: DataFrame, buckets: int, by: list[str] | None = None) -> Column:
+    """Bucket from columns of the row and the task that reads it.
 
     Exact copies of a row are spread as far as they lie in different partitions, and a re-run task gives its
-    rows the same buckets whatever order it reads them in.
+    rows the same buckets whatever order it reads them in. ``by`` names the columns to use, so that a scan reads no others;
+    by default all but maps.
     """
-    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(buckets)).cast("int")
+    cols = by or [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.spark_partition_id()), F.lit(buckets)).cast("int")
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, on: str, buckets: int = 10) -> DataFrame:
+def salted_join(fact: DataFrame, dim: DataFrame, on: str, buckets: int = 10, by: list[str] | None = None) -> DataFrame:
     """Inner join with every fact key spread over ``buckets`` and the dimension repeated per bucket."""
-    salted = fact.withColumn("_salt", row_salt(fact, buckets))
+    salted = fact.withColumn("_salt", row_salt(fact, buckets, by))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return salted.join(repeated, [on, "_salt"]).drop("_salt")
 
 
 def join_salting_hot(
-    fact: DataFrame, dim: DataFrame, on: str, hot: DataFrame, buckets: int = 32, how: str = "inner"
+    fact: DataFrame, dim: DataFrame, on: str, hot: DataFrame, buckets: int = 32, how: str = "inner", by: list[str] | None = None
 ) -> DataFrame:
     """Join that spreads only the hot keys; the dimension is repeated for those keys alone.
 
-    ``hot`` is bounded (see :func:`heavy_keys`), so broadcasting it is safe at any data size.
+    ``how`` is inner or left: repeated dimension rows without a match must not come out. ``hot`` is bounded (see
+    :func:`heavy_keys`), so broadcasting it is safe at any data size.
     """
+    if how not in ("inner", "left", "leftouter", "left_outer"):
+        raise ValueError(f"a salted join cannot be {how}")
     marks = F.broadcast(hot.select(F.col(on), F.lit(True).alias("_hot")))
     salted = fact.join(marks, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), row_salt(fact, buckets)).otherwise(0)
+        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), row_salt(fact, buckets, by)).otherwise(0)
     )
     last = F.when(F.col("_hot"), buckets - 1).otherwise(0)
     repeated = dim.join(marks, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))

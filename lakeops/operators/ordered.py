@@ -1,8 +1,10 @@
 """Ordered analytics per key: sequence numbers, lags, running totals, dense ranks, surrogate keys.
 
-A plain window gathers all rows of a key in one task. Here a key that is too large for one task is cut into
-blocks of consecutive rows: the window runs per block, and a small table with one row per block carries the
-count, the total and the last value over to the next block. The result is the same as that of the plain window.
+A plain window gathers all rows of a key in one task. Where some key is too large for that, the rows are range-partitioned by
+(key, order) instead, by bounds that Spark samples from the columns themselves, so a key is cut into as many blocks as it
+needs, whatever the types and however many such keys there are. The window runs per block, and a table of the keys that
+cross a block's edge, at most two rows per block, carries the count, the total and the last value over to the next block.
+The result is the same as that of the plain window.
 """
 
 from __future__ import annotations
@@ -11,126 +13,41 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeops.session import stored
 
 # A key with fewer rows than this is never cut: one task sorts that many without trouble.
 HOT_ROWS = 5_000_000
-# A carry table of at most this many short rows is broadcast.
-CARRY_ROWS = 500_000
 
 
 @dataclass
 class Blocks:
-    """A DataFrame whose hot keys carry block numbers that rise along the order."""
+    """A DataFrame and the columns that number its blocks; no columns if no key had to be cut."""
 
     df: DataFrame
     cols: list[str] = field(default_factory=list)
-    carried: int = 0  # upper bound for the rows of the table that carries over
-
-
-def sortable(df: DataFrame, name: str) -> Column:
-    """The column as a double that rises with it; null sorts lowest, as in Spark's ascending order."""
-    kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.NumericType):
-        number = c.cast("double") + F.lit(0.0)  # makes -0.0 and 0.0 one value
-    elif isinstance(kind, T.DateType):
-        number = F.unix_date(c).cast("double")
-    elif isinstance(kind, T.TimestampType):
-        number = F.unix_micros(c).cast("double")
-    elif isinstance(kind, T.TimestampNTZType):  # by its fields: a session time zone must not shift it
-        clock = F.hour(c) * 3600 + F.minute(c) * 60
-        seconds = F.date_part(F.lit("SECOND"), c).cast("double")
-        number = F.unix_date(c.cast("date")) * 86400.0 + clock + seconds
-    elif isinstance(kind, T.StringType):  # the first six bytes as one number; text sorts by its bytes
-        head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6))
-        number = F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    elif isinstance(kind, T.BooleanType):
-        number = c.cast("int").cast("double")
-    else:
-        raise TypeError(f"cannot cut blocks along {name} of type {kind.simpleString()}")
-    return F.coalesce(number, F.lit(float("-inf")))
-
-
-def _distinct_as_double(kind: T.DataType, values: list[float]) -> bool:
-    """Whether different column values near these are also different as doubles."""
-    if isinstance(kind, T.StringType):
-        return False
-    if isinstance(kind, T.LongType):
-        return all(abs(v) < 2**53 for v in values)
-    return not (isinstance(kind, T.DecimalType) and kind.precision > 15)
-
-
-def quantile_cuts(values: DataFrame, blocks: int) -> list[list[float]]:
-    """Per column the approximate quantiles that cut it into ``blocks`` parts, all columns in one pass.
-
-    Only these few numbers reach the driver.
-    """
-    if blocks < 2:
-        return [[] for _ in values.columns]
-    found = values.approxQuantile(values.columns, [i / blocks for i in range(1, blocks)], 1.0 / (4 * blocks))
-    return [[v for v in cuts if math.isfinite(v)] for cuts in found]
-
-
-def bucketed(df: DataFrame, source: str, out: str, cuts: list[float]) -> DataFrame:
-    """Number of the interval between the cuts that holds the value."""
-    edges = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(edges) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=edges, inputCol=source, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[list, int]:
-    """Keys too large for one task, and the number of blocks to cut them into.
-
-    Candidates have at least ``hot_rows`` rows; of these the largest are taken, as many as there are shuffle
-    partitions. Any key beyond them is smaller than an average partition, and the driver sees no more rows.
-    Only the key columns are read, and the counts are combined map-side.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows)
-    rows = counts.orderBy(F.desc("_n")).limit(parts).collect()
-    held = sum(r["_n"] for r in rows)
-    return rows, max(1, min(4 * parts, math.ceil(held / hot_rows)))
+def rows_if_hot(df: DataFrame, keys: list[str], hot_rows: int) -> int:
+    """The number of rows if some key has at least ``hot_rows``, else 0. Reads the key columns, counts are combined map-side."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = counts.agg(F.max("_n").alias("most"), F.sum("_n").alias("rows")).first()
+    return row["rows"] if (row["most"] or 0) >= hot_rows else 0
 
 
 def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: int | None = HOT_ROWS) -> Blocks:
-    """Give the rows of hot keys a block that rises along ``order_by``; without hot keys nothing changes.
+    """Blocks of about ``hot_rows`` rows that rise along (key, order); without hot keys nothing changes.
 
-    Blocks follow quantiles of the first order column. A value so frequent that it fills blocks alone gets a
-    block of its own, cut again along the second order column (not where the first is text, of which only the
-    head is compared: put a time or number first). ``hot_rows=None`` skips the count, for keys
-    whose number of rows is bounded by their meaning.
+    The blocks are written down, since later passes must see the same ones. ``hot_rows=None`` skips the count, for keys whose
+    number of rows is bounded by their meaning.
     """
-    hot, blocks = hot_keys(df, keys, hot_rows) if hot_rows is not None else ([], 1)
-    if not hot:
+    rows = rows_if_hot(df, keys, hot_rows) if hot_rows is not None else 0
+    if not rows:
         return Blocks(df)
-    spark = df.sparkSession
-    key_schema = T.StructType([df.schema[k] for k in keys])
-    marks = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], key_schema)
-    marks = F.broadcast(marks.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.lit(True).alias("_hot")))
-    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys]
-    marked = df.join(marks, same, "left").drop(*[f"_m_{k}" for k in keys])
-
-    marked = marked.withColumn("_v", sortable(df, order_by[0]))
-    cuts = quantile_cuts(marked.filter("_hot").select("_v"), blocks)[0]
-    crowded = sorted({v for v in cuts if cuts.count(v) > 1})
-    marked = bucketed(marked, "_v", "_b", [*cuts, *[math.nextafter(v, math.inf) for v in crowded]])
-    out = marked.withColumn("_block", F.when(F.col("_hot"), F.col("_b").cast("int")).otherwise(0))
-    cols, per_key = ["_block"], len(cuts) + len(crowded) + 1
-    if crowded and len(order_by) > 1 and _distinct_as_double(df.schema[order_by[0]].dataType, crowded):
-        out = out.withColumn("_w", sortable(df, order_by[1]))
-        in_crowd = F.col("_hot") & F.col("_v").isin(crowded)
-        parts = 2 * max(cuts.count(v) for v in crowded)
-        out = bucketed(out, "_w", "_c", quantile_cuts(out.filter(in_crowd).select("_w"), parts)[0])
-        out = out.withColumn("_sub", F.when(in_crowd, F.col("_c").cast("int")).otherwise(0))
-        cols.append("_sub")
-        per_key += len(crowded) * (parts + 1)
-    return Blocks(out.select(*df.columns, *cols, "_hot"), cols, len(hot) * per_key)
+    ranged = df.repartitionByRange(math.ceil(rows / hot_rows), *keys, *order_by)
+    return Blocks(stored(ranged.withColumn("_block", F.spark_partition_id()), "blocks"), ["_block"])
 
 
 def windowed(
@@ -153,7 +70,7 @@ def windowed(
     within = Window.partitionBy(*keys, *cut.cols).orderBy(*order_by)
     to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     new = {
-        "_rn": F.row_number().over(within),
+        "_rn": F.row_number().over(within).cast("bigint"),
         **{out: F.lag(c).over(within) for out, c in lags.items()},
         **{out: F.sum(c).over(to_here) for out, c in sums.items()},
     }
@@ -169,23 +86,24 @@ def _carry(
     part: DataFrame, cut: Blocks, keys: list[str], order_by: list[str], lags: dict[str, str], sums: dict[str, str]
 ) -> DataFrame:
     """Add what the earlier blocks of a key contribute to each of its blocks."""
-    last_row = F.struct(*order_by)
-    ends = cut.df.filter("_hot").groupBy(*keys, *cut.cols).agg(
+    last_row, key, marks = F.struct(*order_by), F.struct(*keys), [*keys, *cut.cols]
+    edges = cut.df.groupBy(*cut.cols).agg(F.array(F.min(key), F.max(key)).alias("_e")).select(F.explode("_e").alias("_e")).distinct()
+    edges = F.broadcast(edges.select(*[F.col("_e")[k].alias(f"_e_{k}") for k in keys]))
+    crossing = cut.df.join(edges, [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys], "left_semi")
+    ends = crossing.groupBy(*marks).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_s_{out}") for out, c in sums.items()],
         *[F.max_by(F.struct(F.col(c).alias("v")), last_row).alias(f"_l_{out}") for out, c in lags.items()],
     )
     along = Window.partitionBy(*keys).orderBy(*cut.cols)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    marks = [*keys, *cut.cols]
     carried = ends.select(
         *[F.col(m).alias(f"_k_{m}") for m in marks],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("int").alias("_n0"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
         *[F.sum(f"_s_{out}").over(before).alias(f"_s0_{out}") for out in sums],
         *[F.lag(f"_l_{out}").over(along).alias(f"_l0_{out}") for out in lags],
     ).filter("_n0 > 0")
-    if cut.carried <= CARRY_ROWS:  # then the rows themselves need no second shuffle
-        carried = F.broadcast(carried)
+    carried = F.broadcast(carried)
     same = [F.col(m).eqNullSafe(F.col(f"_k_{m}")) for m in marks]
     joined = part.join(carried, same, "left")
     fixed = {
@@ -223,7 +141,7 @@ def dense_rank_by(
     levels = levels if hot_rows is None else stored(levels, "levels")
     numbered = windowed(levels, group, [measure], number=out, hot_rows=hot_rows)
     if descending:
-        sizes = levels.groupBy(*group).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+        sizes = levels.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
         sizes = sizes.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_n")
         inside = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
         numbered = numbered.join(sizes, inside).withColumn(out, F.col("_n") + 1 - F.col(out))

@@ -11,8 +11,9 @@ from lakeops.operators.changes import new_rows
 from lakeops.operators.clean import dedup
 from lakeops.operators.joins import fits_broadcast
 from lakeops.operators.quality import gate_metrics, quality_gate, quarantine
-from lakeops.sources.readers import add_lineage, read_if_present
-from lakeops.sources.sinks import already_done, log_run, overwrite_partitions
+from lakeops.session import stored
+from lakeops.sources.readers import add_lineage, read_or_empty
+from lakeops.sources.sinks import already_done, log_run, overwrite_partitions, replace_slice
 
 CURRENCIES = ["USD", "EUR", "GBP", "INR"]
 
@@ -32,6 +33,7 @@ def rules() -> dict:
         "account_id": F.col("account_id").isNotNull(),
         "amount": F.col("amount").isNotNull(),
         "currency": F.col("currency").isin(*CURRENCIES),
+        "txn_ts": F.col("txn_ts").isNotNull(),
     }
 
 
@@ -68,52 +70,59 @@ def group_rollup(summary: DataFrame, group: str) -> DataFrame:
     return summary.groupBy(group).agg(F.sum("total_amount").alias("group_total"))
 
 
-def run_day(spark: SparkSession, source: str, root: str, control: str, run_date: str, max_share: float = 0.10) -> dict:
-    """Bronze to gold for one batch date. Every layer is replaced by its own date, so a re-run adds nothing.
+def run_day(
+    spark: SparkSession, source: str, root: str, control: str, run_date: str, max_share: float = 0.10, again: bool = False
+) -> dict:
+    """Bronze to gold for one batch date. Every layer replaces what it held of that date, so a re-run adds and leaves nothing.
 
     ``root`` is a shared folder; ``control`` the name of the run-log table. A batch that is already logged as
-    done is skipped. The rows are read from the source once; later steps read what was written.
+    done is skipped unless ``again``. The rows are read from the source once; later steps read what was written.
     """
-    if already_done(spark, control, run_date, "gold"):
+    if not again and already_done(spark, control, run_date, "gold"):
         return {"batch_date": run_date, "skipped": True}
+    date = F.lit(run_date).cast("date")
 
-    raw = spark.read.schema(SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(source)
-    overwrite_partitions(add_lineage(raw, run_date), f"{root}/bronze", ["_batch_date"], spread=False)
-    batch = spark.read.parquet(f"{root}/bronze").filter(F.col("_batch_date") == F.lit(run_date).cast("date"))
+    raw = add_lineage(spark.read.schema(SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(source), run_date)
+    replace_slice(raw, f"{root}/bronze", "_batch_date", run_date)
+    batch = read_or_empty(spark, f"{root}/bronze", raw.schema).filter(F.col("_batch_date") == date)
 
     valid, rejected = quarantine(batch, rules())
-    overwrite_partitions(rejected, f"{root}/quarantine", ["_batch_date"], spread=False)
+    replace_slice(rejected, f"{root}/quarantine", "_batch_date", run_date)
     counts = quality_gate(gate_metrics(batch, rules()), max_share)
     log_run(spark, control, run_date, "bronze", "SUCCESS", counts["batch_rows"])
 
     fresh = conform(valid, ["txn_ts", "account_id", "amount", "currency", "channel"])
-    silver_path = f"{root}/silver"
-    earlier = read_if_present(spark, silver_path)
-    if earlier is not None:
-        others = earlier.filter(F.col("_batch_date") != F.lit(run_date).cast("date"))
-        small = fits_broadcast(fresh.select("txn_id"))
-        fresh = new_rows(fresh, others, ["txn_id"], small)
-    overwrite_partitions(fresh, silver_path, ["_batch_date"], spread=False)
-    silver = spark.read.parquet(silver_path)
-    here = silver.filter(F.col("_batch_date") == F.lit(run_date).cast("date"))
-    span = here.agg(
-        F.count(F.lit(1)).alias("n"), F.min("txn_ts").alias("first"), F.max("txn_ts").alias("last")
-    ).first()
-    log_run(spark, control, run_date, "silver", "SUCCESS", span["n"])
-
-    # Gold is rebuilt for every day the batch touched. The span reaches the scan, the days make it exact.
-    days = here.select(F.to_date("txn_ts").alias("_day")).distinct()
-    near = silver.filter(
-        (F.col("txn_ts") >= F.date_trunc("day", F.lit(span["first"])))
-        & (F.col("txn_ts") < F.date_trunc("day", F.lit(span["last"])) + F.expr("interval 1 day"))
+    silver_path, day = f"{root}/silver", F.to_date("txn_ts").alias("_day")
+    earlier = read_or_empty(spark, silver_path, fresh.schema)
+    others = earlier.filter(F.col("_batch_date") != date)
+    fresh = new_rows(fresh, others, ["txn_id"], fits_broadcast(fresh.select("txn_id")))
+    # Stored before the slice is replaced: the new rows, and the days of the rows they replace.
+    fresh, old_days = stored(fresh, "fresh"), stored(earlier.filter(F.col("_batch_date") == date).select(day).distinct(), "days")
+    replace_slice(fresh, silver_path, "_batch_date", run_date)
+    landed = fresh.count()
+    log_run(spark, control, run_date, "silver", "SUCCESS", landed)
+
+    # Gold is rebuilt for every day the batch touches or has touched. The span reaches the scan, the days make it exact.
+    days = stored(fresh.select(day).union(old_days).distinct(), "touched")
+    span = days.agg(F.min("_day").alias("first"), F.max("_day").alias("last")).first()
+    near = read_or_empty(spark, silver_path, fresh.schema).filter(
+        (F.col("txn_ts") >= F.lit(span["first"]).cast("timestamp"))
+        & (F.col("txn_ts") < F.date_add(F.lit(span["last"]).cast("date"), 1).cast("timestamp"))
     )
-    touched = near.join(days, F.to_date("txn_ts") == F.col("_day"), "left_semi")
-    overwrite_partitions(daily_channel(touched), f"{root}/gold", ["txn_date"])
-    log_run(spark, control, run_date, "gold", "SUCCESS", span["n"])
+    gold = daily_channel(near.join(days, F.to_date("txn_ts") == F.col("_day"), "left_semi"))
+    gold = stored(gold, "gold")
+    if gold.isEmpty():
+        replace_slice(gold, f"{root}/gold", "txn_date", span["first"])
+    else:
+        overwrite_partitions(gold, f"{root}/gold", ["txn_date"])
+    # Days that have no rows any more; a batch touches few days.
+    for row in days.join(gold, F.col("_day") == F.col("txn_date"), "left_anti").collect():
+        replace_slice(gold, f"{root}/gold", "txn_date", row["_day"])
+    log_run(spark, control, run_date, "gold", "SUCCESS", landed)
     return {
         "batch_date": run_date,
         "skipped": False,
         "bronze_rows": counts["batch_rows"],
-        "silver_rows": span["n"],
+        "silver_rows": landed,
         "quarantined_rows": counts["rejected_rows"],
     }

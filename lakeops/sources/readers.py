@@ -71,6 +71,16 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet folder under a known schema; no rows while nothing was written there."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def flatten_json(df: DataFrame, keep: list[str], struct_fields: dict[str, str], array_col: str, item: str) -> DataFrame:
     """Nested record to rows: struct fields become columns, the array one row per item (empty keeps a null row)."""
     fields = [F.col(path).alias(name) for name, path in struct_fields.items()]

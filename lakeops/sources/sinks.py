@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,29 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], sp
     )
 
 
+def replace_slice(df: DataFrame, path: str, slice_col: str, value: object, spread: bool = False) -> None:
+    """Replace one partition of a table partitioned by ``slice_col`` by the rows of ``df`` that belong to it, also by none.
+
+    Spark names the folder: rows are written by a dynamic overwrite, and an emptied slice is found through the files that hold
+    its rows. A table that does not exist yet is created, empty if need be.
+    """
+    here = F.col(slice_col) == F.lit(value).cast(df.schema[slice_col].dataType)
+    rows = df.where(here)
+    if not rows.isEmpty():
+        overwrite_partitions(rows, path, [slice_col], spread)
+        return
+    try:
+        old = df.sparkSession.read.schema(df.schema).parquet(path).where(here)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows.write.partitionBy(slice_col).parquet(path)
+        return
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+    for row in old.select(folder).distinct().collect():  # one folder: the slice's
+        rows.drop(slice_col).write.mode("overwrite").parquet(unquote(row["folder"]))
+
+
 def write_json_batch(df: DataFrame, path: str, files: int | None = None) -> None:
     """One JSON-lines batch folder, times with microseconds; ``files=1`` only for small landing batches."""
     writer = (df.coalesce(files) if files else df).write.mode("append")

@@ -116,12 +116,34 @@ def test_slice_load_failure_is_logged_and_changes_nothing(spark):
     assert spark.read.parquet(path).count() == 8
 
 
-def test_versions_are_written_once(spark, target):
-    path = scratch(spark, "versions")
-    c.write_version(target, path, 0)
-    assert rows(c.read_version(spark, path, 0)) == rows(target)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        c.write_version(target, path, 0)
+def test_slice_load_with_odd_names(spark):
+    """Partition values that Spark escapes, emptied and loaded again."""
+    path = scratch(spark, "fact")
+    fact = spark.range(12).select("id", F.when(F.col("id") % 3 == 0, "a/b").when(F.col("id") % 3 == 1, "c d=%").otherwise("e").alias("s"))
+    write_partitioned(fact, path, ["s"])
+    for value in ("a/b", "c d=%"):
+        gone = c.run_slice_load(spark, path, fact.limit(0), "s", value).first()
+        assert (gone.rows_deleted, gone.rows_inserted, gone.status) == (4, 0, "SUCCESS")
+        assert spark.read.parquet(path).where(F.col("s") == value).count() == 0
+        back = c.run_slice_load(spark, path, fact, "s", value).first()
+        assert (back.rows_deleted, back.rows_inserted) == (0, 4)
+    assert rows(spark.read.parquet(path), "id", "s") == rows(fact)
+
+
+def test_change_feed_keys(spark):
+    old = spark.createDataFrame([(None, 1), (1, 1), (2, None)], "k int, v int")
+    assert c.change_feed(old, old, ["k"], 1).count() == 0
+    new = spark.createDataFrame([(None, 2), (1, 1), (3, 3)], "k int, v int")
+    feed = c.change_feed(old, new, ["k"], 1)
+    assert rows(feed, "k", "v", "_change_type") == sorted(
+        [(None, 1, "update_preimage"), (None, 2, "update_postimage"), (2, None, "delete"), (3, 3, "insert")], key=repr
+    )
+    twice = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
+    for sides in ((old, twice), (twice, old)):
+        with pytest.raises(c.DuplicateKeyError):
+            c.change_feed(*sides, ["k"], 1)
+    with pytest.raises(c.DuplicateKeyError):
+        c.repair_from(old, twice, ["k"], ["v"], F.col("v") == 1)
 
 
 def test_z_order_keeps_rows_and_narrows_files(spark):
@@ -141,26 +163,14 @@ def test_z_order_keeps_rows_and_narrows_files(spark):
     assert spans.count() == 8 and max(widest) < 14_000  # an unordered file spans all 20,000
 
 
-def test_compaction_and_reshape(spark):
+def test_compaction(spark):
     small, large = scratch(spark, "small"), scratch(spark, "large")
     spark.range(1000).repartition(20).write.parquet(small)
     layout.compact(spark, small, large)
     files = spark.read.parquet(large).select(F.col("_metadata.file_path").alias("f")).distinct().count()
     assert spark.read.parquet(large).count() == 1000 and files < 20
-    df = spark.range(100)
-    assert layout.reshape(df, 3).rdd.getNumPartitions() <= 3
-    assert "hashpartitioning(id" in plan(layout.reshape(df, 4, ["id"]))
-
-
-def test_column_statistics(spark):
-    spark.range(10).write.mode("overwrite").saveAsTable("stats_probe")
-    layout.column_statistics(spark, "stats_probe", ["id"])
-    text = spark.sql("DESCRIBE EXTENDED stats_probe id").collect()
-    assert ("distinct_count", "10") in [(r.info_name, r.info_value) for r in text]
 
 
-def test_persisted_rows_are_released(spark):
-    df = spark.range(5).toDF("n")
-    with layout.persisted(df) as kept:
-        assert kept.count() == 5 and kept.storageLevel.useMemory and "InMemoryTableScan" in plan(kept.groupBy("n").count())
-    assert not df.storageLevel.useMemory
+def test_z_order_on_text_with_a_common_head(spark):
+    df = spark.range(3000).select(F.concat(F.lit("ORDER#0000000"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("t"), (F.col("id") % 50).alias("n"))
+    assert layout.with_z_order(df, ["t", "n"], bits=4).select("_z").distinct().count() > 100

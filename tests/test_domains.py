@@ -110,6 +110,24 @@ def test_banking_days(spark, tmp_path):
     spark.sql(f"DROP TABLE {control}")
 
 
+def test_bank_rerun_replaces(spark, tmp_path):
+    """Corrected files for the same date: emptied sides and days leave nothing behind; empty and rejected first batches run."""
+    root, control = scratch(spark, "bank"), "bank_rerun_control"
+    header_only = day_file(tmp_path, "none.csv", [])
+    assert banking.run_day(spark, header_only, root, control, "2026-01-14")["silver_rows"] == 0
+    rejected = day_file(tmp_path, "bad.csv", ["T1,A1,1,XYZ,2026-01-15 09:00:00,ATM", "T2,A1,1,USD,,ATM"])
+    assert banking.run_day(spark, rejected, root, control, "2026-01-15", max_share=1.0)["quarantined_rows"] == 2
+    good = day_file(tmp_path, "good.csv", ["T1,A1,1,USD,2026-01-15 09:00:00,ATM", "T2,A1,2,USD,2026-01-13 09:00:00,ATM"])
+    assert banking.run_day(spark, good, root, control, "2026-01-15", again=True)["silver_rows"] == 2
+    assert spark.read.parquet(f"{root}/quarantine").count() == 0
+    fewer = day_file(tmp_path, "fewer.csv", ["T1,A1,5,USD,2026-01-15 09:00:00,ATM"])
+    banking.run_day(spark, fewer, root, control, "2026-01-15", again=True)
+    assert rows(spark.read.parquet(f"{root}/gold"), "txn_date", "txn_count", "total_amount_usd") == [(dt.date(2026, 1, 15), 1, Decimal("5.00"))]
+    banking.run_day(spark, header_only, root, control, "2026-01-15", again=True)
+    assert spark.read.parquet(f"{root}/gold").count() == 0
+    spark.sql(f"DROP TABLE {control}")
+
+
 def test_retail_silver(spark):
     cols = [*[c for c in retail.FACT_COLUMNS if c != "sales"], "_ingested_at"]
     base = ["1", "2026-01-02", "c1", " Ann ", " north ", "p1", "Tee", "Apparel", 2, -10.0, 0.1, 5.0]

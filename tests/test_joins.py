@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
@@ -44,7 +45,9 @@ def test_broadcast_only_when_measured_small(spark):
         assert "SortMergeJoin" in plan(j.broadcast_join(fact, dim, "k", max_bytes=10))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(100 * 1024 * 1024))
-    assert j.measured_bytes(spark.range(10).toDF("n")) == 10 * len('{"n":1}')
+    assert j.measured_bytes(spark.range(10).toDF("n")) == 10 * 16
+    wide = spark.sql("SELECT 'abc' AS t, CAST(NULL AS string) AS u, map('a', 1) AS m, array(1, 2) AS a")
+    assert 8 + 11 + 8 + 2 * 10 < j.measured_bytes(wide) < 100
 
 
 def test_dim_lookup_gives_unknown_member(spark):
@@ -86,3 +89,13 @@ def test_census_counts_half_open_days(spark):
         inside = [r for r in stays(spark).filter(f"p = {p}").collect() if r.admit <= d < r.discharge] if p != 9 else []
         if d in (day(2), day(4), day(5), day(36), day(38)):
             assert n == len(inside), (p, d)
+
+
+def test_salted_join_kinds(spark):
+    fact, dim = spark.createDataFrame([(1, {"a": 1})], "k int, m map<string,int>"), spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
+    hot = dim.select("k")
+    for how in ("right", "full", "outer", "left_anti"):
+        with pytest.raises(ValueError):
+            j.join_salting_hot(fact, dim, "k", hot, 4, how)
+    assert rows(j.join_salting_hot(fact, dim, "k", hot, 4), "k", "v") == [(1, 1)]
+    assert rows(j.salted_join(fact, dim, "k", 4), "k", "v") == [(1, 1)]

@@ -20,7 +20,7 @@ def test_usd_rounds_half_up(spark):
 
 
 @pytest.mark.parametrize(
-    ("age", "bucket"), [(None, "UNKNOWN"), (0, "LOW"), (39, "LOW"), (40, "MODERATE"), (64, "MODERATE"), (65, "HIGH")]
+    ("age", "bucket"), [(None, "UNKNOWN"), (-5, "LOW"), (0, "LOW"), (39, "LOW"), (40, "MODERATE"), (64, "MODERATE"), (65, "HIGH"), (250, "HIGH")]
 )
 def test_risk_bucket_forms_agree(spark, age, bucket):
     df = spark.createDataFrame([(age,)], "age int")
@@ -54,11 +54,6 @@ def test_rate_of_empty_group_is_null(spark):
     assert one(spark, s.rate("a", "b", 1), a=("int", 1), b=("int", 3)) == Decimal("33.3")
 
 
-def test_zero_padded_keeps_last_digits(spark):
-    df = spark.createDataFrame([(7,), (123,)], "n int")
-    assert rows(df.select(s.zero_padded("n", 2).alias("x"))) == [("07",), ("23",)]
-
-
 def test_dates(spark):
     assert one(spark, s.date_key("d"), d=("date", dt.date(2026, 1, 5))) == 20260105
     assert one(spark, s.text_date_key("d"), d=("string", "2026-01-05")) == 20260105
@@ -67,3 +62,9 @@ def test_dates(spark):
 
 def test_holds_is_two_valued(spark):
     assert one(spark, s.holds(F.col("a") > 1), a=("int", None)) is False
+
+
+def test_padding_never_cuts(spark):
+    df = spark.createDataFrame([(7,), (12,), (112,), (1012,), (12345678901,), (12345678902,), (None,)], "n bigint")
+    got = [r.p for r in df.select(s.zero_padded("n", 2).alias("p")).collect()]
+    assert got == ["07", "12", "112", "1012", "12345678901", "12345678902", None]
