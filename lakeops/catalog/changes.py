@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import Tables, query
@@ -221,7 +222,12 @@ def deleted_rows(t: Tables):
     return changes.delete_where(rows, F.col("status") == "F")
 
 
-@query("guarded_rows", "SELECT o_orderkey, o_totalprice FROM orders")
+@query("guarded_rows", "SELECT o_orderkey, o_totalprice, true AS violation_stops FROM orders")
 def guarded_rows(t: Tables):
-    """Rows under a constraint that all of them meet; the first violation would stop the job."""
-    return guarded(t.orders.select("o_orderkey", "o_totalprice"), "positive price", F.col("o_totalprice") >= 0)
+    """Rows under a constraint that all of them meet, and whether one that some violate stops the job."""
+    rows, price = t.orders.select("o_orderkey", "o_totalprice"), F.col("o_totalprice")
+    try:
+        stops = guarded(rows, "low price", price < rows.agg(F.max("o_totalprice")).scalar()).agg(F.sum("o_totalprice")).first() is None
+    except PySparkException as problem:
+        stops = "low price" in str(problem)
+    return guarded(rows, "positive price", price >= 0).withColumn("violation_stops", F.lit(stops))

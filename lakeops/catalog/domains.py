@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.catalog.base import Tables
 from lakeops.functions.scalars import zero_padded
+from lakeops.operators.joins import broadcast_join
 
 
 def with_(names: str, body: str) -> str:
@@ -155,17 +156,17 @@ def patients(t: Tables) -> DataFrame:
 
 
 def admissions(t: Tables) -> DataFrame:
-    """Orders as hospital stays of 0 to 9 days, treated by one of the first ten doctors."""
-    doctor = F.col("o_orderkey") % 10
+    """Orders as hospital stays of 0 to 9 days, spread over all doctors. A small table of doctors is broadcast."""
+    doctor = F.col("o_orderkey") % t.supplier.agg(F.count(F.lit(1))).scalar()
     placed = t.supplier.select(
         F.col("s_suppkey").alias("_doc"),
         F.concat(F.lit("D"), zero_padded(F.col("s_nationkey"), 2)).alias("department_id"),
     )
     start = F.to_date("o_orderdate")
-    return t.orders.join(placed, doctor == F.col("_doc")).select(
+    return broadcast_join(t.orders.withColumn("_doc", doctor), placed, "_doc").select(
         F.col("o_orderkey").alias("admission_id"),
         F.concat(F.lit("PT"), zero_padded(F.col("o_custkey"), 9)).alias("patient_id"),
-        F.concat(F.lit("DR"), zero_padded(doctor, 7)).alias("doctor_id"),
+        F.concat(F.lit("DR"), zero_padded("_doc", 7)).alias("doctor_id"),
         "department_id",
         start.alias("admit_date"),
         F.date_add(start, (F.col("o_orderkey") * 7 % 10).cast("int")).alias("discharge_date"),
@@ -372,7 +373,7 @@ CTES = {
                o_orderkey * 7 % 10 AS length_of_stay, o_orderstatus AS diagnosis_group,
                o_orderpriority = '1-URGENT' AS is_emergency, cast(o_totalprice AS decimal(14,2)) AS total_charges
         FROM orders JOIN hospital_patients ON o_custkey = c_custkey
-        JOIN supplier ON s_suppkey = o_orderkey % 10
+        JOIN supplier ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)
         JOIN hospital_departments ON n_nationkey = s_nationkey""",
     "stays": """
         SELECT o_orderkey AS admission_id, o_custkey AS patient_id, o_orderpriority AS ward,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeops.catalog import domains as d
@@ -13,6 +15,7 @@ from lakeops.operators.quality import gate_metrics, quarantine
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry, visits
 from lakeops.session import scratch, stored
 from lakeops.sources.readers import calendar, day_bounds
+from lakeops.sources.sinks import drop_table
 
 # --- retail ---------------------------------------------------------------------------------------------
 
@@ -327,11 +330,11 @@ def visits_enriched(t: Tables):
 
 
 def _insurance(t: Tables):
-    """Customers without debt as nested insurance records; some have no insurer, some no procedures."""
+    """Customers as nested insurance records; some have no insurer, some no procedures, and every eleventh no record at all."""
     key = F.col("c_custkey")
     words = F.slice(F.array(F.lit("MRI"), F.lit("XRAY"), F.lit("CONSULT")), F.lit(1), (key % 4).cast("int"))
     insurer = F.struct(F.col("c_name").alias("policy_no"), F.col("c_mktsegment").alias("provider"))
-    return t.customer.filter("c_acctbal >= 0").select(
+    return t.customer.filter(key % 11 != 0).select(
         F.concat(F.lit("P"), key.cast("string")).alias("patient_id"),
         F.when(key % 7 != 0, insurer).alias("insurance"),
         words.alias("procedures"),
@@ -344,7 +347,7 @@ def _insurance(t: Tables):
     CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS insurance_provider,
     CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS policy_no, p.procedure
     FROM customer LEFT JOIN (VALUES (1, 'MRI'), (2, 'XRAY'), (3, 'CONSULT')) AS p(i, procedure) ON p.i <= c_custkey % 4
-    WHERE c_acctbal >= 0""",
+    WHERE c_custkey % 11 <> 0""",
 )
 def insurance_rows(t: Tables):
     return visits.insurance_rows(_insurance(t))
@@ -355,13 +358,57 @@ def insurance_rows(t: Tables):
     with_(
         "visits visits_clean",
         "SELECT * FROM visits_clean WHERE patient_id NOT IN (SELECT 'P' || cast(c_custkey AS varchar) FROM customer "
-        "WHERE c_acctbal >= 0)",
+        "WHERE c_custkey % 11 <> 0)",
     ),
 )
 def uninsured_visits(t: Tables):
     return visits.uninsured(visits.clean_visits(d.visits(t)), visits.insurance_rows(_insurance(t)))
 
 
+# --- daily bank run -------------------------------------------------------------------------------------
+
+
+@query(
+    "bank_daily_rerun",
+    with_(
+        "bank",
+        """, landed AS (SELECT *, CASE WHEN day(txn_ts) <= 15 THEN date '2026-01-01' ELSE date '2026-01-02' END AS batch FROM bank
+            WHERE day(txn_ts) > 15 OR (day(txn_ts) > 3 AND currency IS NOT NULL)),
+        marked AS (SELECT *, txn_id IS NOT NULL AND amount IS NOT NULL AND coalesce(currency IN ('USD', 'EUR', 'GBP', 'INR'), false) AS ok,
+            round(cast(amount AS decimal(18,2)) * CASE currency WHEN 'EUR' THEN 1.080 WHEN 'GBP' THEN 1.270 WHEN 'INR' THEN 0.012
+            ELSE 1.000 END, 2) AS usd FROM landed)
+        SELECT 'quarantine' AS layer, batch AS day, NULL::varchar AS channel, count(*) AS n, NULL::double AS total FROM marked WHERE NOT ok GROUP BY batch
+        UNION ALL SELECT 'silver', batch, NULL, count(*), cast(sum(usd) AS double) FROM marked WHERE ok GROUP BY batch
+        UNION ALL SELECT 'gold', cast(txn_ts AS date), channel, count(*), cast(sum(usd) AS double) FROM marked WHERE ok GROUP BY 2, 3""",
+    ),
+)
+def bank_daily_rerun(t: Tables):
+    """Two dates landed, then the first one again from a corrected file: fewer days, fewer rejected rows."""
+    root, landing, control = scratch(t.spark, "bank"), scratch(t.spark, "landing"), f"lakeops_{uuid.uuid4().hex}"
+    rows = d.bank(t).select(*banking.SCHEMA.fieldNames()).withColumn("txn_ts", F.date_format("txn_ts", "yyyy-MM-dd HH:mm:ss"))
+    early = F.dayofmonth("txn_ts") <= 15
+    files = {
+        "first": rows.where(early), "second": rows.where(~early),
+        "corrected": rows.where(early & (F.dayofmonth("txn_ts") > 3) & F.col("currency").isNotNull()),
+    }
+    for name, part in files.items():
+        part.write.option("header", True).csv(f"{landing}/{name}")
+    for name, date, again in (("first", "2026-01-01", False), ("second", "2026-01-02", False), ("corrected", "2026-01-01", True)):
+        banking.run_day(t.spark, f"{landing}/{name}", root, control, date, max_share=1.0, again=again)
+    drop_table(t.spark, control)
+    none = F.lit(None).cast("string").alias("channel")
+    held = t.spark.read.parquet(f"{root}/quarantine").groupBy(F.lit("quarantine").alias("layer"), F.col("_batch_date").alias("day"), none).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("decimal(38,2)").alias("total")
+    )
+    silver = t.spark.read.parquet(f"{root}/silver").groupBy(F.lit("silver").alias("layer"), F.col("_batch_date").alias("day"), none).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_usd").cast("decimal(38,2)").alias("total")
+    )
+    gold = t.spark.read.parquet(f"{root}/gold").select(
+        F.lit("gold").alias("layer"), F.col("txn_date").alias("day"), "channel", F.col("txn_count").alias("n"), F.col("total_amount_usd").cast("decimal(38,2)").alias("total")
+    )
+    return held.unionByName(silver).unionByName(gold)
+
+
 # --- shipment warehouse ---------------------------------------------------------------------------------
 
 
@@ -373,6 +420,20 @@ def _fact(t: Tables):
     return shipments.fact_shipments(d.staging(t), d.segments(t), d.hubs(t), _carrier_dim(t))
 
 
+_STARS: dict[tuple, str] = {}
+
+
+def star(t: Tables):
+    """The fact read from the star that :func:`shipments.write_star` wrote, once for each set of input files and session."""
+    files = (*t.lineitem.inputFiles(), *t.orders.inputFiles())
+    key = (t.spark.sparkContext.applicationId, files)
+    if key not in _STARS:
+        path = scratch(t.spark, "star")
+        shipments.write_star(_fact(t), path)
+        _STARS[key] = path
+    return t.spark.read.parquet(_STARS[key])
+
+
 def _dates(t: Tables):
     return calendar(day_bounds(t.orders, "o_orderdate"), "first_day", "last_day")
 
@@ -408,7 +469,7 @@ def carrier_dimension(t: Tables):
     ),
 )
 def freight_by_region_month(t: Tables):
-    return shipments.freight_by_region_month(_fact(t), d.hubs(t), _dates(t), 1996)
+    return shipments.freight_by_region_month(star(t), d.hubs(t), _dates(t), 1996)
 
 
 @query(
@@ -435,7 +496,7 @@ def freight_by_region_month_raw(t: Tables):
     ),
 )
 def top_customers_segment(t: Tables):
-    return shipments.top_customers(_fact(t), d.segments(t), "BUILDING", 20)
+    return shipments.top_customers(star(t), d.segments(t), "BUILDING", 20)
 
 
 @query(
@@ -448,7 +509,7 @@ def top_customers_segment(t: Tables):
     ),
 )
 def avg_transit_by_service(t: Tables):
-    return shipments.transit_by_service(_fact(t), _carrier_dim(t))
+    return shipments.transit_by_service(star(t), _carrier_dim(t))
 
 
 @query(
@@ -474,7 +535,7 @@ SLA = """CASE WHEN transit_days IS NULL THEN 'Open' WHEN is_express AND transit_
 
 @query("sla_view", with_(FACT, f"SELECT shipment_key, status, is_express, transit_days, {SLA} AS sla_result FROM fact"))
 def sla_view(t: Tables):
-    return shipments.sla_view(_fact(t))
+    return shipments.sla_view(star(t))
 
 
 @query(
@@ -482,16 +543,36 @@ def sla_view(t: Tables):
     with_(FACT, f"SELECT {SLA} AS sla_result, is_express, count(*) AS n FROM fact GROUP BY ALL"),
 )
 def sla_verdict_counts(t: Tables):
-    return shipments.sla_view(_fact(t)).groupBy("sla_result", "is_express").agg(F.count(F.lit(1)).alias("n"))
+    return shipments.sla_view(star(t)).groupBy("sla_result", "is_express").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "incident_drill",
+    with_(
+        FACT,
+        """SELECT status, count(*) AS n, cast(sum(freight_amount) AS double) AS freight,
+        cast(sum(CASE WHEN status <> 'Returned' THEN freight_amount ELSE 0 END) AS double) AS freight_while_damaged
+        FROM fact GROUP BY status""",
+    ),
+)
+def incident_drill(t: Tables):
+    """Backup, damage to all returned shipments, read as of the backup, repair; totals damaged and repaired."""
+    versions = scratch(t.spark, "drill")
+    repaired = shipments.incident_drill(star(t).drop("ship_month"), versions, F.col("status") == "Returned", ["shipment_key"])
+    damaged = t.spark.read.parquet(f"{versions}/version=1")
+    broken = damaged.groupBy("status").agg(F.sum("freight_amount").alias("freight_while_damaged"))
+    return repaired.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("freight_amount").alias("freight")).join(broken, "status")
 
 
 # --- hospital star --------------------------------------------------------------------------------------
 
 
-def _hospital(t: Tables):
-    departments = hospital.department_dim(d.departments(t))
-    doctors = hospital.doctor_dim(d.doctors(t), departments)
-    patients = hospital.patient_dim(d.patients(t))
+def _hospital(t: Tables, *wanted: str):
+    """The fact with the keys of the wanted dimensions (all by default), and those dimensions."""
+    wanted = wanted or ("patients", "doctors", "departments")
+    departments = hospital.department_dim(d.departments(t)) if {"doctors", "departments"} & {*wanted} else None
+    doctors = hospital.doctor_dim(d.doctors(t), departments) if "doctors" in wanted else None
+    patients = hospital.patient_dim(d.patients(t)) if "patients" in wanted else None
     fact = hospital.fact_admissions(d.admissions(t), patients, doctors, departments)
     return fact, patients, doctors, departments
 
@@ -536,7 +617,7 @@ def age_bands(t: Tables):
     ),
 )
 def dept_kpi(t: Tables):
-    fact, _, _, departments = _hospital(t)
+    fact, _, _, departments = _hospital(t, "departments")
     return hospital.department_kpis(fact, departments)
 
 
@@ -552,7 +633,7 @@ def dept_kpi(t: Tables):
     ),
 )
 def readmission_rate(t: Tables):
-    fact, _, _, departments = _hospital(t)
+    fact, _, _, departments = _hospital(t, "patients", "departments")
     order = ["admit_date", "admission_key"]
     fact = stored(fact.select("patient_key", "department_key", "admit_date", "discharge_date", "admission_key"))
     flagged = hospital.readmission_lag(fact, "patient_key", order, "admit_date", "discharge_date")
@@ -589,7 +670,7 @@ def census_daily(t: Tables):
     ),
 )
 def age_band_mix(t: Tables):
-    fact, patients, _, _ = _hospital(t)
+    fact, patients, _, _ = _hospital(t, "patients")
     return hospital.diagnosis_mix(fact, patients)
 
 
@@ -693,7 +774,7 @@ DELIVERY_TIES = ["ship_date", "_part", "carrier_id", "weight_kg", "_price"]
 
 
 def _deliveries(t: Tables):
-    outcome = logistics.delivery_outcome(d.deliveries(t), DELIVERY_TIES)
+    outcome = logistics.delivery_outcome(d.deliveries(t), DELIVERY_TIES).drop("_part", "_price")
     return logistics.fact_deliveries(outcome, distinct_rows(d.warehouses(t), ["warehouse_id"]))
 
 

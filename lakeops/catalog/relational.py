@@ -9,7 +9,7 @@ from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, mean_cents, query
 from lakeops.catalog.domains import with_
 from lakeops.functions.scalars import money, risk_band, risk_bucket, risk_bucket_arrow, risk_bucket_row, zero_padded
-from lakeops.operators.aggregates import pivot_counts, split_stratified, top_k
+from lakeops.operators.aggregates import pivot_counts, split_random, split_stratified, top_k
 from lakeops.operators.clean import distinct_rows, fill, null_out, repair_sign, tidy_name, with_typed_null
 from lakeops.operators.forest import threshold_label
 from lakeops.operators.joins import broadcast_join, dim_lookup, heavy_keys, join_salting_hot, salted_join
@@ -309,6 +309,39 @@ def inline_values_join(t: Tables):
     return joined.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "inline_rows",
+    """SELECT code, label, n, limit_usd FROM (SELECT o_orderstatus AS code, count(*) AS n FROM orders GROUP BY 1)
+    JOIN (VALUES ('O', 'Open', 100.0::double), ('F', 'Filled', NULL), ('P', 'Partial', 20.5)) AS v(code, label, limit_usd) USING (code)""",
+)
+def inline_rows(t: Tables):
+    """Inline rows under a typed schema and under a DDL text, and an empty frame that adds nothing."""
+    kinds = T.StructType([T.StructField("code", T.StringType()), T.StructField("label", T.StringType())])
+    names = t.spark.createDataFrame([("O", "Open"), ("F", "Filled"), ("P", "Partial")], kinds)
+    limits = t.spark.createDataFrame([("O", 100.0), ("F", None), ("P", 20.5)], "code string, limit_usd double")
+    more = t.spark.createDataFrame([], kinds)
+    counts = t.orders.groupBy(F.col("o_orderstatus").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(names.unionByName(more), "code").join(limits, "code")
+
+
+@query(
+    "random_split",
+    """SELECT count(*) AS n, count(DISTINCT o_orderkey) AS distinct_orders, true AS repeatable, true AS share_kept FROM orders""",
+)
+def random_split(t: Tables):
+    """Random split by a seed: nothing lost, nothing on both sides, the same rows again, about the share asked for."""
+    rows = t.orders.select("o_orderkey")
+    first, rest = split_random(rows, 0.8, 42)
+    again = split_random(rows, 0.8, 42)[0].select(F.sum("o_orderkey")).scalar()
+    sides = first.withColumn("train", F.lit(1)).unionByName(rest.withColumn("train", F.lit(0)))
+    return sides.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("o_orderkey").alias("distinct_orders"),
+        (F.sum(F.when(F.col("train") == 1, F.col("o_orderkey"))) == again).alias("repeatable"),
+        F.avg("train").between(0.7, 0.9).alias("share_kept"),
+    )
+
+
 # --- aggregations ---------------------------------------------------------------------------------------
 
 

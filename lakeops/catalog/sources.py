@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from lakeops.catalog.base import Tables, query
 from lakeops.functions.scalars import money
 from lakeops.operators.layout import compact, copy_table, with_z_order, zorder_write
-from lakeops.session import scratch
+from lakeops.session import scratch, stored
 from lakeops.sources import readers, sinks
 
 EVENT_ROWS = T.StructType([
@@ -109,6 +109,23 @@ def managed_table_scan(t: Tables):
     return rows.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "created_table",
+    "SELECT p_brand, cast(p_size AS bigint) AS p_size, count(*) AS n FROM part GROUP BY ALL",
+)
+def created_table(t: Tables):
+    """Partitioned table declared by DDL, declared again without effect, loaded and reloaded."""
+    name = f"lakeops_{uuid.uuid4().hex}"
+    rows = t.part.groupBy(F.col("p_size").cast("bigint").alias("p_size"), "p_brand").agg(F.count(F.lit(1)).alias("n")).select("p_size", "n", "p_brand")
+    sinks.create_table_if_missing(t.spark, name, "p_size bigint, n bigint, p_brand string", ["p_brand"])
+    sinks.reload_table(rows.limit(1), name)
+    sinks.create_table_if_missing(t.spark, name, "other int")
+    sinks.reload_table(rows, name)
+    saved = stored(t.spark.table(name), "created")
+    sinks.drop_table(t.spark, name)
+    return saved.select("p_brand", "p_size", "n")
+
+
 @query(
     "append_schema_merge",
     """SELECT c_custkey, c_acctbal, cast(NULL AS double) AS risk_score FROM customer
@@ -193,14 +210,15 @@ def self_insert_subset(t: Tables):
     return t.spark.read.parquet(path).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("copies"))
 
 
-@query("compacted_copy", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+@query("compacted_copy", "SELECT event_type, count(*) AS n, true AS fewer_files FROM events GROUP BY event_type")
 def compacted_copy(t: Tables):
     """Many small files rewritten as few, then copied as a backup."""
     small, large, backup = (scratch(t.spark, x) for x in ("small", "large", "backup"))
     t.events.repartition(16).write.parquet(small)
     compact(t.spark, small, large)
     saved = copy_table(t.spark.read.parquet(large), backup)
-    return saved.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    before, after = (len(t.spark.read.parquet(x).inputFiles()) for x in (small, backup))
+    return saved.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.lit(after < before).alias("fewer_files"))
 
 
 @query("zorder_layout", "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity FROM lineitem")

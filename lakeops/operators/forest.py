@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from lakeops.functions.scalars import risk_band
 from lakeops.session import stored
 
+# Categories beyond the most frequent ones share a fixed number of hashed names, which bounds what the driver and trees hold.
+FREQUENT, HASHED = 96, 24
 # Fixed values: (trees, depth) of the sweep.
 GRID = ((50, 4), (100, 6), (200, 8))
 WEIGHT = "_class_weight"
@@ -22,12 +24,22 @@ def threshold_label(df: DataFrame, measure: str, threshold: float, out: str) ->
     return df.withColumn(out, (F.col(measure) > threshold).cast("int"))
 
 
-def feature_stages(numeric: list[str], categorical: list[str], one_hot: bool = False) -> list:
-    """Indexed (optionally one-hot) categories and numbers in one vector; unseen categories get their own index."""
+def bounded_categories(df: DataFrame, column: str) -> SQLTransformer:
+    """Adds ``<column>_cat``: the ``FREQUENT`` most frequent values by name, all others under ``HASHED`` hashed names."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("v")).count()
+    top = [r["v"] for r in counts.orderBy(F.desc("count"), "v").limit(FREQUENT).collect()]
+    names = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in top) or "NULL"
+    value = f"CAST(`{column}` AS string)"
+    hashed = f"concat('#', CAST(pmod(xxhash64({value}), {HASHED}) AS string))"
+    return SQLTransformer(statement=f"SELECT *, CASE WHEN {value} IN ({names}) THEN {value} ELSE {hashed} END AS `{column}_cat` FROM __THIS__")
+
+
+def feature_stages(train: DataFrame, numeric: list[str], categorical: list[str], one_hot: bool = False) -> list:
+    """Indexed (optionally one-hot) bounded categories and numbers in one vector; unseen categories get their own index."""
     if not categorical:
         return [VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="skip")]
-    indexed = [f"{c}_idx" for c in categorical]
-    stages: list = [StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep")]
+    named, indexed = [f"{c}_cat" for c in categorical], [f"{c}_idx" for c in categorical]
+    stages: list = [*[bounded_categories(train, c) for c in categorical], StringIndexer(inputCols=named, outputCols=indexed, handleInvalid="keep")]
     inputs = indexed
     if one_hot:
         inputs = [f"{c}_vec" for c in categorical]
@@ -54,10 +66,10 @@ def fit_forest(
     one_hot: bool = False,
     seed: int = 42,
 ) -> PipelineModel:
-    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=64)
+    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=FREQUENT + HASHED + 8)
     if balanced:
         train, forest = with_class_weight(train, label), forest.setWeightCol(WEIGHT)
-    return Pipeline(stages=[*feature_stages(numeric, categorical, one_hot), forest]).fit(train)
+    return Pipeline(stages=[*feature_stages(train, numeric, categorical, one_hot), forest]).fit(train)
 
 
 def metrics_of(model: PipelineModel, test: DataFrame, label: str) -> tuple[float, float]:

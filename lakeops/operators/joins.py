@@ -49,9 +49,9 @@ def broadcast_join(
 def dim_lookup(
     fact: DataFrame, dim: DataFrame, natural_key: str, surrogate: str, unknown: int = -1
 ) -> DataFrame:
-    """Surrogate key of the dimension member, ``unknown`` where the member is missing."""
+    """Surrogate key of the dimension member, ``unknown`` where the member is missing. A small dimension is broadcast."""
     member = dim.select(natural_key, F.col(surrogate).alias("_sk"))
-    found = fact.join(member, natural_key, "left")
+    found = broadcast_join(fact, member, natural_key, "left")
     return found.withColumn(surrogate, F.coalesce("_sk", F.lit(unknown))).drop("_sk")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalars import age_band, holds, money, percent, year_boundaries
-from lakeops.operators.joins import followed_within, interval_census
+from lakeops.operators.joins import broadcast_join, followed_within, interval_census
 from lakeops.operators.ordered import HOT_ROWS, surrogate_key, windowed
 from lakeops.sources.readers import read_if_present
 from lakeops.sources.sinks import replaced
@@ -30,25 +30,23 @@ def patient_dim(patients: DataFrame, at: str = "2026-01-01") -> DataFrame:
 
 
 def fact_admissions(
-    admissions: DataFrame, patients: DataFrame, doctors: DataFrame, departments: DataFrame
+    admissions: DataFrame, patients: DataFrame | None, doctors: DataFrame | None, departments: DataFrame | None
 ) -> DataFrame:
-    """Admissions with dimension keys, stay length and exact charges."""
-    return (
-        admissions.join(patients.select("patient_id", "patient_key"), "patient_id")
-        .join(doctors.select("doctor_id", "doctor_key"), "doctor_id")
-        .join(departments.select("department_id", "department_key"), "department_id")
-        .select(
-            F.col("admission_id").alias("admission_key"),
-            "patient_key",
-            "doctor_key",
-            "department_key",
-            F.to_date("admit_date").alias("admit_date"),
-            F.to_date("discharge_date").alias("discharge_date"),
-            F.datediff("discharge_date", "admit_date").alias("length_of_stay"),
-            "diagnosis_group",
-            F.coalesce("is_emergency", F.lit(False)).alias("is_emergency"),
-            money("total_charges", 14, 2).alias("total_charges"),
-        )
+    """Admissions with the keys of the dimensions given, stay length and exact charges. Small dimensions are broadcast."""
+    keyed, keys = admissions, []
+    for member, dim in (("patient", patients), ("doctor", doctors), ("department", departments)):
+        if dim is not None:
+            keyed = broadcast_join(keyed, dim.select(f"{member}_id", f"{member}_key"), f"{member}_id")
+            keys.append(f"{member}_key")
+    return keyed.select(
+        F.col("admission_id").alias("admission_key"),
+        *keys,
+        F.to_date("admit_date").alias("admit_date"),
+        F.to_date("discharge_date").alias("discharge_date"),
+        F.datediff("discharge_date", "admit_date").alias("length_of_stay"),
+        "diagnosis_group",
+        F.coalesce("is_emergency", F.lit(False)).alias("is_emergency"),
+        money("total_charges", 14, 2).alias("total_charges"),
     )
 
 

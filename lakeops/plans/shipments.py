@@ -2,41 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.scalars import case_of, sla_verdict, text_date_key, zero_padded
+from lakeops.functions.scalars import case_of, holds, sla_verdict, text_date_key, zero_padded
 from lakeops.operators.aggregates import top_k
+from lakeops.operators.changes import repair_from
 from lakeops.operators.clean import dedup
-from lakeops.operators.joins import dim_lookup
-from lakeops.sources.readers import number_series
+from lakeops.operators.joins import broadcast_join, dim_lookup
+from lakeops.sources.sinks import write_partitioned
 
 STAGING = [
     "shipment_id", "customer_id", "hub_code", "carrier_code", "ship_date", "delivery_date", "weight_kg",
     "freight_amount", "status", "is_express",
 ]
 
-# City and region by hub number modulo 10, hub type by modulo 4, service level by modulo 3.
-HUB_CITIES = {
-    0: ("Mumbai", "West"), 1: ("Delhi", "North"), 2: ("Bengaluru", "South"), 3: ("Chennai", "South"),
-    4: ("Kolkata", "East"), 5: ("Hyderabad", "South"), 6: ("Pune", "West"), 7: ("Ahmedabad", "West"),
-    8: ("Jaipur", "North"), 9: ("Lucknow", "North"),
-}
-HUB_TYPES = {0: "Air", 1: "Road", 2: "Rail", 3: "Port"}
+# Service level by carrier number modulo 3.
 SERVICE_LEVELS = {0: "Express", 1: "Standard", 2: "Economy"}
 
 
-def hub_dim(spark: SparkSession, count: int = 40) -> DataFrame:
-    slot = F.col("n") % 10
-    return number_series(spark, count).select(
-        F.col("n").cast("int").alias("hub_key"),
-        F.concat(F.lit("HUB"), zero_padded("n", 2)).alias("hub_code"),
-        case_of(slot, {k: v[0] for k, v in HUB_CITIES.items()}).alias("city"),
-        case_of(slot, {k: v[1] for k, v in HUB_CITIES.items()}).alias("region"),
-        case_of(F.col("n") % 4, HUB_TYPES).alias("hub_type"),
-    )
-
-
 def carrier_dim(numbers: DataFrame) -> DataFrame:
     """Carriers from a column ``n`` plus the unknown member -1."""
     known = numbers.select(
@@ -52,75 +36,10 @@ def carrier_dim(numbers: DataFrame) -> DataFrame:
     return unknown.unionByName(known)
 
 
-def customer_dim(spark: SparkSession, count: int = 50_000) -> DataFrame:
-    slot = F.col("n") % 10
-    segment = F.when(slot.isin(0, 1), "Enterprise").when(slot.isin(2, 3, 4), "SMB").otherwise("Consumer")
-    return number_series(spark, count).select(
-        F.col("n").cast("int").alias("customer_key"),
-        F.concat(F.lit("CUST"), zero_padded("n", 5)).alias("customer_id"),
-        segment.alias("segment"),
-        F.date_add(F.lit("2022-01-01").cast("date"), (F.col("n") % 500).cast("int")).alias("signup_date"),
-    )
-
-
-def _days_on(start: Column, days: Column) -> Column:
-    return F.date_format(F.date_add(start, days.cast("int")), "yyyy-MM-dd")
-
-
-def _staged(numbers: DataFrame, **given: Column) -> DataFrame:
-    """Staging columns every generated row shares, all as text."""
-    n = F.col("n")
-
-    def cents(value: Column) -> Column:
-        return (value.cast("decimal(14,2)") / 100).cast("decimal(12,2)").cast("string")
-
-    common = {
-        "customer_id": F.concat(F.lit("CUST"), zero_padded((n * 7919) % 50000 + 1, 5)),
-        "hub_code": F.concat(F.lit("HUB"), zero_padded((n * 31) % 40 + 1, 2)),
-        "weight_kg": cents(50 + (n * 29) % 5000),
-        "freight_amount": cents(5000 + (n * 37) % 250000),
-        "is_express": F.when(n % 7 == 0, "Y").otherwise("N"),
-        **given,
-    }
-    return numbers.select(*[common[c].alias(c) for c in STAGING])
-
-
-def staged_shipments(spark: SparkSession, count: int = 1_000_000, repeat_every: int = 5000) -> DataFrame:
-    """Deterministic staging rows with planted defects: unknown carriers, open deliveries, repeated rows."""
-    n = F.col("n")
-    start, offset = F.lit("2024-01-01").cast("date"), (n * 13) % 731
-    status = case_of(n % 19, {0: "Returned", 1: "Cancelled", 2: "In Transit"}, "Delivered")
-    carrier = F.concat(F.lit("CAR"), zero_padded((n * 17) % 12 + 1, 2))
-    rows = _staged(
-        number_series(spark, count),
-        shipment_id=F.concat(F.lit("SHP"), zero_padded("n", 7)),
-        carrier_code=F.when(n % 997 == 0, "CAR99").otherwise(carrier),
-        ship_date=_days_on(start, offset),
-        delivery_date=F.when(~(n % 19).isin(1, 2), _days_on(start, offset + 1 + n % 6)),
-        status=status,
-    )
-    again = rows.filter(F.substring("shipment_id", 4, 7).cast("int") % repeat_every == 0)
-    return rows.unionByName(again)
-
-
-def staged_delta(spark: SparkSession, count: int = 5000, day: str = "2026-01-05") -> DataFrame:
-    """Staging rows of one later day."""
-    n, start = F.col("n"), F.lit(day).cast("date")
-    return _staged(
-        number_series(spark, count),
-        shipment_id=F.concat(F.lit("SHP"), (n + 1_000_000).cast("string")),
-        carrier_code=F.concat(F.lit("CAR"), zero_padded((n * 17) % 12 + 1, 2)),
-        ship_date=F.lit(day),
-        delivery_date=_days_on(start, 1 + n % 6),
-        status=F.lit("Delivered"),
-    )
-
-
 def conformed(staging: DataFrame, customers: DataFrame, hubs: DataFrame, carriers: DataFrame) -> DataFrame:
     """Staging rows as typed fact rows: dimension keys, -1 for an unknown carrier, transit days."""
-    keyed = staging.join(customers.select("customer_id", "customer_key"), "customer_id").join(
-        hubs.select("hub_code", "hub_key"), "hub_code"
-    )
+    keyed = broadcast_join(staging, customers.select("customer_id", "customer_key"), "customer_id")
+    keyed = broadcast_join(keyed, hubs.select("hub_code", "hub_key"), "hub_code")
     keyed = dim_lookup(keyed, carriers, "carrier_code", "carrier_key")
     shipped, delivered = F.to_date("ship_date"), F.to_date("delivery_date")
     return keyed.select(
@@ -145,6 +64,25 @@ def fact_shipments(staging: DataFrame, customers: DataFrame, hubs: DataFrame, ca
     return conformed(dedup(staging, ["shipment_id"], order, keep="first"), customers, hubs, carriers)
 
 
+def write_star(fact: DataFrame, path: str) -> None:
+    """The fact in one folder per ship month, so reports of a period read no others."""
+    month = F.floor(F.col("ship_date_key") / 100).cast("int")
+    write_partitioned(fact.withColumn("ship_month", month), path, ["ship_month"], mode="overwrite")
+
+
+def incident_drill(fact: DataFrame, versions: str, damage: Column, keys: list[str]) -> DataFrame:
+    """Back up the fact, damage some freight, read the fact as it was, and repair only what was damaged from that.
+
+    The versions are folders under ``versions``; returns the repaired fact.
+    """
+    fact.write.mode("errorifexists").parquet(f"{versions}/version=0")
+    zeroed = F.when(holds(damage), F.lit(0).cast(fact.schema["freight_amount"].dataType)).otherwise(F.col("freight_amount"))
+    fact.withColumn("freight_amount", zeroed).write.mode("errorifexists").parquet(f"{versions}/version=1")
+    every = fact.sparkSession.read.parquet(versions)
+    before, after = (every.filter(F.col("version") == v).drop("version") for v in (0, 1))
+    return repair_from(after, before, keys, ["freight_amount"], damage)
+
+
 def validation(fact: DataFrame) -> dict[str, Column]:
     """Control totals of the fact, for :func:`lakeops.operators.quality.control_totals`."""
     return {
@@ -163,13 +101,16 @@ def freight_by_region_month(fact: DataFrame, hubs: DataFrame, dates: DataFrame,
     The calendar's keys of the year also bound the fact's own key, so the scan skips other years.
     """
     first, last = year * 10000 + 101, year * 10000 + 1231
+    rows = fact.filter(F.col("ship_date_key").between(first, last))
+    if "ship_month" in fact.columns:  # written by months: other folders are not read
+        rows = rows.filter(F.col("ship_month").between(year * 100 + 1, year * 100 + 12))
     days = dates.filter(F.col("year_num") == year).select("date_key", "year_num", "month_num")
+    per_day = rows.groupBy("hub_key", "ship_date_key").agg(F.sum("freight_amount").alias("freight"))
     return (
-        fact.filter(F.col("ship_date_key").between(first, last))
-        .join(hubs.select("hub_key", "region"), "hub_key")
+        per_day.join(hubs.select("hub_key", "region"), "hub_key")
         .join(days, F.col("date_key") == F.col("ship_date_key"))
         .groupBy("region", "year_num", "month_num")
-        .agg(F.sum("freight_amount").alias("freight"))
+        .agg(F.sum("freight").alias("freight"))
     )
 
 

@@ -12,6 +12,7 @@ from lakeops.sources.readers import parse_payload
 from lakeops.sources.sinks import overwrite_partitions
 
 STREAM, BATCH, MERGED = "_stream", "_batch_id", "_merged_at"
+FOLDED = "folded"
 
 
 def stream_json(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -59,10 +60,12 @@ def append_stream_table(stream: DataFrame, table: str, checkpoint: str, **trigge
 
 
 def stream_upsert(
-    stream: DataFrame, keys: list[str], order_by: list[str], path: str, checkpoint: str, **trigger
+    stream: DataFrame, keys: list[str], order_by: list[str], path: str, checkpoint: str, compact_every: int = 50, **trigger
 ) -> StreamingQuery:
     """Keyed upsert per micro-batch.
 
+    Every ``compact_every`` batches the older folders are folded into one (:func:`compact_upserts`), so their number stays bounded.
+
     A batch is reduced to the latest row per key and written to a folder of its own, named by the stream and
     the batch number. The cost is that of the batch and the table so far is never rewritten. A replayed batch
     replaces its own folder; a stream that lost its checkpoint is a new stream and touches no earlier folder.
@@ -77,14 +80,51 @@ def stream_upsert(
             BATCH: F.lit(batch_id).cast("long"),
         })
         overwrite_partitions(latest, path, [STREAM, BATCH], spread=False)
+        if batch_id and batch_id % compact_every == 0:
+            compact_upserts(batch.sparkSession, path, keys)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or trigger_options())).start()
 
 
-def current_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current row per key of an upserted folder: the one merged last."""
-    return dedup(spark.read.parquet(path), keys, [MERGED, BATCH]).drop(MERGED, STREAM, BATCH)
+def current_rows(spark: SparkSession, path: str, keys: list[str], event_order: list[str] | None = None) -> DataFrame:
+    """Current row per key of an upserted folder: the one merged last, or with ``event_order`` the one latest by these columns.
+
+    By arrival a late event replaces a newer row, as in a plain merge per batch; by event order it does not.
+    """
+    return dedup(_upserted(spark, path), keys, [*(event_order or []), MERGED, BATCH]).drop(MERGED, STREAM, BATCH)
+
+
+def _upserted(spark: SparkSession, path: str) -> DataFrame:
+    """All folders. Ids of streams are texts whatever they look like."""
+    rows = spark.read.parquet(path)
+    return rows.withColumns({STREAM: F.col(STREAM).cast("string"), BATCH: F.col(BATCH).cast("long")})
+
+
+def compact_upserts(spark: SparkSession, path: str, keys: list[str], event_order: list[str] | None = None) -> int:
+    """Fold all batch folders but each stream's last into one folder of current rows; returns how many folders went.
+
+    The last batch of a stream may still be replayed, so it stays. Rows keep the time they were merged. The new folder is
+    complete before the old ones go; a reader in between sees rows twice, which :func:`current_rows` resolves.
+    """
+    rows = _upserted(spark, path)
+    folders = rows.select(STREAM, BATCH).distinct().collect()
+    last: dict[str, int] = {}
+    for f in folders:
+        last[f[STREAM]] = max(last.get(f[STREAM], -1), f[BATCH])
+    old = [f for f in folders if f[STREAM] == FOLDED or f[BATCH] < last[f[STREAM]]]
+    if len(old) < 2:
+        return 0
+    number = 1 + max((f[BATCH] for f in folders if f[STREAM] == FOLDED), default=-1)
+    marks = spark.createDataFrame([(f[STREAM], f[BATCH]) for f in old], f"{STREAM} string, {BATCH} long")
+    kept = dedup(rows.join(F.broadcast(marks), [STREAM, BATCH], "left_semi"), keys, [*(event_order or []), MERGED, BATCH])
+    kept = kept.withColumns({STREAM: F.lit(FOLDED), BATCH: F.lit(number).cast("long")})
+    overwrite_partitions(kept.select(*rows.columns), path, [STREAM, BATCH], spread=False)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for f in old:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{STREAM}={f[STREAM]}/{BATCH}={f[BATCH]}")
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(old)
 
 
 def finish(query: StreamingQuery) -> dict | None:

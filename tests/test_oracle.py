@@ -6,7 +6,7 @@ from compare import connect, differences
 import __spark_entry__ as entry
 from lakeops.catalog import ORACLES, QUERIES
 
-WITHOUT_SQL = {"forest_sweep_auc", "fraud_scores", "churn_risk_bands"}
+WITHOUT_SQL = {"fraud_scores", "churn_risk_bands"}
 
 
 def test_registry():

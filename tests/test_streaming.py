@@ -75,6 +75,24 @@ def test_replayed_batch_replaces_itself(spark):
     assert rows(ingest.current_rows(spark, table, ["txn_id"]), "txn_id", "amount") == [("a", 1.0), ("b", 2.0)]
 
 
+def test_folders_stay_few(spark):
+    """Many batches, folded every third one: few folders, and the current rows of all batches by arrival and by event."""
+    landing, table, state = (scratch(spark, x) for x in ("in", "out", "state"))
+    for i in range(10):
+        write_json_batch(batch(spark, ("a", float(i), 50 - i), (f"k{i}", 1.0, i)), f"{landing}/b{i}", files=1)
+        stream = ingest.stream_json(spark, landing, batch(spark).schema)
+        ingest.finish(ingest.stream_upsert(stream, ["txn_id"], ["txn_ts"], table, state, compact_every=3))
+        assert spark.read.parquet(table).select("_stream", "_batch_id").distinct().count() <= 5
+    want = [("a", 9.0), *[(f"k{i}", 1.0) for i in range(10)]]
+    assert rows(ingest.current_rows(spark, table, ["txn_id"]), "txn_id", "amount") == want
+    path = scratch(spark, "events")
+    for i, (amount, minute) in enumerate(((1.0, 9), (2.0, 3))):
+        late = batch(spark, ("a", amount, minute)).selectExpr("*", "current_timestamp() AS _merged_at", "'s' AS _stream", f"{i}L AS _batch_id")
+        late.write.mode("append").partitionBy("_stream", "_batch_id").parquet(path)
+    assert rows(ingest.current_rows(spark, path, ["txn_id"]), "amount") == [(2.0,)]
+    assert rows(ingest.current_rows(spark, path, ["txn_id"], ["txn_ts"]), "amount") == [(1.0,)]
+
+
 def test_stream_into_table(spark):
     landing, state = scratch(spark, "in"), scratch(spark, "state")
     write_json_batch(batch(spark, ("a", 1.0, 0)), landing, files=1)
