@@ -98,7 +98,7 @@ def repairs_and_defaults(t: Tables):
     ELSE 'Port' END AS hub_type, count(*) AS n FROM customer GROUP BY ALL""",
 )
 def modulo_buckets(t: Tables):
-    """Searched and simple CASE over modulo buckets."""
+    """Searched and simple CASE over modulo buckets. The buckets and their names."""
     slot = F.col("c_custkey") % 10
     segment = F.when(slot.isin(0, 1), "Enterprise").when(slot.isin(2, 3, 4), "SMB").otherwise("Consumer")
     kind = F.expr("CASE c_nationkey % 4 WHEN 0 THEN 'Air' WHEN 1 THEN 'Road' WHEN 2 THEN 'Rail' ELSE 'Port' END")

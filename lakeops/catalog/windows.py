@@ -107,19 +107,20 @@ def surrogate_keys_composite(t: Tables):
 @query(
     "open_orders_census",
     """WITH span AS (SELECT cast(o_orderdate AS date) AS a, cast(o_orderdate AS date) + cast(o_orderkey % 40 AS integer) AS b,
-    o_orderpriority FROM orders), cal AS (SELECT cast(unnest(generate_series(date '1996-01-01', date '1996-12-31', interval 1 day)) AS date) AS day)
+    o_orderpriority FROM orders), cal AS (SELECT cast(unnest(generate_series((SELECT min(a) FROM span), (SELECT max(b) FROM span),
+    interval 1 day)) AS date) AS day)
     SELECT p.o_orderpriority, day, count(span.a) AS open_orders FROM cal CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p
     LEFT JOIN span ON span.o_orderpriority = p.o_orderpriority AND day >= a AND day < b GROUP BY ALL""",
 )
 def open_orders_census(t: Tables):
-    """Interval census for one year; intervals that begin before it count from its first day."""
+    """Interval census over all days from the first order to the last end."""
     start = F.to_date("o_orderdate")
     spans = t.orders.select(
         "o_orderpriority", start.alias("opened"), F.date_add(start, (F.col("o_orderkey") % 40).cast("int")).alias("closed")
     )
     members = t.orders.select("o_orderpriority").distinct()
-    first, last = F.lit("1996-01-01").cast("date"), F.lit("1996-12-31").cast("date")
-    return interval_census(spans, members, "o_orderpriority", "opened", "closed", first, last, "open_orders")
+    span = day_bounds(spans, "opened", "closed").select(F.struct("first_day", "last_day")).scalar()
+    return interval_census(spans, members, "o_orderpriority", "opened", "closed", span["first_day"], span["last_day"], "open_orders")
 
 
 @query(

@@ -46,3 +46,12 @@ def test_top_k_keeps_k_rows_per_task(spark, small):
 def test_no_python_outside_the_two_function_forms(spark, small):
     for name in ("risk_bucket_native", "retail_silver", "event_daily_channel", "zscore_anomalies", "shipment_fact"):
         assert "Python" not in plan(QUERIES[name](spark, small)), name
+
+
+def test_reports_read_the_written_star(spark, small):
+    """Q1 reads the months of its year and its three columns; the star itself is built without shuffling rows by carrier."""
+    text = plan(QUERIES["freight_by_region_month"](spark, small))
+    fact = next(line for line in text.split("\n") if "Scan parquet" in line and "ship_month" in line)
+    assert "PartitionFilters: [isnotnull(ship_month" in fact and ">= 199601" in fact
+    assert "shipment_id" not in fact and "carrier_key" not in fact
+    assert "hashpartitioning(carrier_code" not in plan(QUERIES["shipment_fact"](spark, small))
