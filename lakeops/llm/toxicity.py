@@ -299,12 +299,16 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS) -> M
     if len(set(labels)) < 2:
         return Model({}, {}, float(labels[0]) if labels else 0.0)
     truth = np.array([*labels, *[0] * EMPTY_TEXTS], np.float32)
-    coded = [words_of(t) for t in [*texts, *[""] * EMPTY_TEXTS]]
-    seen = Counter(x for w in coded for x in set(w))
+    texts = [*texts, *[""] * EMPTY_TEXTS]
+    seen: Counter = Counter()
+    for t in texts:
+        seen.update(set(words_of(t)))
     names = {x: i for i, x in enumerate(sorted(seen))}
     vocabulary = {x: i for i, x in enumerate((x for x in names if seen[x] >= MIN_DOCS and x), 1)}
     words = Words(list(names), vocabulary)
-    windows = [[c[a : a + WINDOW] for a in starts(len(c))] for c in (np.array([names[x] for x in w]) for w in coded)]
+    coded = (np.array([names[x] for x in words_of(t)], np.int32) for t in texts)
+    windows = [[c[a : a + WINDOW] for a in starts(len(c))] for c in coded]
+    del names, seen
     rng = np.random.default_rng(SEED)
     w = initial_weights(len(vocabulary))
     mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
@@ -325,7 +329,7 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS) -> M
                 mean[k] += 0.1 * (g - mean[k])
                 square[k] += 0.001 * (g * g - square[k])
                 w[k] -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-6)
-    raw = Model(vocabulary, w).logits(list(texts))
+    raw = Model(vocabulary, w).logits(texts[: len(labels)])
     slope, offset = _calibrated(raw, np.array(labels, float))
     w["out"] *= np.float32(slope)
     w["bias"] = w["bias"] * np.float32(slope) + np.float32(offset)
