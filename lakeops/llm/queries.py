@@ -51,7 +51,35 @@ def op2(spark, folder):
     return chat.chat_digest(chat.format_chats(rows))
 
 
-@query("op3_source_mixing")
+_WEIGHT = " ".join(["CASE source", *(f"WHEN '{s}' THEN {w}" for s, w in MIX_WEIGHTS.items()), "ELSE 1 END"])
+# The schedule slot by slot, cycle by cycle.
+_SCHEDULE = f"""WITH RECURSIVE docs AS (
+        SELECT doc_id, source, chars, coalesce(sum(chars) OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, chars
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS before
+        FROM (SELECT doc_id, source, length(coalesce(text, ''))::bigint AS chars FROM documents)),
+    sources AS (
+        SELECT source, {_WEIGHT}::bigint AS weight, greatest(1, (sum(chars)::bigint + {mixing.BLOCK_CHARS - 1}) // {mixing.BLOCK_CHARS}) AS blocks FROM docs GROUP BY source),
+    cycles AS (
+        SELECT q, sum(w)::bigint AS slots, list({{'s': source, 'w': w}} ORDER BY source NULLS FIRST) AS active
+        FROM (SELECT *, unnest(range((blocks + weight - 1) // weight)) AS q, least(weight, blocks - q * weight) AS w FROM sources) GROUP BY q),
+    edf AS (
+        SELECT q, slots, active, 0::bigint AS t, list_transform(active, lambda x: 0::bigint) AS done, 0::bigint AS i, 0::bigint AS r FROM cycles
+        UNION ALL
+        SELECT q, slots, active, t + 1, list_transform(done, lambda d, j: d + CASE WHEN j = best.i THEN 1 ELSE 0 END), best.i, done[best.i]
+        FROM (SELECT *, list_sort(list_filter(list_transform(active, lambda x, j: CASE WHEN done[j] < x.w AND done[j] * slots // x.w <= t
+                THEN {{'due': ((done[j] + 1) * slots + x.w - 1) // x.w, 'i': j}} END), lambda c: c IS NOT NULL))[1] AS best
+              FROM edf WHERE t < slots)),
+    starts AS (SELECT q, sum(slots) OVER (ORDER BY q) - slots AS start FROM cycles),
+    taken AS (
+        SELECT q, active[i].s AS source, q * weight + r AS block, start + t - 1 AS slot, start + r * slots // active[i].w AS released,
+            start + ((r + 1) * slots + active[i].w - 1) // active[i].w AS due
+        FROM edf JOIN starts USING (q) JOIN sources ON sources.source IS NOT DISTINCT FROM active[i].s WHERE t > 0)
+    SELECT doc_id, d.source, chars, d.block, slot::bigint AS slot, released::bigint AS released, due::bigint AS due
+    FROM (SELECT docs.*, least(before // {mixing.BLOCK_CHARS}, blocks - 1) AS block FROM docs JOIN sources ON docs.source IS NOT DISTINCT FROM sources.source) d
+    JOIN taken ON taken.source IS NOT DISTINCT FROM d.source AND taken.block = d.block"""
+
+
+@query("op3_source_mixing", _SCHEDULE)
 def op3(spark, folder):
     return mixing.schedule(table(spark, folder, "documents"), MIX_WEIGHTS)
 
