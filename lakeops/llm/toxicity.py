@@ -32,8 +32,8 @@ TRIPLES = 4096
 EPOCHS, BATCH_DOCS, WINDOWS_A_DOC, RATE = 5, 32, 8, 0.01
 EMPTY_TEXTS = 30
 SEED = 42
-CACHE_WORDS = 100_000
-AT_ONCE = 2048
+CACHE_WORDS = 50_000
+AT_ONCE = 1024
 SLICE = 64
 
 _WORD = re.compile(r"[^\W_]+")
