@@ -66,7 +66,8 @@ def retail_layers(t: Tables):
     source = scratch(t.spark, "raw")
     raw = d.retail_bronze(t).drop("_ingested_at").withColumn("order_id", F.concat(F.lit("R"), "order_id"))
     raw.withColumnsRenamed({"order_id": "OrderID", "unit_price": "UnitPrice"}).write.option("header", True).csv(source)
-    return retail.run(t.spark, source, scratch(t.spark, "retail"))["monthly"]
+    schema = retail.RAW.replace("CustomerID string", "CustomerID bigint").replace("ProductID string", "ProductID bigint")
+    return retail.run(t.spark, source, scratch(t.spark, "retail"), schema)["monthly"]
 
 
 @query(
