@@ -39,7 +39,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed into sequences in stored order."""
-    return packing.pack(docs, public_path("word_bpe_49k.json"), 1, SEQUENCE)
+    return packing.pack(docs, public_path("word_bpe_49k.json"), 1, SEQUENCE, order=packing.stored_order(docs))
 
 
 STAGES = [

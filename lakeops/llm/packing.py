@@ -4,9 +4,10 @@ A packer keeps at most ``OPEN`` sequences open. A bit set marks which amounts of
 goes to the open sequence with the least free space that still holds it, found by one shift and one lowest-bit search; if none
 does, a new sequence opens, and where ``OPEN`` are open already the fullest closes first. Full sequences close at once.
 
-Each task packs the rows it reads while it reads them: no row moves. The pieces of the sequences a task still has open at its
-end are packed again by fewer tasks, and so on until one task is enough; each round handles only what the one before left
-open, at most ``OPEN`` sequences a task, so the last task's share is bounded whatever the input.
+Each task packs the rows it reads while it reads them. Without an order no row moves; with one, tasks take ranges of it. The
+pieces of the sequences a task still has open at its end are packed again, in order, by fewer tasks, and so on until one task
+is enough; each round handles only what the one before left open, at most ``OPEN`` sequences a task, so the last task's share
+is bounded whatever the input. A sequence is numbered by the place of its first piece, in whichever round it closes.
 
 Defined cases: a null text is empty; an empty text has its end id alone; documents longer than a sequence are cut into whole
 sequences and a rest; repeated rows and null ids are packed like any others; an empty table gives an empty result.
@@ -16,12 +17,13 @@ from __future__ import annotations
 
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.tokens import encoder
@@ -30,15 +32,15 @@ from lakeops.session import scratch
 OPEN = 512
 REPACK_ROWS = 20_000
 SLICE = 256
-# A sequence number holds the round, the task and the sequence within the task.
-TASK_BITS, SEQUENCE_BITS = 24, 32
+# The place of a piece holds the task of the first round and the piece within the task.
+PLACE_BITS = 32
 
-PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, place bigint"
 PLACED = f"{PIECE}, sequence_id bigint, offset bigint, closed boolean"
-_PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
+_PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "place"]
 _SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
-    ("sequence_id", pa.int64()), ("offset", pa.int64()), ("closed", pa.bool_()),
+    ("place", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("closed", pa.bool_()),
 ])
 
 
@@ -86,28 +88,29 @@ class Packer:
         return [x for space in sorted(self.by_free) for x in self.by_free[space]]
 
 
-def _batch(sequences: list[tuple[int, list]], closed: bool, base: int) -> pa.RecordBatch:
-    rows = [(*item, base + number, offset, closed) for number, items in sequences for offset, item in items]
+def _batch(sequences: list[tuple[int, list]], closed: bool) -> pa.RecordBatch:
+    """Pieces come by place, so a sequence's first item names it."""
+    rows = [(*item, items[0][1][-1], offset, closed) for _, items in sequences for offset, item in items]
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _SCHEMA]
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
-def _packed(pieces: Iterator[tuple], size: int, open_limit: int, level: int, last: bool) -> Iterator[pa.RecordBatch]:
+def _packed(pieces: Iterator[tuple], size: int, open_limit: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Pack (length, item) pairs; what is open at the end stays open unless this is the last round."""
-    base = ((level << TASK_BITS) | TaskContext.get().partitionId()) << SEQUENCE_BITS
     packer, closed = Packer(size, open_limit), []
     for length, item in pieces:
         closed += packer.put(length, item)
         if len(closed) >= 2000:
-            yield _batch(closed, True, base)
+            yield _batch(closed, True)
             closed = []
-    yield _batch(closed, True, base)
-    yield _batch(packer.rest(), last, base)
+    yield _batch(closed, True)
+    yield _batch(packer.rest(), last)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: int) -> Iterator[tuple]:
     """The pieces of each document as (length, row)."""
     encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+    place = TaskContext.get().partitionId() << PLACE_BITS
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):
             part = batch.slice(at, SLICE)
@@ -115,7 +118,8 @@ def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: i
                 ids += end
                 for piece in range(-(-len(ids) // (4 * size))):
                     own = ids[4 * size * piece : 4 * size * (piece + 1)]
-                    yield len(own) // 4, (doc, piece, piece * size, len(own) // 4, zlib.crc32(own))
+                    yield len(own) // 4, (doc, piece, piece * size, len(own) // 4, zlib.crc32(own), place)
+                    place += 1
 
 
 def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -131,28 +135,49 @@ def _written(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(PLACED).parquet(path)
 
 
+def stored_order(docs: DataFrame) -> list[Column]:
+    """Sort keys of the rows of a Parquet table as they are stored: Spark numbers the files of a write in their names.
+
+    A plain scan does not keep this order: it hands out files by size, the largest first. Rows that do not come straight
+    from files have no such keys; their tasks hold them in partition order.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return []
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("bigint")
+    return [part, F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+
+
 def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 4096, open_limit: int = OPEN,
-         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+         doc_id: str = "doc_id", text: str = "text", order: Sequence[Column] = ()) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Pieces follow the order in which the rows of ``docs`` are stored.
+    Rows are packed by ``order``, and sequence ids ascend with the first piece of a sequence in it; without it, as tasks
+    happen to read them.
     """
-    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keys = [f"key{i}" for i in range(len(order))]
+    narrow = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(c.alias(k) for c, k in zip(order, keys, strict=True))
+    )
+    if keys:
+        narrow = narrow.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys)
 
     def first(batches):
-        return _packed(_cut(batches, tokenizer, end_id, size), size, open_limit, 0, False)
+        return _packed(_cut(batches, tokenizer, end_id, size), size, open_limit, False)
 
     rounds = [_written(narrow.mapInArrow(first, PLACED), "packed-0")]
     tasks = sys.maxsize
     while rows := rounds[-1].where(~F.col("closed")).count():
         level, tasks = len(rounds), max(1, min(-(-rows // REPACK_ROWS), tasks // 2))
 
-        def repack(batches, level=level, last=tasks == 1):
-            return _packed(_again(batches), size, open_limit, level, last)
+        def repack(batches, last=tasks == 1):
+            return _packed(_again(batches), size, open_limit, last)
 
         left = rounds[-1].where(~F.col("closed")).select(*_PIECE_NAMES)
-        rounds.append(_written(left.coalesce(tasks).mapInArrow(repack, PLACED), f"packed-{level}"))
+        left = (left.repartitionByRange(tasks, "place") if tasks > 1 else left.coalesce(1)).sortWithinPartitions("place")
+        rounds.append(_written(left.mapInArrow(repack, PLACED), f"packed-{level}"))
     out = rounds[0].where("closed")
     for more in rounds[1:]:
         out = out.unionByName(more.where("closed"))
-    return out.drop("closed")
+    return out.drop("place", "closed")

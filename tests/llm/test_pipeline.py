@@ -1,8 +1,9 @@
 from collections import defaultdict
 
 import corpus_pipeline
-from lakeops.llm import simhash
+from lakeops.llm import packing, simhash
 from lakeops.llm.queries import learns, table, toxicity_model
+from lakeops.llm.tokens import public_path
 
 
 def test_stages(spark, small):
@@ -48,3 +49,30 @@ def test_stages(spark, small):
     run = corpus_pipeline.run(spark, small)
     assert sorted({r.doc_id for r in run.collect()}) == sorted(set(kept["source_mixing"]))
     assert learns() is not None
+
+
+def stored_unevenly(spark, docs, path):
+    """Three files, each longer than the one before; the ids in stored order."""
+    rows = docs.orderBy("doc_id").collect()
+    cuts = [0, len(rows) // 12, len(rows) // 3, len(rows)]
+    parts = [rows[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    spark.sparkContext.parallelize(parts, 3).flatMap(lambda x: x).toDF(docs.schema).write.parquet(path)
+    return spark.read.parquet(path), [r.doc_id for r in rows]
+
+
+def in_order(made, ids):
+    """By sequence id, the first document of each sequence never steps back in stored order."""
+    place, first = {d: i for i, d in enumerate(ids)}, {}
+    for r in made.collect():
+        first[r.sequence_id] = min(first.get(r.sequence_id, len(ids)), place[r.doc_id])
+    got = [first[s] for s in sorted(first)]
+    assert len(got) > 3 and got[0] == 0 and got == sorted(got)
+
+
+def test_packing_keeps_the_stored_order(spark, small, tmp_path, monkeypatch):
+    """Files of unequal size are read largest first; packing takes them by number, in every round."""
+    docs, ids = stored_unevenly(spark, table(spark, small, "documents"), str(tmp_path / "mixed"))
+    assert [r.doc_id for r in docs.select("doc_id").collect()] != ids
+    in_order(corpus_pipeline.packed(spark, docs, small), ids)
+    monkeypatch.setattr(packing, "REPACK_ROWS", 20)
+    in_order(packing.pack(docs, public_path("word_bpe_49k.json"), 1, 4096, open_limit=4, order=packing.stored_order(docs)), ids)
