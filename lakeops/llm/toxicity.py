@@ -339,15 +339,16 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS) -> M
 def labelled_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` clean labelled rows, the smallest by hash of the id.
 
-    ``may_learn`` is a condition on the labels' rows.
+    ``may_learn`` is a condition on the labels' rows. An id with several texts gives the first of them in byte order.
     """
     known = labels.where(may_learn & F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     known = known.select(F.col(doc_id).cast("bigint").alias("_id"), (F.col(label) == 1).cast("int").alias("_label")).distinct()
     order = (F.xxhash64("_id"), F.col("_id"))
     chosen = known.where("_label = 1").orderBy(*order).limit(TRAIN_TOXIC).unionByName(known.where("_label = 0").orderBy(*order).limit(TRAIN_CLEAN))
-    # At most TRAIN_TOXIC + TRAIN_CLEAN rows are broadcast.
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
-    found = sorted(((r["_id"], r["_text"] or "", r["_label"]) for r in rows.limit(2 * (TRAIN_TOXIC + TRAIN_CLEAN)).collect()))
+    # At most TRAIN_TOXIC + TRAIN_CLEAN rows are broadcast, and as many come back.
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    found = sorted((r["_id"], r["_text"], r["_label"]) for r in rows.collect())
     return [t for _, t, _ in found], [y for _, _, y in found]
 
 

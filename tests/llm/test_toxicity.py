@@ -113,3 +113,12 @@ def test_edges(spark, model, edge_docs, no_docs):
     texts, known = toxicity.labelled_sample(edge_docs, labels, F.lit(True))
     assert sorted(zip(texts, known, strict=True)) == [("", 0), ("", 1)]
     assert toxicity.labelled_sample(edge_docs, labels, learns())[1] is not None
+
+
+def test_a_repeated_id_displaces_no_other(spark):
+    """Many rows of one labelled id are one sample, the same in any order of the rows."""
+    many = spark.range(7000).selectExpr("1L AS doc_id", "'bad ' || id AS text")
+    docs = many.unionByName(spark.createDataFrame([(2, "good")], "doc_id bigint, text string")).coalesce(1)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    for rows in (docs, docs.repartition(7)):
+        assert toxicity.labelled_sample(rows, labels, F.lit(True)) == (["bad 0", "good"], [1, 0])
