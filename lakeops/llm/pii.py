@@ -96,6 +96,8 @@ _MARK = re.compile(r"\[(email|ip|card|phone):([^\]]*)\]")
 _TAGS = ("O", *KINDS)
 AROUND = 2
 BATCH = 2048
+# Words of a decoding batch with all its sequences padded to the longest.
+CELLS = 1 << 19
 SLICE = 512
 PLAIN = "word"
 
@@ -263,6 +265,17 @@ def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
+def _together(places: list[tuple[int, list]]) -> Iterator[list[tuple[int, list]]]:
+    """Sequences sorted by length, as batches of bounded padded size; a sequence beyond it is alone."""
+    begin = 0
+    for end, (_, words) in enumerate(places):
+        if end > begin and (end - begin == BATCH or (end - begin + 1) * len(words) > CELLS):
+            yield places[begin:end]
+            begin = end
+    if places:
+        yield places[begin:]
+
+
 def find_spans(texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """Per text its base spans and all spans, each by kind and then start."""
     base = [base_spans(t) for t in texts]
@@ -271,8 +284,7 @@ def find_spans(texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     added: list[list[Span]] = [[] for _ in texts]
     # Sequences of like length are decoded together, a bounded number at a time.
     places.sort(key=lambda x: len(x[1]))
-    for at in range(0, len(places), BATCH):
-        part = places[at : at + BATCH]
+    for part in _together(places):
         tags = model.decode([model.scores([texts[i][a:b] for a, b in words]) for i, words in part])
         for (i, words), found in zip(part, tags, strict=True):
             t = 0

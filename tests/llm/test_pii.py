@@ -87,3 +87,19 @@ def test_op5_by_definition(spark, small, edge_docs, no_docs):
             want.append((r.doc_id, *counts, hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()))
         assert sorted((tuple(r[:6]) for r in got.collect()), key=repr) == sorted(want, key=repr)
     assert pii.personal_data(no_docs).collect() == []
+
+
+def test_a_long_sequence_pads_no_others(monkeypatch):
+    """Decoding batches are bounded by their padded size, and spans do not depend on the batch."""
+    sizes, decode = [], pii.Tagger.decode
+
+    def seen(self, sequences):
+        sizes.append((len(sequences), max(map(len, sequences))))
+        return decode(self, sequences)
+
+    texts = [f"call {i} 555 0101 now" for i in range(500)] + ["1 2 " * 2500, "call +1 555 010 1234 " * 1000]
+    alone = [pii.find_spans([t])[0] for t in texts]
+    monkeypatch.setattr(pii.Tagger, "decode", seen)
+    assert pii.find_spans(texts) == alone
+    assert sum(n for n, _ in sizes) == len(texts)
+    assert all(n == 1 or n * longest <= 1 << 20 for n, longest in sizes)
