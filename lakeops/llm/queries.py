@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles, toxicity
+from lakeops.llm import ann, audit, chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles, toxicity
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,45 @@ def op9(spark, folder):
 @query("op10_token_files")
 def op10(spark, folder):
     return tokenfiles.token_table(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"), 0)
+
+
+FILTERS = "ABCDE"
+
+
+@query(
+    "op11_filter_audit",
+    """WITH texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+            list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+    said AS (SELECT doc_id, max((quality = 1)::int) AS good, max((toxic = 1)::int) AS toxic FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, (len(words) < 200)::int + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::int
+            + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::int + 8 * regexp_matches(t, '[#$%&*|]')::int
+            + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::int AS mask
+        FROM texts d LEFT JOIN said ON said.doc_id = d.doc_id),
+    cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, mask),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    steps AS (
+        SELECT filter_order, k::int AS step, 1 << (ascii(filter_order[k]) - 65) AS bit,
+            coalesce(list_sum(list_transform(range(1, k), lambda j: 1 << (ascii(filter_order[j]) - 65))), 0)::int AS before
+        FROM (SELECT filter_order, unnest(range(1, 6)) AS k FROM orders)),
+    counted AS (
+        SELECT part, filter_order, step, bit,
+            coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::bigint AS kept,
+            coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0)::bigint AS removed,
+            coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0)::bigint AS redundant,
+            coalesce(sum(n) FILTER (mask = bit), 0)::bigint AS unique_fails,
+            coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0)::bigint AS good_lost,
+            coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0)::bigint AS toxic_lost
+        FROM cells, steps GROUP BY part, filter_order, step, bit, before)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, bit))::bigint AS shapley FROM counted""",
+)
+def op11(spark, folder):
+    docs, marks = table(spark, folder, "documents"), {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    failed = audit.failed_sets(docs, audit.text_rules(F.coalesce("text", F.lit(""))))
+    rows = audit.with_labels(failed, table(spark, folder, "labels"), marks)
+    return audit.by_order(audit.edges(rows, FILTERS, list(marks)), FILTERS, list(marks))
