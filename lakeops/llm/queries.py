@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, audit, chat, exact, lengths, mixing, packing, pii, simhash, tokenfiles, toxicity
+from lakeops.llm import ann, audit, chat, exact, lengths, licenses, mixing, packing, pii, simhash, tokenfiles, toxicity
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +175,32 @@ def op11(spark, folder):
     failed = audit.failed_sets(docs, audit.text_rules(F.coalesce("text", F.lit(""))))
     rows = audit.with_labels(failed, table(spark, folder, "labels"), marks)
     return audit.by_order(audit.edges(rows, FILTERS, list(marks)), FILTERS, list(marks))
+
+
+def _license_sql() -> str:
+    """The templates' grams as rows, joined to the grams of all texts."""
+    templates = [*licenses.PHRASES, *licenses.NOTICES]
+    rows = ", ".join(f"({i}, '{label}', '{phrase}', {licenses.gram_size(phrase.split())}, {str(i < len(licenses.PHRASES)).lower()})" for i, (label, phrase) in enumerate(templates))
+    return f"""WITH t AS (SELECT *, string_split(phrase, ' ') AS tw FROM (VALUES {rows}) v(template, label, phrase, size, base)),
+    grams AS (SELECT template, size, j, array_to_string(tw[j + 1 : j + size], ' ') AS gram FROM (SELECT *, unnest(range(len(tw) - size + 1)) AS j FROM t)),
+    d AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    places AS (SELECT r, w, size, unnest(range(len(w) - size + 1)) AS i FROM d, (SELECT DISTINCT size FROM t)),
+    votes AS (SELECT r, template, i, j, i - j AS diagonal FROM places p JOIN grams g ON g.size = p.size AND g.gram = array_to_string(p.w[i + 1 : i + p.size], ' ')),
+    steps AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > 3, false)::int AS apart FROM (SELECT DISTINCT r, template, diagonal FROM votes)),
+    merged AS (SELECT r, template, diagonal, CASE WHEN base THEN diagonal ELSE sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) END AS span FROM steps JOIN t USING (template)),
+    spans AS (
+        SELECT r, template, base, label, min(i) AS first, len(list_distinct(flatten(list(range(j, j + size))))) / greatest(len(any_value(tw)), max(i) - min(i) + any_value(size)) AS share
+        FROM votes JOIN merged USING (r, template, diagonal) JOIN t USING (template) GROUP BY r, template, base, label, span),
+    found AS (
+        SELECT r, count(*) FILTER (base AND share = 1) AS n_base, min(first) FILTER (base AND share = 1) AS first_word, max(first) FILTER (base AND share = 1) AS last_word,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND share = 1) AS base_labels,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER ((base AND share = 1) OR (NOT base AND share >= 0.8)) AS labels, max(share) AS score
+        FROM spans GROUP BY r)
+    SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_base, 0)::bigint AS n_base, first_word::bigint AS first_word, last_word::bigint AS last_word,
+        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::double AS score FROM d LEFT JOIN found USING (r)"""
+
+
+@query("op13_license_scan", _license_sql())
+def op13(spark, folder):
+    return licenses.scan(table(spark, folder, "documents"))
