@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, audit, chat, exact, lengths, licenses, mixing, packing, pii, simhash, tokenfiles, toxicity
+from lakeops.llm import ann, audit, chat, exact, lengths, licenses, mixing, packing, pii, repair, simhash, tokenfiles, toxicity
 from lakeops.llm.tokens import public_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,26 @@ def _license_sql() -> str:
 @query("op13_license_scan", _license_sql())
 def op13(spark, folder):
     return licenses.scan(table(spark, folder, "documents"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given another role by a hash of their conversation and turn."""
+    filled = rows.select("conv_id", "turn", repair.null_as_space(F.col("role")).alias("role"), repair.null_as_space(F.col("text")).alias("text"))
+    key = F.concat(repair.null_as_space(F.col("conv_id")), F.lit(":"), repair.null_as_space(F.col("turn")))
+    marked = filled.withColumn("_how", F.crc32(key) % 20).where("_how <> 0")
+    text = F.when(F.col("_how") == 1, "").when(F.col("_how") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("_how") == 4, "user").otherwise(F.col("role"))
+    twice = F.explode(F.when(F.col("_how") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return marked.select("conv_id", "turn", role.alias("role"), text.alias("text"), twice.alias("_copy")).drop("_copy")
+
+
+@query("op12_conversation_repair")
+def op12(spark, folder):
+    rows = table(spark, folder, "conversations")
+    summary, turns = repair.repair(damaged(rows))
+    found = summary.join(repair.digests(turns).withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    ids = rows.select(F.col("conv_id").alias("_id")).distinct()
+    all_ids = ids.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    sha = F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return all_ids.select(F.col("_id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), sha)
