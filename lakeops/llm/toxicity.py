@@ -6,7 +6,12 @@ pools their states, and a logistic unit scores the window. A text is cut into ov
 words; its score is that of its worst window. Nothing but the text enters a score.
 
 Training uses a bounded sample of labelled rows (``TRAIN_TOXIC`` and ``TRAIN_CLEAN``, the smallest by hash of the id) and is
-deterministic. It runs once on the driver; the weights, about a megabyte, go to the tasks.
+deterministic. Each epoch draws at most ``WINDOWS_A_DOC`` windows of each of their texts, so of a very long text the model learns from
+``EPOCHS`` times as many; ``EMPTY_TEXTS`` empty texts are added as clean ones. Both bound training alone: every window of every text is
+scored. It runs once on the driver; the weights, about a megabyte, go to the tasks.
+
+A text's score does not depend on the texts scored with it. Where a library sums products, factors are whole numbers of 24 bits at most,
+so that sums of up to 32 products are exact in double precision whatever the order; other sums run over the steps one by one.
 
 Defined cases: null and empty texts and texts without words are one window with one unknown word; null ids are scored and
 never trained on; null labels are left out; without labelled rows of both classes every score is the share of toxic ones
@@ -61,7 +66,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _layer(x: np.ndarray, mask: np.ndarray, u: np.ndarray, steps: list[int], keep: list | None = None) -> np.ndarray:
+class Exact:
+    """``x @ m`` without rounding inside: both are rounded to whole numbers of 24 bits before. ``bound``: the largest size in x."""
+
+    def __init__(self, m: np.ndarray, bound: float = 1.0):
+        self.bound = 2.0 ** np.ceil(np.log2(max(bound, 1e-30)))
+        unit = 2.0 ** (np.ceil(np.log2(max(float(np.abs(m).max(initial=0)), 1e-30))) - 24)
+        self.whole, self.scale, self.shape = np.rint(m / np.float64(unit)), unit * self.bound / (1 << 24), m.shape
+
+    def __rmatmul__(self, x: np.ndarray) -> np.ndarray:
+        rounded = np.rint(np.clip(x, -self.bound, self.bound) * np.float64((1 << 24) / self.bound))
+        return (rounded @ self.whole * self.scale).astype(np.float32)
+
+    __array_ufunc__ = None
+
+
+def _layer(x: np.ndarray, mask: np.ndarray, u: np.ndarray | Exact, steps: list[int], keep: list | None = None) -> np.ndarray:
     """States (T, B, H) of one direction over inputs (T, B, 3H); padded steps keep the state."""
     size = u.shape[0]
     h = np.zeros((x.shape[1], size), np.float32)
@@ -114,6 +134,17 @@ def _pooled(states: np.ndarray, mask: np.ndarray, w: Weights) -> tuple[np.ndarra
     return pooled @ w["out"] + w["bias"][0], attention, pooled
 
 
+def _window_logits(states: np.ndarray, mask: np.ndarray, w: dict) -> np.ndarray:
+    """The logits of :func:`_pooled`, summed step by step."""
+    energy = np.where(mask > 0, states @ w["attend"], np.float32(-1e9))
+    energy = np.exp(energy - energy.max(axis=0))
+    total, pooled = np.zeros_like(energy[0]), np.zeros_like(states[0])
+    for e, s in zip(energy, states, strict=True):
+        total += e
+        pooled += e[:, None] * s
+    return (pooled / total[:, None]) @ w["out"] + w["bias"][0]
+
+
 def _inputs(w: Weights, rows: np.ndarray, of: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Word inputs: own vectors plus the mean of their triples, which lie one word after the other in ``of``."""
     return w["words"][rows] + np.add.reduceat(w["triples"][of], np.cumsum(counts) - counts, axis=0) / counts[:, None].astype(np.float32)
@@ -219,6 +250,9 @@ class Model:
         self.vocabulary, self.weights, self.constant = vocabulary, weights, constant
         self.known: dict[str, int] = {}
         self.rows = np.empty((0, 6 * HIDDEN), np.float32)
+        if weights:
+            largest = sum(float(np.abs(weights[k]).max()) for k in ("words", "triples"))
+            self.exact = {k: Exact(weights[k]) for k in ("u_ahead", "u_back", "attend", "out")} | {"project": Exact(weights["project"], largest), "bias": weights["bias"]}
 
     def __reduce__(self):
         return Model, (self.vocabulary, self.weights, self.constant)
@@ -228,7 +262,7 @@ class Model:
         new, w = list(words), self.weights
         of, _, counts = triples(new)
         rows = np.array([self.vocabulary.get(x, 0) for x in new])
-        made = _inputs(w, rows, of, counts) @ w["project"] + w["shift"]
+        made = _inputs(w, rows, of, counts) @ self.exact["project"] + w["shift"]
         first, used = len(self.known), len(self.known)
         need = used + len(new)
         if need > len(self.rows):
@@ -244,7 +278,7 @@ class Model:
             part = order[a : a + AT_ONCE]
             steps = lengths[part].max()
             mask = (np.arange(steps)[:, None] < lengths[part]).astype(np.float32)
-            out[part] = _pooled(_states(self.rows[ids[part, :steps].T], mask, self.weights), mask, self.weights)[0]
+            out[part] = _window_logits(_states(self.rows[ids[part, :steps].T], mask, self.exact), mask, self.exact)
         return out
 
     def logits(self, texts: list[str | None]) -> np.ndarray:

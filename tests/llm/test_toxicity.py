@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from conftest import rows
 from edge_cases import edge_docs, no_docs  # noqa: F401
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeops.llm import toxicity
@@ -60,6 +62,22 @@ def test_network_by_definition(model):
         assert covered == set(range(len(words))) and abs(max(logits) - got) < 1e-3
 
 
+@settings(max_examples=40, derandomize=True, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**6), cuts=st.lists(st.integers(0, 40), max_size=6), cached=st.booleans())
+def test_scores_are_those_of_the_text_alone(model, seed, cuts, cached):
+    """To the last bit, in any order and batches, with or without words seen before."""
+    rng = np.random.default_rng(seed)
+    texts = ["", None, "vilest", *[" ".join(rng.choice([*(f"w{i}" for i in range(80)), "vilest", "Wörter", "x" * 40], rng.choice([1, 5, 64, 65, 300]))) for _ in range(37)]]
+    alone = [toxicity.Model(model.vocabulary, model.weights).scores([t])[0] for t in texts]
+    order, edges = rng.permutation(len(texts)), sorted({0, len(texts), *cuts})
+    other = toxicity.Model(model.vocabulary, model.weights)
+    if cached:
+        other.scores(texts[::-1])
+    for a, b in zip(edges, edges[1:], strict=False):
+        part = order[a:b]
+        assert other.scores([texts[i] for i in part]).tolist() == [alone[i] for i in part]
+
+
 def test_gradients():
     """Against differences of the loss."""
     rng = np.random.default_rng(1)
