@@ -190,8 +190,8 @@ def stays(t: Tables) -> DataFrame:
 
 
 def ward_patients(t: Tables) -> DataFrame:
-    """Customers outside one segment; stays of the missing segment are orphans."""
-    return t.customer.filter(F.col("c_mktsegment") != "MACHINERY").select(
+    """All customers as ward patients."""
+    return t.customer.select(
         F.col("c_custkey").alias("patient_id"),
         (F.col("c_custkey") * 13 % 96).alias("age"),
         (F.col("c_acctbal") < 2000).alias("has_chronic_condition"),
@@ -382,7 +382,7 @@ CTES = {
                o_orderkey * 7 % 9 + 1 AS length_of_stay_days FROM orders""",
     "ward_patients": """
         SELECT c_custkey AS patient_id, c_custkey * 13 % 96 AS age, c_acctbal < 2000 AS has_chronic_condition
-        FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
+        FROM customer""",
     "readmitted": """
         SELECT a.*, EXISTS (SELECT 1 FROM stays b WHERE b.patient_id = a.patient_id
                AND b.admit_date > a.discharge_date AND b.admit_date <= a.discharge_date + 30) AS flag

@@ -14,6 +14,7 @@ from lakeops.operators.clean import distinct_rows
 from lakeops.operators.quality import gate_metrics, quarantine
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry, visits
 from lakeops.session import scratch, stored
+from lakeops.sources.files import load_once
 from lakeops.sources.readers import calendar, day_bounds
 from lakeops.sources.sinks import drop_table
 
@@ -331,11 +332,11 @@ def visits_enriched(t: Tables):
 
 
 def _insurance(t: Tables):
-    """Customers as nested insurance records; some have no insurer, some no procedures, and every eleventh no record at all."""
+    """Customers as nested insurance records; some have no insurer, some no procedures."""
     key = F.col("c_custkey")
     words = F.slice(F.array(F.lit("MRI"), F.lit("XRAY"), F.lit("CONSULT")), F.lit(1), (key % 4).cast("int"))
     insurer = F.struct(F.col("c_name").alias("policy_no"), F.col("c_mktsegment").alias("provider"))
-    return t.customer.filter(key % 11 != 0).select(
+    return t.customer.select(
         F.concat(F.lit("P"), key.cast("string")).alias("patient_id"),
         F.when(key % 7 != 0, insurer).alias("insurance"),
         words.alias("procedures"),
@@ -347,8 +348,7 @@ def _insurance(t: Tables):
     """SELECT 'P' || cast(c_custkey AS varchar) AS patient_id,
     CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS insurance_provider,
     CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS policy_no, p.procedure
-    FROM customer LEFT JOIN (VALUES (1, 'MRI'), (2, 'XRAY'), (3, 'CONSULT')) AS p(i, procedure) ON p.i <= c_custkey % 4
-    WHERE c_custkey % 11 <> 0""",
+    FROM customer LEFT JOIN (VALUES (1, 'MRI'), (2, 'XRAY'), (3, 'CONSULT')) AS p(i, procedure) ON p.i <= c_custkey % 4""",
 )
 def insurance_rows(t: Tables):
     return visits.insurance_rows(_insurance(t))
@@ -359,11 +359,14 @@ def insurance_rows(t: Tables):
     with_(
         "visits visits_clean",
         "SELECT * FROM visits_clean WHERE patient_id NOT IN (SELECT 'P' || cast(c_custkey AS varchar) FROM customer "
-        "WHERE c_custkey % 11 <> 0)",
+        "WHERE c_acctbal >= 0)",
     ),
 )
 def uninsured_visits(t: Tables):
-    return visits.uninsured(visits.clean_visits(d.visits(t)), visits.insurance_rows(_insurance(t)))
+    """Visits of patients without a record: customers in debt have none."""
+    debtors = t.customer.filter("c_acctbal < 0").select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("patient_id"))
+    records = visits.insurance_rows(_insurance(t).join(debtors, "patient_id", "left_anti"))
+    return visits.uninsured(visits.clean_visits(d.visits(t)), records)
 
 
 # --- daily bank run -------------------------------------------------------------------------------------
@@ -421,18 +424,10 @@ def _fact(t: Tables):
     return shipments.fact_shipments(d.staging(t), d.segments(t), d.hubs(t), _carrier_dim(t))
 
 
-_STARS: dict[tuple, str] = {}
-
-
 def star(t: Tables):
-    """The fact read from the star that :func:`shipments.write_star` wrote, once for each set of input files and session."""
-    files = (*t.lineitem.inputFiles(), *t.orders.inputFiles())
-    key = (t.spark.sparkContext.applicationId, files)
-    if key not in _STARS:
-        path = scratch(t.spark, "star")
-        shipments.write_star(_fact(t), path)
-        _STARS[key] = path
-    return t.spark.read.parquet(_STARS[key])
+    """The fact read from the star that :func:`shipments.write_star` loads, once for each version of its inputs."""
+    inputs = [t.lineitem, t.orders, t.customer, t.supplier, t.nation, t.part]
+    return t.spark.read.parquet(load_once(t.spark, "star", inputs, lambda path: shipments.write_star(_fact(t), path)))
 
 
 def _dates(t: Tables):
@@ -473,6 +468,17 @@ def freight_by_region_month(t: Tables):
     return shipments.freight_by_region_month(star(t), d.hubs(t), _dates(t), 1996)
 
 
+@query(
+    "freight_by_segment_bucketed",
+    with_(FACT, """SELECT c_mktsegment AS segment, count(*) AS n, cast(sum(freight_amount) AS double) AS freight
+        FROM fact JOIN customer ON c_custkey = customer_key GROUP BY 1"""),
+)
+def freight_by_segment_bucketed(t: Tables):
+    """Fact and customers written in buckets of one key and joined as they lie."""
+    fact, customers = shipments.write_bucketed_star(star(t), d.segments(t), scratch(t.spark, "bucketed"), 8)
+    return shipments.freight_by_segment(fact, customers)
+
+
 @query(
     "freight_by_region_month_raw",
     with_(
@@ -731,7 +737,7 @@ def ward_daily(t: Tables):
     "readings_quarantine",
     with_(
         "readings",
-        """SELECT *, 'reading outside plausible sensor range' AS _dq_reason FROM readings
+        """SELECT *, 'outside the operating envelope' AS _dq_reason FROM readings
         WHERE NOT coalesce(temperature_c BETWEEN -20 AND 150 AND vibration_mm_s BETWEEN 0 AND 50, false)""",
     ),
 )

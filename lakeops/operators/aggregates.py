@@ -23,6 +23,13 @@ def top_k(df: DataFrame, group: list[str], measure: Column, name: str, k: int) -
     return totals.orderBy(F.desc(name), *group).limit(k)
 
 
+def count_and_grade(df: DataFrame, by: list[str], count: str, grades: dict[int, str], grade: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """Rows per group with a grade by their number: the one with the highest least count that is reached."""
+    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count), *[c.alias(n) for n, c in (more or {}).items()])
+    reached = [F.when(F.col(count) >= least, name) for least, name in sorted(grades.items(), reverse=True)]
+    return counted.withColumn(grade, F.coalesce(*reached))
+
+
 def zscores(df: DataFrame, key: str, metrics: dict[str, str], hot_share: float = 0.01) -> DataFrame:
     """Distance of each reading from its key's own mean in sample standard deviations.
 

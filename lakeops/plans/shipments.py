@@ -10,7 +10,7 @@ from lakeops.operators.aggregates import top_k
 from lakeops.operators.changes import repair_from
 from lakeops.operators.clean import dedup
 from lakeops.operators.joins import broadcast_join, dim_lookup
-from lakeops.sources.sinks import write_partitioned
+from lakeops.sources.sinks import write_bucketed, write_partitioned
 
 STAGING = [
     "shipment_id", "customer_id", "hub_code", "carrier_code", "ship_date", "delivery_date", "weight_kg",
@@ -96,14 +96,12 @@ def validation(fact: DataFrame) -> dict[str, Column]:
 
 
 def freight_by_region_month(fact: DataFrame, hubs: DataFrame, dates: DataFrame, year: int) -> DataFrame:
-    """Freight per region and month of one year, over typed keys.
-
-    The calendar's keys of the year also bound the fact's own key, so the scan skips other years.
-    """
+    """Freight per region and month of one year, over typed keys."""
+    if "ship_month" in fact.columns:
+        return freight_of_days(fact, hubs, dates.filter(F.col("year_num") == year))
+    # The calendar's keys of the year also bound the fact's own key, so the scan skips other years.
     first, last = year * 10000 + 101, year * 10000 + 1231
     rows = fact.filter(F.col("ship_date_key").between(first, last))
-    if "ship_month" in fact.columns:  # written by months: other folders are not read
-        rows = rows.filter(F.col("ship_month").between(year * 100 + 1, year * 100 + 12))
     days = dates.filter(F.col("year_num") == year).select("date_key", "year_num", "month_num")
     per_day = rows.groupBy("hub_key", "ship_date_key").agg(F.sum("freight_amount").alias("freight"))
     return (
@@ -114,6 +112,30 @@ def freight_by_region_month(fact: DataFrame, hubs: DataFrame, dates: DataFrame,
     )
 
 
+def freight_of_days(fact: DataFrame, hubs: DataFrame, days: DataFrame) -> DataFrame:
+    """Freight per region and month over any choice of calendar days, from a fact written by ship month.
+
+    The calendar has one row a day, so it is broadcast; its months prune the fact's folders at run time, whatever
+    attribute of the calendar the days were chosen by.
+    """
+    month = (F.col("year_num") * 100 + F.col("month_num")).cast("int").alias("ship_month")
+    chosen = days.select(F.col("date_key").alias("ship_date_key"), month, "year_num", "month_num")
+    per_hub = fact.join(F.broadcast(chosen), ["ship_month", "ship_date_key"]).groupBy("hub_key", "year_num", "month_num")
+    totals = per_hub.agg(F.sum("freight_amount").alias("freight")).join(hubs.select("hub_key", "region"), "hub_key")
+    return totals.groupBy("region", "year_num", "month_num").agg(F.sum("freight").alias("freight"))
+
+
+def write_bucketed_star(fact: DataFrame, customers: DataFrame, root: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Fact and customers in as many buckets of the customer's key, each sorted by it; both as written."""
+    return write_bucketed(fact, f"{root}/fact", "customer_key", buckets), write_bucketed(customers, f"{root}/customers", "customer_key", buckets)
+
+
+def freight_by_segment(fact: DataFrame, customers: DataFrame) -> DataFrame:
+    """Rows and freight per customer segment. Over tables in the same buckets the join shuffles neither side."""
+    joined = fact.select("customer_key", "freight_amount").join(customers.select("customer_key", "segment").hint("merge"), "customer_key")
+    return joined.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.sum("freight_amount").alias("freight"))
+
+
 def freight_by_region_month_raw(staging: DataFrame, hubs: DataFrame, year: int) -> DataFrame:
     """The same report over untyped staging rows, repeated rows included."""
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -57,6 +58,21 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], sp
     )
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Rows in ``buckets`` files by a hash of the key, each sorted by it, read back so that joins on the key need no shuffle.
+
+    Choose the number so that a bucket fits a task, and the same for tables that are joined. The table's entry in the catalog is
+    dropped again, the files stay.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    rows = df.repartition(buckets, key)
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    written = df.sparkSession.table(name)
+    written.schema  # resolved before the entry goes
+    drop_table(df.sparkSession, name)
+    return written
+
+
 def replace_slice(df: DataFrame, path: str, slice_col: str, value: object, spread: bool = False) -> None:
     """Replace one partition of a table partitioned by ``slice_col`` by the rows of ``df`` that belong to it, also by none.
 
