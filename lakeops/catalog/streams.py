@@ -10,7 +10,7 @@ from lakeops.catalog.base import Tables, query
 from lakeops.catalog.domains import with_
 from lakeops.functions.scalars import money
 from lakeops.plans import telemetry
-from lakeops.session import scratch
+from lakeops.session import scratch, stored
 from lakeops.sources.sinks import write_json_batch
 from lakeops.streaming import ingest
 
@@ -75,6 +75,47 @@ def stream_upsert_latest(t: Tables):
     return ingest.current_rows(t.spark, table, keys)
 
 
+@query(
+    "stream_upsert_event_order",
+    """SELECT * EXCLUDE (rn) FROM (SELECT user_id, event_type, ts, event_id, value, row_number() OVER (PARTITION BY user_id, event_type
+    ORDER BY ts DESC, event_id DESC) AS rn FROM (SELECT event_id, ts, user_id, event_type, CASE WHEN event_type <> 'error'
+    THEN value END AS value FROM events)) WHERE rn = 1""",
+)
+def stream_upsert_event_order(t: Tables):
+    """Current row per key by event time, after landings that arrive in no order of time and were folded on the way."""
+    landing, table, state = (scratch(t.spark, x) for x in ("landing", "silver", "state"))
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    for part in (3, 0, 4, 1, 2):
+        write_json_batch(_rows(t).filter(F.col("event_id") % 5 == part), f"{landing}/batch_{part:03d}")
+        stream = ingest.stream_json(t.spark, landing, SCHEMA)
+        ingest.finish(ingest.stream_upsert(stream, keys, order, table, state, fanout=2, buckets=2))
+    return ingest.current_rows(t.spark, table, keys, order)
+
+
+@query(
+    "stream_once_within",
+    """SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids, cast(sum(cast(value AS decimal(12,2))) AS double) AS total, true AS state_bounded
+    FROM (SELECT event_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value FROM events) GROUP BY event_type""",
+)
+def stream_once_within(t: Tables):
+    """Events landed by days, each landing with the day before once more; copies go, and the state holds a few days' keys."""
+    landing, table, state = (scratch(t.spark, x) for x in ("landing", "bronze", "state"))
+    rows, held = stored(_rows(t), "rows"), 0
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    day = F.floor(F.datediff("ts", F.lit(first)) * 6 / (F.datediff(F.lit(last), F.lit(first)) + 1))
+    for part in range(6):
+        write_json_batch(rows.filter(day.isin(part, part - 1)), f"{landing}/batch_{part:03d}")
+        timed = ingest.stream_json(t.spark, landing, SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
+        once = ingest.once_within(timed, ["event_id"], "ts", "6 days")
+        progress = ingest.finish(ingest.append_stream(once, table, state))
+        held = max(held, progress["stateOperators"][0]["numRowsTotal"]) if progress else held
+    kept = t.spark.read.parquet(table)
+    everything = rows.agg(F.count(F.lit(1))).scalar()
+    return kept.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.sum(money("value")).alias("total")
+    ).withColumn("state_bounded", F.lit(held) < everything)
+
+
 @query(
     "stream_messages_parsed",
     """SELECT cast(json_extract_string(props, '$.k') AS bigint) AS k, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY 1""",

@@ -81,8 +81,8 @@ def test_folders_stay_few(spark):
     for i in range(10):
         write_json_batch(batch(spark, ("a", float(i), 50 - i), (f"k{i}", 1.0, i)), f"{landing}/b{i}", files=1)
         stream = ingest.stream_json(spark, landing, batch(spark).schema)
-        ingest.finish(ingest.stream_upsert(stream, ["txn_id"], ["txn_ts"], table, state, compact_every=3))
-        assert spark.read.parquet(table).select("_stream", "_batch_id").distinct().count() <= 5
+        ingest.finish(ingest.stream_upsert(stream, ["txn_id"], ["txn_ts"], table, state, fanout=3, buckets=1))
+        assert len(ingest.upsert_folders(spark, table)) <= 6
     want = [("a", 9.0), *[(f"k{i}", 1.0) for i in range(10)]]
     assert rows(ingest.current_rows(spark, table, ["txn_id"]), "txn_id", "amount") == want
     path = scratch(spark, "events")
@@ -93,6 +93,54 @@ def test_folders_stay_few(spark):
     assert rows(ingest.current_rows(spark, path, ["txn_id"], ["txn_ts"]), "amount") == [(1.0,)]
 
 
+def test_folds_keep_both_orders(spark):
+    """A late event after a newer one: what the order says does not depend on whether the batches were folded."""
+    table = scratch(spark, "late")
+    for i, (amount, minute) in enumerate(((1.0, 10), (2.0, 5), (3.0, 7), (9.0, 1))):
+        ingest.upsert_batch(batch(spark, ("k", amount, minute), (f"only{i}", 0.0, i)), ["txn_id"], ["txn_ts"], table, "s", i)
+        for folded in (0, 1):
+            if folded:
+                ingest.fold_upserts(spark, table, ["txn_id"], ["txn_ts"], fanout=2, buckets=3)
+            by_arrival, by_event = (ingest.current_rows(spark, table, ["txn_id"], o).where("txn_id = 'k'") for o in (None, ["txn_ts"]))
+            assert rows(by_arrival, "amount") == [(amount,)] and rows(by_event, "amount") == [(1.0,)]
+    assert ingest.current_rows(spark, table, ["txn_id"]).count() == 5
+    assert max(level for level, _, _ in ingest.upsert_folders(spark, table)) >= 1
+
+
+def test_bytes_written_grow_with_the_levels(spark):
+    """Rows written by folds of many small batches of new keys: each row once a level, never the whole table again."""
+    table, written, seen, n = scratch(spark, "levels"), 0, set(), 81
+    for i in range(n):
+        rows_of = spark.range(i * 20, i * 20 + 20, 1, 1).selectExpr("concat('k', id) AS txn_id", "1.0D AS amount", "timestamp_seconds(id) AS txn_ts")
+        ingest.upsert_batch(rows_of, ["txn_id"], ["txn_ts"], table, "s", i)
+        ingest.fold_upserts(spark, table, ["txn_id"], ["txn_ts"], fanout=3, buckets=2)
+        now = set(ingest.upsert_folders(spark, table))
+        for level, bucket, run in now - seen:
+            if level:
+                written += spark.read.parquet(f"{table}/_level={level}/_bucket={bucket}/_run={run}").count()
+        seen = now
+    levels = max(level for level, _, _ in seen)
+    assert levels <= 5 and written <= 20 * n * levels and len(seen) <= 2 * 3 * (levels + 1) + 3
+    # Folding everything each third time would have written twelve times the rows.
+    assert written < 5 * 20 * n
+    assert ingest.current_rows(spark, table, ["txn_id"]).count() == 20 * n
+
+
+def test_copies_within_the_watermark(spark):
+    """Late copies go, also those of an earlier run on the same checkpoint; the state holds the last stretch of event time."""
+    landing, table, state = (scratch(spark, x) for x in ("in", "out", "state"))
+    held = []
+    for i in range(8):
+        fresh = [(f"k{i}-{j}", 1.0, 60 * i + j) for j in range(20)]
+        copies = [(f"k{i - 1}-{j}", 1.0, 60 * (i - 1) + j) for j in range(20)] if i else []
+        write_json_batch(batch(spark, *fresh, *fresh[:5], *copies), f"{landing}/b{i}", files=1)
+        stream = ingest.once_within(ingest.stream_json(spark, landing, batch(spark).schema), ["txn_id"], "txn_ts", "90 minutes")
+        progress = ingest.finish(ingest.append_stream(stream, table, state))
+        held.append(progress["stateOperators"][0]["numRowsTotal"])
+    assert spark.read.parquet(table).count() == 160 == spark.read.parquet(table).select("txn_id").distinct().count()
+    assert max(held) <= 100
+
+
 def test_stream_into_table(spark):
     landing, state = scratch(spark, "in"), scratch(spark, "state")
     write_json_batch(batch(spark, ("a", 1.0, 0)), landing, files=1)
