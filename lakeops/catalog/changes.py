@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeops.catalog.base import Tables, query
 from lakeops.functions.scalars import money
-from lakeops.operators import changes
+from lakeops.operators import changes, compare, rewrite
 from lakeops.operators.clean import dedup
 from lakeops.operators.quality import guarded
 from lakeops.session import scratch
@@ -134,6 +136,69 @@ def version_history(t: Tables):
     return changes.history(_log(t)).drop(changes.COMMITTED)
 
 
+V2 = f"SELECT s_suppkey, s_name, CASE WHEN s_acctbal < 2000 THEN s_acctbal * 2 ELSE s_acctbal END AS s_acctbal FROM ({V1})"
+V3 = f"SELECT * FROM ({V2}) WHERE s_name NOT LIKE '%7'"
+
+
+@query("as_of_snapshot", f"SELECT *, 1::bigint AS version FROM ({V1}) UNION ALL SELECT *, 3::bigint FROM ({V3})")
+def as_of_snapshot(t: Tables):
+    """Four versions with a snapshot every other one; one read by its number, one by time."""
+    root, (old, new), keys = scratch(t.spark, "versions"), _versions(t), ["s_suppkey"]
+    doubled = new.withColumn("s_acctbal", F.when(F.col("s_acctbal") < 2000, F.col("s_acctbal") * 2).otherwise(F.col("s_acctbal")))
+    contents = [old.limit(0), old, new, doubled, doubled.filter(~F.col("s_name").like("%7"))]
+    for version, (before, now) in enumerate(zip(contents, contents[1:], strict=False)):
+        changes.commit(changes.change_feed(before, now, keys, version), root, keys, version, dt.datetime(2026, 1, 1 + version), every=2)
+    by_number = changes.as_of_stored(t.spark, root, keys, version=1).withColumn("version", F.lit(1))
+    by_time = changes.as_of_stored(t.spark, root, keys, at=dt.datetime(2026, 1, 4, 12)).withColumn("version", F.lit(3))
+    return by_number.unionByName(by_time)
+
+
+ORDER_COLUMNS = "o_orderkey, o_orderstatus, o_totalprice"
+
+
+@query(
+    "table_differences",
+    f"""SELECT {ORDER_COLUMNS}, 'delete' AS difference FROM orders WHERE o_totalprice > 300000
+    UNION ALL SELECT o_orderkey + 100000000, o_orderstatus, o_totalprice, 'insert' FROM orders WHERE o_totalprice < 2000
+    UNION ALL SELECT {ORDER_COLUMNS}, 'update_preimage' FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_totalprice <= 300000
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice + 1, 'update_postimage' FROM orders
+        WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_totalprice <= 300000""",
+)
+def table_differences(t: Tables):
+    """A stored table against a copy with rows changed, gone and added."""
+    left, right = scratch(t.spark, "left"), scratch(t.spark, "right")
+    columns, price = ["o_orderkey", "o_orderstatus", "o_totalprice"], F.col("o_totalprice")
+    changed = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"), price + 1).otherwise(price)
+    fresh = t.orders.filter(price < 2000).select((F.col("o_orderkey") + 100_000_000).alias("o_orderkey"), "o_orderstatus", "o_totalprice")
+    compare.write_comparable(t.orders.select(*columns), left, ["o_orderkey"], depth=1)
+    compare.write_comparable(t.orders.filter(price <= 300_000).withColumn("o_totalprice", changed).select(*columns).unionByName(fresh), right, ["o_orderkey"], depth=1)
+    return compare.differences(t.spark, left, right, ["o_orderkey"])
+
+
+@query(
+    "rewritten_files",
+    """SELECT o_orderstatus, count(*) AS n, cast(sum(CASE WHEN o_orderkey > cut THEN cast(o_totalprice AS decimal(12,2)) WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END) AS double) AS total,
+    true AS others_stay FROM orders, (SELECT max(o_orderkey) // 3 AS cut FROM orders) WHERE NOT (o_orderkey <= cut AND o_orderstatus = 'P') GROUP BY o_orderstatus""",
+)
+def rewritten_files(t: Tables):
+    """The lower third of the keys updated, deleted and replaced by status in files ordered by key; no other file goes."""
+    path, columns = scratch(t.spark, "files"), ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    t.orders.select(*columns).repartitionByRange(6, "o_orderkey").write.parquet(path)
+    cut = t.orders.agg(F.floor(F.max("o_orderkey") / 3)).first()[0]
+    low = F.col("o_orderkey") <= cut
+    written = t.spark.read.parquet(path)
+    touched = {f.rsplit("/", 1)[1] for f in rewrite.touched_files(written, low)}
+    others = {f for f in written.inputFiles() if f.rsplit("/", 1)[1] not in touched}
+    rewrite.update_rows(t.spark, path, low & (F.col("o_orderstatus") == "F"), {"o_totalprice": F.lit(0)})
+    rewrite.delete_rows(t.spark, path, low & (F.col("o_orderstatus") == "P"))
+    flat = t.orders.select(*columns).filter(low & (F.col("o_orderstatus") == "O")).withColumn("o_totalprice", F.lit(1.0))
+    rewrite.replace_rows(t.spark, path, low & (F.col("o_orderstatus") == "O"), flat)
+    t.spark.catalog.refreshByPath(path)
+    after = t.spark.read.parquet(path)
+    stay = others <= set(after.inputFiles())
+    return after.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("total")).withColumn("others_stay", F.lit(stay))
+
+
 @query(
     "repair_from_backup",
     """SELECT cast(sum(CASE WHEN l_suppkey = 5 THEN 0 ELSE cast(l_extendedprice AS decimal(12,2)) END) AS double) AS damaged_total,

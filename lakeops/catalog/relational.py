@@ -9,12 +9,22 @@ from lakeops.catalog import domains as d
 from lakeops.catalog.base import Tables, mean_cents, query
 from lakeops.catalog.domains import with_
 from lakeops.functions.scalars import money, risk_band, risk_bucket, risk_bucket_arrow, risk_bucket_row, zero_padded
-from lakeops.operators.aggregates import pivot_counts, split_random, split_stratified, top_k
+from lakeops.operators.aggregates import (
+    bitmaps,
+    distinct_counts,
+    keep_moments,
+    pivot_counts,
+    rolled_up,
+    split_exact,
+    split_random,
+    split_stratified,
+    top_k,
+)
 from lakeops.operators.clean import distinct_rows, fill, null_out, repair_sign, tidy_name, with_typed_null
 from lakeops.operators.forest import threshold_label
 from lakeops.operators.joins import broadcast_join, dim_lookup, heavy_keys, join_salting_hot, salted_join
 from lakeops.operators.quality import control_totals, reconcile, ri_split, table_counts
-from lakeops.session import stored
+from lakeops.session import scratch, stored
 from lakeops.sources.readers import parse_payload
 from lakeops.sources.sinks import publish_views
 
@@ -478,6 +488,54 @@ def stratified_split(t: Tables):
     )
 
 
+@query(
+    "exact_split",
+    """SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42:' || o_orderkey), o_orderkey)
+    <= floor(count(*) OVER (PARTITION BY o_orderstatus) * 0.8::double + 0.5) AS train FROM orders""",
+)
+def exact_split(t: Tables):
+    """Four fifths of the orders of every status, to the row, by a hash of the key."""
+    first, rest = split_exact(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", "o_orderkey", 0.8, 42)
+    return first.withColumn("train", F.lit(True)).unionByName(rest.withColumn("train", F.lit(False)))
+
+
+@query(
+    "monthly_distinct_accounts",
+    """SELECT event_type, strftime(ts, '%Y-%m') AS month, count(DISTINCT user_id) AS accounts, count(DISTINCT (user_id, cast(ts AS date))) AS account_days
+    FROM events GROUP BY ALL""",
+)
+def monthly_distinct_accounts(t: Tables):
+    """Daily bitmaps of accounts, stored, and the months' distinct accounts from these alone."""
+    rows = t.events.select("event_type", F.to_date("ts").alias("day"), "user_id")
+    daily = stored(bitmaps(rows, ["event_type", "day"], "user_id").withColumn("month", F.date_format("day", "yyyy-MM")), "bitmaps")
+    by = ["event_type", "month"]
+    months = distinct_counts(rolled_up(daily, by), by, "accounts")
+    return months.join(distinct_counts(daily, by, "account_days"), by)
+
+
+@query(
+    "machine_statistics_kept",
+    with_(
+        "readings",
+        """SELECT machine_id, count(temperature_c) AS temp_n, round(avg(temperature_c), 9) AS temp_mean, round(stddev_samp(temperature_c), 9) AS temp_std,
+        count(vibration_mm_s) AS vibe_n, round(avg(vibration_mm_s), 9) AS vibe_mean, round(stddev_samp(vibration_mm_s), 9) AS vibe_std
+        FROM readings GROUP BY machine_id""",
+    ),
+)
+def machine_statistics_kept(t: Tables):
+    """Statistics per machine after three batches, each merged into those kept so far; the second batch is done twice."""
+    rows, root = d.readings(t), scratch(t.spark, "moments")
+    third = F.least(F.floor(F.dayofmonth("reading_timestamp") / 11), F.lit(2))
+    kept = None
+    for number in (0, 1, 1, 2):
+        kept = keep_moments(rows.filter(third == number), root, number, "machine_id", ["temperature_c", "vibration_mm_s"])
+    out = ["machine_id"]
+    for m, name in (("temperature_c", "temp"), ("vibration_mm_s", "vibe")):
+        std = F.sqrt(F.try_divide(F.col(f"{m}_m2"), F.col(f"{m}_n") - 1))
+        out += [F.col(f"{m}_n").alias(f"{name}_n"), F.round(f"{m}_mean", 9).alias(f"{name}_mean"), F.round(std, 9).alias(f"{name}_std")]
+    return kept.select(*out)
+
+
 @query(
     "orphan_free_bank",
     with_("bank", "SELECT channel, count(*) AS n FROM bank JOIN customer ON account_id = 'A' || cast(c_custkey AS varchar) GROUP BY 1"),

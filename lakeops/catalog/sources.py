@@ -283,3 +283,23 @@ def cross_database_reload(t: Tables):
     sinks.drop_table(t.spark, name)
     t.spark.sql(f"DROP SCHEMA {schema}")
     return loaded.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "drifting_json",
+    """SELECT event_id, cast(json_extract_string(props, '$.k') AS bigint) AS k, CASE WHEN event_id % 3 = 2 THEN event_type END AS kind,
+    CASE WHEN event_id % 3 = 2 THEN value END AS value, true AS k_has_several_types FROM events""",
+)
+def drifting_json(t: Tables):
+    """Three landings of one feed: a number, then the same field as text, then a nested field more; stored once as VARIANT and read by path."""
+    landing, k = scratch(t.spark, "drift"), F.get_json_object("props", "$.k")
+    landings = [
+        F.struct("event_id", k.cast("long").alias("k")), F.struct("event_id", k.alias("k")),
+        F.struct("event_id", k.alias("k"), F.struct(F.col("event_type").alias("kind"), (F.col("value") + 0.0).alias("value")).alias("seen")),
+    ]
+    for part, row in enumerate(landings):
+        t.events.filter(F.col("event_id") % 3 == part).select(F.to_json(row)).write.text(f"{landing}/day={part}")
+    bronze = stored(readers.read_variant_lines(t.spark, landing), "variants")
+    found = readers.variant_schema(bronze)
+    paths = {"event_id": ("$.event_id", "bigint"), "k": ("$.k", "bigint"), "kind": ("$.seen.kind", "string"), "value": ("$.seen.value", "double")}
+    return readers.variant_fields(bronze, paths).select(*paths, F.lit("k: VARIANT" in found and "event_id: BIGINT" in found).alias("k_has_several_types"))

@@ -6,6 +6,7 @@ step, either into a new version folder or by replacing the touched partitions.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 from operator import and_
 
@@ -16,7 +17,8 @@ from lakeops.functions.scalars import holds
 from lakeops.operators.clean import dedup
 from lakeops.operators.joins import BROADCAST_BYTES, fits_broadcast
 from lakeops.session import stored
-from lakeops.sources.sinks import replace_slice
+from lakeops.sources.files import exists, matching
+from lakeops.sources.sinks import overwrite_partitions, replace_slice
 
 CHANGE_TYPE, VERSION, COMMITTED = "_change_type", "_commit_version", "_commit_timestamp"
 FEED_COLUMNS = (CHANGE_TYPE, VERSION, COMMITTED)
@@ -102,20 +104,30 @@ def delete_where(df: DataFrame, where: Column) -> DataFrame:
     return df.filter(~holds(where))
 
 
+def _any(column: str) -> Column:
+    """The only value of a group that is not null."""
+    return F.first(column, ignorenulls=True)
+
+
 def change_feed(
     old: DataFrame, new: DataFrame, keys: list[str], version: int, committed: Column | None = None
 ) -> DataFrame:
     """Row changes that turn ``old`` into ``new``: insert, delete, update_preimage, update_postimage.
 
-    A null is a key value like any other. A key that repeats on either side raises :class:`DuplicateKeyError`.
+    A null is a key value like any other. Both sides go through one shuffle, as rows of one table that are grouped by key; the job
+    that reads the feed stops at a key that repeats on either side.
     """
     rest = [c for c in new.columns if c not in keys]
-    require_unique(old, keys, nulls=True)
-    require_unique(new, keys, nulls=True)
-    before = old.select(F.struct(*keys).alias("_k"), F.struct(*rest).alias("_old"))
-    after = new.select(F.struct(*keys).alias("_l"), F.struct(*rest).alias("_new"))
-    same = reduce(and_, [F.col(f"_k.{k}").eqNullSafe(F.col(f"_l.{k}")) for k in keys])
-    key = F.coalesce("_k", "_l")
+
+    def side(df: DataFrame, mine: str, other: str) -> DataFrame:
+        row = F.struct(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in rest])
+        return df.select(*keys, row.alias(mine), F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias(other))
+
+    both = side(old, "_old", "_new").unionByName(side(new, "_new", "_old")).groupBy(*keys)
+    paired = both.agg(*[f(c).alias(n) for c in ("_old", "_new") for f, n in ((_any, c), (F.count, f"{c}_n"))])
+    most = F.greatest("_old_n", "_new_n")
+    stop = F.raise_error(F.concat(F.lit(f"a key of {keys} occurs "), most.cast("string"), F.lit(" times on one side of a change feed")))
+    paired = paired.filter(F.when(most <= 1, F.lit(True)).otherwise(stop.cast("boolean")))
 
     def change(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.col(row).alias("row"))
@@ -128,8 +140,8 @@ def change_feed(
             F.array(change("update_preimage", "_old"), change("update_postimage", "_new")),
         )
     )
-    return before.join(after, same, "full").select(key.alias("_k"), F.explode(changes).alias("_c")).select(
-        *[F.col("_k")[k].alias(k) for k in keys],
+    return paired.select(*keys, F.explode(changes).alias("_c")).select(
+        *keys,
         *[F.col("_c.row")[c].alias(c) for c in rest],
         F.col("_c.kind").alias(CHANGE_TYPE),
         F.lit(version).cast("long").alias(VERSION),
@@ -147,6 +159,44 @@ def as_of(log: DataFrame, keys: list[str], version: int | None = None, ts: Colum
     return dedup(seen, keys, [VERSION]).filter(F.col(CHANGE_TYPE) != "delete").drop(*FEED_COLUMNS)
 
 
+def commit(feed: DataFrame, root: str, keys: list[str], version: int, at: dt.datetime, every: int = 10) -> None:
+    """Append a feed as a version of the table under ``root``, and every so many versions the whole content as a snapshot.
+
+    ``root/log`` has one folder per version, ``root/snapshots`` one per snapshot, named by version and time. A commit done again replaces
+    its own folders.
+    """
+    rows = feed.withColumns({VERSION: F.lit(version).cast("long"), COMMITTED: F.lit(at)})
+    overwrite_partitions(rows, f"{root}/log", [VERSION], spread=False)
+    if version % every == 0:
+        content = _stored_content(feed.sparkSession, root, keys, version, None, below=version)
+        content.write.mode("overwrite").parquet(f"{root}/snapshots/version={version}/at={_micros(at)}")
+
+
+def _micros(at: dt.datetime) -> int:
+    return (at.replace(tzinfo=None) - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
+def as_of_stored(spark: SparkSession, root: str, keys: list[str], version: int | None = None, at: dt.datetime | None = None) -> DataFrame:
+    """Content at a version or time, from the last snapshot up to it and the log after that; the log before it is not read."""
+    return _stored_content(spark, root, keys, version, at)
+
+
+def _stored_content(spark: SparkSession, root: str, keys: list[str], version: int | None, at: dt.datetime | None, below: int | None = None) -> DataFrame:
+    """``below``: only snapshots of earlier versions, for one that is about to be replaced."""
+    start = None
+    for folder in matching(spark, f"{root}/snapshots/version=*/at=*"):
+        v, when = (int(p.split("=")[1]) for p in folder.rsplit("/", 2)[1:])
+        known = exists(spark, f"{folder}/_SUCCESS") and (below is None or v < below) and (version is None or v <= version) and (at is None or when <= _micros(at))
+        start = max(start or (v, folder), (v, folder)) if known else start
+    log = spark.read.parquet(f"{root}/log")
+    tail = log.filter(F.col(VERSION) > (start[0] if start else -1))
+    tail = tail if version is None else tail.filter(F.col(VERSION) <= version)
+    tail = tail if at is None else tail.filter(F.col(COMMITTED) <= F.lit(at))
+    if start is None:
+        return as_of(tail, keys)
+    return apply_feed(spark.read.parquet(start[1]), tail, keys)
+
+
 def apply_feed(table: DataFrame, feed: DataFrame, keys: list[str]) -> DataFrame:
     """Bring a copy of the old table forward by a change feed."""
     last = dedup(feed.filter(F.col(CHANGE_TYPE) != "update_preimage"), keys, [VERSION])

@@ -21,6 +21,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+def plain_path(spark: SparkSession, path: str) -> str:
+    """The path without its scheme and host."""
+    return _at(spark, path)[0].toUri().getPath()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, sorted; none if there are none."""
     folder, system = _at(spark, pattern)

@@ -81,6 +81,26 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+def read_variant_lines(spark: SparkSession, path: str, column: str = "doc") -> DataFrame:
+    """JSON lines of a folder tree, each as one VARIANT value, so files whose fields come, go or change type are read as they are.
+
+    A line that is no JSON is kept as text in ``_corrupt_record``.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(F.trim("value") != "")
+    parsed = lines.select(F.try_parse_json("value").alias(column), "value")
+    return parsed.withColumn(CORRUPT, F.when(F.col(column).isNull(), F.col("value"))).drop("value")
+
+
+def variant_schema(df: DataFrame, column: str = "doc") -> str:
+    """The one type that holds every row's value; a field seen with several types is itself VARIANT."""
+    return df.agg(F.schema_of_variant_agg(column)).first()[0]
+
+
+def variant_fields(df: DataFrame, fields: dict[str, tuple[str, str]], column: str = "doc") -> DataFrame:
+    """Typed columns from paths into a VARIANT column, beside the others; a value that cannot be cast or is not there is null."""
+    return df.withColumns({name: F.try_variant_get(column, path, kind) for name, (path, kind) in fields.items()})
+
+
 def flatten_json(df: DataFrame, keep: list[str], struct_fields: dict[str, str], array_col: str, item: str) -> DataFrame:
     """Nested record to rows: struct fields become columns, the array one row per item (empty keeps a null row)."""
     fields = [F.col(path).alias(name) for name, path in struct_fields.items()]

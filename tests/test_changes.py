@@ -1,12 +1,15 @@
 import datetime as dt
+from urllib.parse import unquote
 
 import pytest
 from conftest import plan, rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeops.operators import changes as c
-from lakeops.operators import layout
+from lakeops.operators import compare, layout, rewrite
 from lakeops.session import scratch
+from lakeops.sources import files
 from lakeops.sources.sinks import write_partitioned
 
 SCHEMA = "id string, name string, balance double"
@@ -140,8 +143,9 @@ def test_change_feed_keys(spark):
     )
     twice = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
     for sides in ((old, twice), (twice, old)):
-        with pytest.raises(c.DuplicateKeyError):
-            c.change_feed(*sides, ["k"], 1)
+        with pytest.raises(PySparkException, match="occurs 2 times"):
+            c.change_feed(*sides, ["k"], 1).collect()
+    assert plan(c.change_feed(old, new, ["k"], 1)).count("Exchange hashpartitioning") == 1
     with pytest.raises(c.DuplicateKeyError):
         c.repair_from(old, twice, ["k"], ["v"], F.col("v") == 1)
 
@@ -174,3 +178,102 @@ def test_compaction(spark):
 def test_z_order_on_text_with_a_common_head(spark):
     df = spark.range(3000).select(F.concat(F.lit("ORDER#0000000"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("t"), (F.col("id") % 50).alias("n"))
     assert layout.with_z_order(df, ["t", "n"], bits=4).select("_z").distinct().count() > 100
+
+
+def test_as_of_reads_a_snapshot_and_the_tail(spark):
+    root, keys = scratch(spark, "versions"), ["id"]
+    contents = [spark.range(n).selectExpr("id", f"id % {n} AS v") for n in (5, 9, 9, 7, 30)]
+    at = [dt.datetime(2026, 1, 1 + i) for i in range(5)]
+    before = contents[0].limit(0)
+    for version, now in enumerate(contents):
+        c.commit(c.change_feed(before, now, keys, version), root, keys, version, at[version], every=2)
+        before = now
+    c.commit(c.change_feed(contents[3], contents[4], keys, 4), root, keys, 4, at[4], every=2)  # again
+    for version, now in enumerate(contents):
+        assert rows(c.as_of_stored(spark, root, keys, version)) == rows(now)
+        assert rows(c.as_of_stored(spark, root, keys, at=at[version] + dt.timedelta(hours=1))) == rows(now)
+    assert rows(c.as_of_stored(spark, root, keys)) == rows(contents[4])
+    text = plan(c.as_of_stored(spark, root, keys, version=3))
+    tails = [line for line in text.split("\n") if "PartitionFilters" in line and "_commit_version" in line]
+    assert tails and all("(_commit_version" in line and "> 2)" in line and "<= 3)" in line for line in tails)
+    assert "version=2" in text and "version=0" not in text
+    files.remove(spark, f"{root}/snapshots")
+    assert rows(c.as_of_stored(spark, root, keys, version=3)) == rows(contents[3])
+
+
+def test_comparison_reads_unequal_folders_only(spark):
+    base = spark.range(2000).selectExpr("id AS k", "CASE WHEN id % 7 > 0 THEN concat('t', id) END AS a", "CASE WHEN id % 5 > 0 THEN id * 0.5D END AS b")
+    planted = {3: ("x", 1.0), 77: (None, None), 1500: ("t1500", 9.0)}
+    changed = base.filter("k NOT IN (3, 77, 1500, 42)").unionByName(spark.createDataFrame([(k, *v) for k, v in planted.items()] + [(5000, "new", None)], base.schema))
+    left, right, same = (scratch(spark, x) for x in ("left", "right", "same"))
+    for path, table in ((left, base), (right, changed), (same, base.repartition(3).select("b", "k", "a"))):
+        compare.write_comparable(table, path, ["k"], depth=2)
+    assert compare.unequal_folders(spark, left, same) == [] and compare.differences(spark, left, same, ["k"]).collect() == []
+    folders = compare.unequal_folders(spark, left, right)
+    assert 1 <= len(folders) <= 5
+    found = compare.differences(spark, left, right, ["k"])
+    old = {r.k: (r.a, r.b) for r in base.collect()}
+    want = [(42, *old[42], "delete"), (5000, "new", None, "insert")]
+    want += [x for k, v in planted.items() for x in ((k, *old[k], "update_preimage"), (k, *v, "update_postimage"))]
+    assert rows(found, "k", "a", "b", "difference") == sorted(want, key=repr)
+    scans = [line for line in plan(found).split("\n") if "PartitionFilters" in line]
+    assert len(scans) == 2 and all("PartitionFilters: [_bucket" in line for line in scans)
+    swapped = spark.createDataFrame([(None, 1), (1, None)], "a int, b int")
+    assert swapped.select(compare.row_hash(swapped, 1)).distinct().count() == 2  # a null counts by its place
+    with pytest.raises(ValueError, match="depths"):
+        compare.write_comparable(base, same, ["k"], depth=1)
+        compare.unequal_folders(spark, left, same)
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_only_touched_files_are_rewritten(spark, partitioned):
+    path = scratch(spark, "table dir") + "/a b"
+    table = spark.range(1000).selectExpr("id AS k", "id % 10 AS v", "concat('p ', CAST(id % 2 AS string)) AS p")
+    writer = table.repartitionByRange(5, "k").sortWithinPartitions("k").write
+    (writer.partitionBy("p") if partitioned else writer).parquet(path)
+    expected = {r.k: (r.v, r.p) for r in table.collect()}
+    named = lambda paths: {unquote(f).split("a b/")[1] for f in paths}
+    names = lambda: named(spark.read.parquet(path).inputFiles())
+
+    def check(gone):
+        spark.catalog.refreshByPath(path)
+        now = names()
+        gone = named(gone)
+        assert not gone & now and before - gone <= now
+        assert {r.k: (r.v, r.p) for r in spark.read.parquet(path).collect()} == expected
+        assert spark.read.parquet(path).count() == len(expected)
+
+    before = names()
+    gone = rewrite.delete_rows(spark, path, F.col("k").between(10, 20))
+    assert len(gone) == (2 if partitioned else 1)
+    expected = {k: v for k, v in expected.items() if not 10 <= k <= 20}
+    check(gone)
+    before = names()
+    gone = rewrite.update_rows(spark, path, F.col("k") == 500, {"v": F.lit(None)})
+    expected[500] = (None, expected[500][1])
+    assert len(gone) == 1
+    check(gone)
+    before = names()
+    fresh = spark.createDataFrame([(1000 + i, i, "p 1") for i in range(3)] + [(999, 5, "p 1")], "k long, v long, p string")
+    gone = rewrite.replace_rows(spark, path, F.col("k") >= 999, fresh)
+    expected = {k: v for k, v in expected.items() if k < 999} | {r.k: (r.v, r.p) for r in fresh.collect()}
+    check(gone)
+    before = names()
+    assert rewrite.delete_rows(spark, path, F.col("k") < 0) == []
+    check([])
+    with pytest.raises(PySparkException, match="outside the predicate"):
+        rewrite.replace_rows(spark, path, F.col("k") < 0, fresh)
+    assert rewrite.finish(spark, path) == 0
+    check([])
+
+
+def test_a_swap_cut_short_is_completed(spark, monkeypatch):
+    path = scratch(spark, "table")
+    spark.range(100).repartitionByRange(4, "id").write.parquet(path)
+    monkeypatch.setattr(rewrite, "move", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        rewrite.delete_rows(spark, path, F.col("id") < 10)
+    monkeypatch.undo()
+    assert rewrite.finish(spark, path) == 1 and rewrite.finish(spark, path) == 0
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == [(i,) for i in sorted(range(10, 100), key=lambda i: repr((i,)))]
