@@ -455,6 +455,22 @@ def carrier_dimension(t: Tables):
     return _carrier_dim(t)
 
 
+@query("hub_dimension", with_("hubs", "SELECT * FROM hubs"))
+def hub_dimension(t: Tables):
+    return d.hubs(t)
+
+
+@query(
+    "customer_dimension",
+    f"""SELECT c_custkey AS customer_key, 'CUST' || {d.padded("c_custkey", 9)} AS customer_id, c_mktsegment AS segment FROM customer
+    UNION ALL SELECT -1, 'UNK', 'Unknown'""",
+)
+def customer_dimension(t: Tables):
+    """Customers by segment, and the member that facts without a known customer point to."""
+    unknown = t.spark.sql("SELECT -1L AS customer_key, 'UNK' AS customer_id, 'Unknown' AS segment")
+    return d.segments(t).unionByName(unknown)
+
+
 @query(
     "freight_by_region_month",
     with_(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -55,6 +58,11 @@ def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn(WEIGHT, F.coalesce(weight, F.lit(1.0)))
 
 
+def _classifier(label: str, trees: int, depth: int, balanced: bool, seed: int) -> RandomForestClassifier:
+    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=FREQUENT + HASHED + 8)
+    return forest.setWeightCol(WEIGHT) if balanced else forest
+
+
 def fit_forest(
     train: DataFrame,
     label: str,
@@ -66,13 +74,12 @@ def fit_forest(
     one_hot: bool = False,
     seed: int = 42,
 ) -> PipelineModel:
-    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=FREQUENT + HASHED + 8)
     if balanced:
-        train, forest = with_class_weight(train, label), forest.setWeightCol(WEIGHT)
-    return Pipeline(stages=[*feature_stages(train, numeric, categorical, one_hot), forest]).fit(train)
+        train = with_class_weight(train, label)
+    return Pipeline(stages=[*feature_stages(train, numeric, categorical, one_hot), _classifier(label, trees, depth, balanced, seed)]).fit(train)
 
 
-def metrics_of(model: PipelineModel, test: DataFrame, label: str) -> tuple[float, float]:
+def metrics_of(model: Model, test: DataFrame, label: str) -> tuple[float, float]:
     """AUC and accuracy on held-out rows."""
     scored = model.transform(test)
     auc = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC").evaluate(scored)
@@ -81,22 +88,36 @@ def metrics_of(model: PipelineModel, test: DataFrame, label: str) -> tuple[float
 
 
 def sweep(
-    train: DataFrame, test: DataFrame, label: str, numeric: list[str], categorical: list[str], grid=GRID, **options
-) -> tuple[PipelineModel, DataFrame]:
-    """Fit every (trees, depth) pair; the model with the best AUC and the metrics as rows.
+    train: DataFrame, test: DataFrame, label: str, numeric: list[str], categorical: list[str], grid=GRID,
+    balanced: bool = False, one_hot: bool = False, seed: int = 42, at_once: int = 3,
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit every (trees, depth) pair; the model with the best AUC (of equal ones the first of the grid) and the metrics as rows.
 
-    Both sides of the split are stored, so each fit reads the same rows and none is on both sides.
+    Categories are indexed and features assembled once, and both sides of the split are stored in that form, so each fit reads the same
+    narrow rows and none is on both sides. ``at_once`` fits share the cluster: their jobs fill each other's idle cores.
     """
-    train, test = stored(train, "train"), stored(test, "test")
-    best, best_auc, rows = None, -1.0, []
-    for trees, depth in grid:
-        model = fit_forest(train, label, numeric, categorical, trees, depth, **options)
-        auc, accuracy = metrics_of(model, test, label)
-        rows.append((trees, depth, auc, accuracy))
-        if auc > best_auc:
-            best, best_auc = model, auc
-    schema = "num_trees int, max_depth int, test_auc double, accuracy double"
-    return best, train.sparkSession.createDataFrame(rows, schema)
+    if balanced:
+        train = with_class_weight(train, label)
+    made = Pipeline(stages=feature_stages(train, numeric, categorical, one_hot)).fit(train)
+    kept = [label, "features"]
+    # Few rows lie in few files; a fit then has no task for most cores.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    train_rows = stored(made.transform(train).select(*kept, *[WEIGHT] * balanced), "train")
+    if train_rows.rdd.getNumPartitions() < cores:
+        train_rows = stored(train_rows.repartition(cores), "train")
+    test_rows = stored(made.transform(test).select(*kept), "test")
+
+    def fit(pair: tuple[int, int]) -> tuple[Model, float, float]:
+        model = _classifier(label, *pair, balanced, seed).fit(train_rows)
+        return model, *metrics_of(model, test_rows, label)
+
+    # Threads hand the session's settings on to the jobs they start.
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(grid)))) as pool:
+        fitted = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), grid))
+    best = max(fitted, key=lambda f: f[1])[0]
+    rows = [(trees, depth, auc, accuracy) for (trees, depth), (_, auc, accuracy) in zip(grid, fitted, strict=True)]
+    metrics = train.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, test_auc double, accuracy double")
+    return PipelineModel(stages=[*made.stages, best]), metrics
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> DataFrame:

@@ -8,7 +8,7 @@ import staged_rows
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from lakeops.operators import aggregates, changes
+from lakeops.operators import aggregates, changes, forest
 from lakeops.operators.quality import QualityGateError, control_totals, reconcile, table_counts
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry
 from lakeops.session import scratch, stored
@@ -225,6 +225,25 @@ def test_churn_model(spark):
     assert scored.filter("churn_probability < 0 OR churn_probability > 1 OR risk_band IS NULL").isEmpty()
 
 
+def test_sweep_over_a_planted_signal(spark):
+    """Each pair fitted once over features made once; the best model orders rows it has not seen, a grid of one does the same."""
+    i = F.col("id")
+    rows_of = spark.range(1500).select(i, (i % 24).cast("double").alias("hour"), F.concat(F.lit("c"), (i * 7 % 13).cast("string")).alias("kind"),
+                                       ((i * 7 % 13 < 4) | (i % 19 == 0)).cast("int").alias("label"))
+    train, test = aggregates.split_exact(rows_of, "label", "id", 0.8, 1)
+    model, metrics = forest.sweep(train, test, "label", ["hour"], ["kind"], grid=((3, 2), (12, 5)))
+    assert rows(metrics, "num_trees", "max_depth") == [(3, 2), (12, 5)]
+    assert metrics.agg(F.max("test_auc")).first()[0] > 0.85
+    one, again = forest.sweep(train, test, "label", ["hour"], ["kind"], grid=((12, 5),), at_once=1)
+    assert rows(again) == rows(metrics.where("num_trees = 12"))
+    scored = forest.score(one, test, "p")
+    assert scored.columns == [*test.columns, "p"] and scored.count() == test.count()
+    means = dict(rows(scored.groupBy("label").agg(F.avg("p"))))
+    assert means[1] > means[0] + 0.3
+    unseen = forest.score(model, spark.createDataFrame([(1, 3.0, "never", 0)], rows_of.schema), "p")
+    assert 0 <= unseen.first().p <= 1
+
+
 def test_retail_layers(spark, tmp_path):
     (tmp_path / "sales.csv").write_text(
         "OrderID,OrderDate,CustomerID,CustomerName,Region,ProductID,ProductName,Category,Quantity,UnitPrice,Discount,Profit\n"
