@@ -35,6 +35,8 @@ EPSILON = 2.1
 BLOCK_ROWS = 1024
 QUERY_ROWS = 4096
 AT_ONCE = 64
+# Distances to centroids held at once.
+CELLS = 1 << 22
 SEED = 42
 
 
@@ -70,7 +72,7 @@ def fit_centroids(rows: np.ndarray, lists: int) -> np.ndarray:
     start = np.unique(rows, axis=0)
     centroids = start[np.random.default_rng(SEED).permutation(len(start))[:lists]].copy()
     for _ in range(FIT_ROUNDS):
-        nearest = _nearest(rows, centroids)[:, 0]
+        nearest = _first(rows, centroids)
         for c in range(len(centroids)):
             own = rows[nearest == c]
             if len(own):
@@ -83,13 +85,19 @@ def _nearest(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.argsort((centroids**2).sum(axis=1) - 2 * rows @ centroids.T, axis=1, kind="stable")
 
 
+def _first(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each row, a slice of rows at a time."""
+    size, step = (centroids**2).sum(axis=1), max(1, CELLS // len(centroids))
+    return np.concatenate([np.argmin(size - 2 * rows[a : a + step] @ centroids.T, axis=1) for a in range(0, len(rows), step)] or [np.empty(0, np.int64)])
+
+
 def _listed(centroids: np.ndarray, turn: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 rows = _matrix(batch.column(1))
                 turned = [v.tobytes() for v in rows @ turn]
-                lists = pa.array(_nearest(rows, centroids)[:, 0].astype(np.int32))
+                lists = pa.array(_first(rows, centroids).astype(np.int32))
                 yield pa.record_batch([*batch.columns, pa.array(turned, pa.binary()), lists], names=["vec_id", "vector", "asked", "turned", "list"])
 
     return run

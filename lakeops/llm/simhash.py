@@ -6,6 +6,9 @@ bits, rounded down to ``l - 1``: the first segment is equal, the first two diffe
 Candidates therefore meet under a key of one segment and one half of the next (one of its halves must be equal too). Inside a
 task they are pruned chain by chain; the last chain is the whole ring, the full distance.
 
+A key shared by very many fingerprints is cut into blocks, and every two of them are compared in a group of their own, so no link is
+lost and no task holds more than two blocks of a key.
+
 Equal fingerprints are one row from the start, whatever their number. A task does not give out all links of a group, only a
 forest that connects the same fingerprints; components then come from star contraction. Every document keeps its component.
 
@@ -34,6 +37,8 @@ SEED = 42
 CHUNK = 1 << 16
 SLICE = 512
 HOT_SHARE = 1 / 500
+# Rows of a key that one task compares; beyond it pairs of blocks of as many go to tasks of their own.
+BLOCK, SALTS = 8192, 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -138,11 +143,11 @@ def _links(max_bits: int):
         tables = list(batches)
         if tables:
             table = pa.Table.from_batches(tables)
-            place, value, fp = (table.column(c).to_numpy() for c in ("place", "value", "fp"))
+            place, value, pair, fp = (table.column(c).to_numpy() for c in ("place", "value", "pair", "fp"))
             nodes, at = np.unique(fp, return_inverse=True)
             bits, forest = fp.view(np.uint64), _Forest(len(nodes))
             # Rows come sorted by key. The pairs of a group are met by distance: each row with the next one, the one after, ...
-            group = np.cumsum(np.concatenate([[0], (place[1:] != place[:-1]) | (value[1:] != value[:-1])]))
+            group = np.cumsum(np.concatenate([[0], (place[1:] != place[:-1]) | (value[1:] != value[:-1]) | (pair[1:] != pair[:-1])]))
             last = np.searchsorted(group, group, side="right") - 1
             rows, step = np.arange(len(fp)), 1
             while len(rows := rows[rows + step <= last[rows]]):
@@ -158,13 +163,35 @@ def _links(max_bits: int):
     return run
 
 
-def fingerprint_components(prints: DataFrame, max_bits: int) -> DataFrame:
+def _split_hot(keyed: DataFrame, block: int) -> DataFrame:
+    """Rows with the group they are compared in: the key's own, or for a key of more than ``block`` rows one per pair of its blocks.
+
+    Rows of a hot key fall into blocks by a hash, and every two blocks meet in a group of their own, so each pair of rows meets in at
+    least one group and no task holds more than two blocks of a key.
+    """
+    counts = keyed.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    hot = stored(counts.select("place", "value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "hot")
+    whole = keyed.withColumn("pair", F.lit(0).cast("long"))
+    if hot.isEmpty():
+        return whole
+    # A hot key has more than ``block`` rows, so there are few of them beside the rows; salts spread the rows of one key over the join.
+    rows, parts = keyed.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS))), hot.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    met = rows.join(parts, ["place", "value", "salt"], "left")
+    mine = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1), lambda c: c != mine)
+    # Pairs of one key are numbered from 1.
+    pairs = F.transform(others, lambda c: 1 + F.least(c, mine) * F.col("blocks") + F.greatest(c, mine))
+    pair = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs))
+    return met.select("place", "value", "fp", pair.alias("pair"))
+
+
+def fingerprint_components(prints: DataFrame, max_bits: int, block: int = BLOCK) -> DataFrame:
     """(fp, root, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     if max_bits < 1:
         return distinct.select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
     keyed = distinct.select("fp", F.explode(_keys(max_bits)).alias("k")).select("k.place", "k.value", "fp")
-    grouped = keyed.repartition("place", "value").sortWithinPartitions("place", "value", "fp")
+    grouped = _split_hot(keyed, block).repartition("place", "value", "pair").sortWithinPartitions("place", "value", "pair", "fp")
     found = roots(grouped.mapInArrow(_links(max_bits), "u bigint, v bigint"))
     linked = distinct.join(found, distinct.fp == found.u, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     names = linked.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -71,8 +71,23 @@ def test_components_against_all_pairs(spark, max_bits):
     prints += [ball ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(200)]
     items = [(i if i % 7 else None, p) for i, p in enumerate(prints + prints[:40])]
     table = spark.createDataFrame([(i, p - (p >> 63 << 64)) for i, p in items], "doc_id bigint, fp bigint").repartition(5)
-    got = simhash.fingerprint_components(table, max_bits).select("fp", "component_id").collect()
-    assert {r.fp & (2**64 - 1): r.component_id for r in got} == plain_components(items, max_bits)
+    want = plain_components(items, max_bits)
+    for block in (simhash.BLOCK, 30):  # whole keys, and hot keys as pairs of blocks
+        got = simhash.fingerprint_components(table, max_bits, block).select("fp", "component_id").collect()
+        assert {r.fp & (2**64 - 1): r.component_id for r in got} == want
+
+
+def test_a_hot_key_is_split(spark):
+    """Every pair of a hot key's rows meets in a group, no group holds more than about two blocks, other keys are left alone."""
+    keyed = spark.range(500).selectExpr("0 AS place", "7L AS value", "id * 31 AS fp").unionByName(spark.range(40).selectExpr("1 AS place", "id % 4 AS value", "id AS fp"))
+    split = simhash._split_hot(keyed, 50)
+    groups = defaultdict(set)
+    for r in split.collect():
+        groups[r.place, r.value, r.pair].add(r.fp)
+    assert max(map(len, groups.values())) < 170 and len(groups) == 45 + 4
+    assert {frozenset(v) for (place, _, _), v in groups.items() if place} == {frozenset(range(i, 40, 4)) for i in range(4)}
+    met = {(a, b) for (place, _, _), v in groups.items() if not place for a in v for b in v}
+    assert len(met) == 500 * 500
 
 
 def test_near_duplicates(spark, edge_docs, no_docs, small):
