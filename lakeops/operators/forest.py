@@ -12,6 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.scalars import risk_band
 from lakeops.session import stored
@@ -99,12 +100,13 @@ def sweep(
     if balanced:
         train = with_class_weight(train, label)
     made = Pipeline(stages=feature_stages(train, numeric, categorical, one_hot)).fit(train)
-    kept = [label, "features"]
-    # Few rows lie in few files; a fit then has no task for most cores.
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    train_rows = stored(made.transform(train).select(*kept, *[WEIGHT] * balanced), "train")
-    if train_rows.rdd.getNumPartitions() < cores:
-        train_rows = stored(train_rows.repartition(cores), "train")
+    kept, spark = [label, "features"], train.sparkSession
+    # A fit draws its samples by partition and place, so rows are placed by their content: a re-run fits the same trees.
+    # All columns count, the key among them, so rows of equal features are spread.
+    order = F.xxhash64(*[F.col(f"`{f.name}`") for f in train.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = made.transform(train).select(*kept, *[WEIGHT] * balanced, order.alias("_order"))
+    train_rows = stored(placed.repartition(parts, "_order").sortWithinPartitions("_order"), "train")
     test_rows = stored(made.transform(test).select(*kept), "test")
 
     def fit(pair: tuple[int, int]) -> tuple[Model, float, float]:
@@ -113,10 +115,10 @@ def sweep(
 
     # Threads hand the session's settings on to the jobs they start.
     with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(grid)))) as pool:
-        fitted = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), grid))
+        fitted = list(pool.map(inheritable_thread_target(spark)(fit), grid))
     best = max(fitted, key=lambda f: f[1])[0]
     rows = [(trees, depth, auc, accuracy) for (trees, depth), (_, auc, accuracy) in zip(grid, fitted, strict=True)]
-    metrics = train.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, test_auc double, accuracy double")
+    metrics = spark.createDataFrame(rows, "num_trees int, max_depth int, test_auc double, accuracy double")
     return PipelineModel(stages=[*made.stages, best]), metrics
 
 
