@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 from math import ceil, floor
 
@@ -9,6 +10,7 @@ from edge_cases import edge_docs, no_docs  # noqa: F401
 
 from lakeops.llm import exact, mixing
 from lakeops.llm.queries import MIX_WEIGHTS, ORACLES, QUERIES
+from lakeops.session import stored
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -91,6 +93,32 @@ def test_schedule_by_definition(spark, edge_docs, no_docs, small, size):
         mixing.schedule(no_docs, {"a": 0})
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_many_sources(spark, monkeypatch, broadcast):
+    """Sources of many lengths and weights, so that nearly every cycle has other members; both ways to join the schedule."""
+    monkeypatch.setattr(mixing, "BROADCAST_KINDS", 10_000 if broadcast else 0)
+    monkeypatch.setattr(mixing, "CYCLES", 3)
+    rng = random.Random(3)
+    data = [(i, "x" * rng.randrange(0, 40), None if i % 50 == 0 else f"s{rng.randrange(60) ** 2 // 60}") for i in range(1500)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(5)
+    weights = {f"s{i}": 1 + i % 7 for i in range(0, 60, 2)}
+    placed, blocks = stream_blocks(data, 50)
+    slots = plain_schedule(blocks, {s: weights.get(s, 2) for s in blocks})
+    got = mixing.schedule(docs, weights, default=2, block_chars=50)
+    assert rows(got, "doc_id", "source", "chars", "block", "slot") == sorted(((d, s, n, b, slots[(s, b)]) for d, s, n, b in placed), key=repr)
+    assert got.where("slot < released OR slot >= due").count() == 0
+
+
+def test_ten_thousand_sources(spark):
+    """One short document each: a cycle of as many slots, scheduled with one shuffle of its rows."""
+    docs = spark.range(10_000).selectExpr("id AS doc_id", "'text' AS text", "lpad(id * 7919 % 10000, 5, '0') AS source")
+    got = mixing.schedule(docs).orderBy("slot").collect()
+    assert [(r.slot, r.source) for r in got] == [(i, f"{i:05d}") for i in range(10_000)]
+    jobs = mixing._jobs(spark.range(40).selectExpr("string(id) AS source", "1 + id % 3 AS weight", "1 + id AS blocks"))
+    halved = plan(mixing._slots(stored(jobs), 7))
+    assert halved.count("Exchange") == 1 and halved.count("Window [") + halved.count("Window(") >= 14
+
+
 def test_deviation_stays_below_a_block():
     weights = {"a": 7, "b": 3, "c": 1, "d": 1, "e": 5}
     order = sorted(plain_schedule({s: w * 20 for s, w in weights.items()}, weights).items(), key=lambda x: x[1])
