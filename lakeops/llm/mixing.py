@@ -101,11 +101,11 @@ def _slots(jobs: DataFrame, halvings: int) -> DataFrame:
     for bit in reversed(range(halvings)):
         upper = F.shiftright("number", bit) % 2 == 0
         ahead = F.col("is_job") & upper
-        counted = rows.withColumn("c", F.count_if(ahead).over(before)).withColumn("c_too", F.count_if(ahead).over(until))
+        counted = rows.withColumns({"c": F.count_if(ahead).over(before), "c_too": F.count_if(ahead).over(until)})
         late = F.when(ahead, F.col("at") - F.col("c"))
-        busy = counted.withColumn("m", F.max(late).over(before)).withColumn("m_too", F.max(late).over(until))
+        busy = counted.withColumns({"m": F.max(late).over(before), "m_too": F.max(late).over(until)})
         # least() passes over nulls: no job before, no slot taken.
-        busy = busy.withColumn("taken", F.least("c", F.col("at") - F.col("m"))).withColumn("taken_too", F.least("c_too", F.col("at") + 1 - F.col("m_too")))
+        busy = busy.withColumns({"taken": F.least("c", F.col("at") - F.col("m")), "taken_too": F.least("c_too", F.col("at") + 1 - F.col("m_too"))})
         busy = busy.withColumn("up", F.when(F.col("is_job"), upper).otherwise(F.col("taken_too") > F.col("taken")))
         rows = busy.select(
             "kind", "number", "is_job", F.when(F.col("up"), F.col("taken")).otherwise(F.col("at") - F.col("taken")).alias("at"),

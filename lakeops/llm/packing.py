@@ -31,6 +31,8 @@ from lakeops.session import scratch
 
 OPEN = 512
 REPACK_ROWS = 20_000
+# Pieces of closed sequences that a task holds before it hands them on.
+HELD_ROWS = 20_000
 SLICE = 256
 # The place of a piece holds the task of the first round and the piece within the task.
 PLACE_BITS = 32
@@ -97,12 +99,14 @@ def _batch(sequences: list[tuple[int, list]], closed: bool) -> pa.RecordBatch:
 
 def _packed(pieces: Iterator[tuple], size: int, open_limit: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Pack (length, item) pairs; what is open at the end stays open unless this is the last round."""
-    packer, closed = Packer(size, open_limit), []
+    packer, closed, held = Packer(size, open_limit), [], 0
     for length, item in pieces:
-        closed += packer.put(length, item)
-        if len(closed) >= 2000:
+        for sequence in packer.put(length, item):
+            closed.append(sequence)
+            held += len(sequence[1])
+        if held >= HELD_ROWS:
             yield _batch(closed, True)
-            closed = []
+            closed, held = [], 0
     yield _batch(closed, True)
     yield _batch(packer.rest(), last)
 
@@ -139,14 +143,16 @@ def stored_order(docs: DataFrame) -> list[Column]:
     """Sort keys of the rows of a Parquet table as they are stored: Spark numbers the files of a write in their names.
 
     A plain scan does not keep this order: it hands out files by size, the largest first. Rows that do not come straight
-    from files have no such keys; their tasks hold them in partition order.
+    from files have no such keys; their tasks hold them in partition order. A column of the table named ``_metadata`` is
+    not taken for the file's.
     """
     try:
-        docs.select("_metadata.row_index")
+        file = docs.metadataColumn("_metadata")
+        docs.select(file["row_index"])
     except AnalysisException:
         return []
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("bigint")
-    return [part, F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    part = F.regexp_extract(file["file_name"], r"part-(\d+)", 1).try_cast("bigint")
+    return [part, file["file_path"], file["row_index"]]
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 4096, open_limit: int = OPEN,

@@ -1,9 +1,12 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
-from lakeops.llm import packing, simhash
+from edge_cases import edge_docs  # noqa: F401
+from pyspark.sql import functions as F
+
+from lakeops.llm import exact, packing, simhash
 from lakeops.llm.queries import learns, table, toxicity_model
-from lakeops.llm.tokens import public_path
+from lakeops.llm.tokens import encoder, public_path
 
 
 def test_stages(spark, small):
@@ -51,6 +54,51 @@ def test_stages(spark, small):
     assert learns() is not None
 
 
+def test_run_on_empty_tables(spark, small, tmp_path):
+    """No documents: no pieces. No labels: no document is toxic, all texts are packed."""
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    for name, d, la in (("no_docs", docs.limit(0), labels), ("no_labels", docs.limit(40), labels.limit(0))):
+        d.write.parquet(str(tmp_path / name / "documents.parquet"))
+        la.write.parquet(str(tmp_path / name / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "no_docs")).collect() == []
+    got = corpus_pipeline.run(spark, str(tmp_path / "no_labels")).collect()
+    given = table(spark, str(tmp_path / "no_labels"), "documents")
+    left = simhash.keep_representatives(exact.drop_copies(given), words=4, max_bits=4)
+    assert got and {r.doc_id for r in got} == {r.doc_id for r in left.collect()}
+
+
+def test_run_on_edge_rows(spark, small, tmp_path, edge_docs):
+    """Null ids, texts and sources, repeated rows, a very long text: each different text is packed once, whole."""
+    edge_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    table(spark, small, "labels").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    encode = encoder(public_path("word_bpe_49k.json")).encode
+    left = simhash.keep_representatives(exact.drop_copies(edge_docs), words=4, max_bits=4).collect()
+    want = Counter()
+    for r, ids in zip(left, encode([r.text or "" for r in left]), strict=True):
+        want[r.doc_id] += len(ids) // 4 + 1
+    lengths = Counter()
+    for r in got:
+        lengths[r.doc_id] += r.length
+    assert lengths == want
+
+
+def test_order_with_a_clashing_column(spark, small, tmp_path):
+    """A column named as the file's own: the stored order is still that of the files."""
+    docs = table(spark, small, "documents").withColumn("_metadata", F.lit("mine"))
+    docs, ids = stored_unevenly(spark, docs, str(tmp_path / "mixed"))
+    in_order(corpus_pipeline.packed(spark, docs, small), ids)
+    assert packing.stored_order(spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, _metadata string")) == []
+
+
+def test_held_pieces_are_counted_by_row(monkeypatch):
+    """Sequences of many small pieces are handed on by their pieces, not by their number."""
+    monkeypatch.setattr(packing, "HELD_ROWS", 100)
+    item = (1, 0, 0, 1, 0, 0)
+    sizes = [b.num_rows for b in packing._packed(((1, item) for _ in range(1000)), 50, 4, True)]
+    assert sum(sizes) == 1000 and max(sizes) == 100
+
+
 def stored_unevenly(spark, docs, path):
     """Three files, each longer than the one before; the ids in stored order."""
     rows = docs.orderBy("doc_id").collect()
