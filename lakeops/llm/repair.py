@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,9 +194,9 @@ def faults(rows: DataFrame) -> DataFrame:
     return stored(marked.join(first, "place", "left").select("conv_id", "turn", "place", "initial", fault.alias("fault")), "faults")
 
 
-_PART = "conv_id bigint, block bigint, first bigint, rows bigint, illegal bigint, head string, tail string, ways array<struct<top: int, to: int, cost: bigint, audit: string, made: string>>, done boolean"
+_PART = "conv_id bigint, first bigint, rows bigint, illegal bigint, head string, tail string, ways array<struct<top: int, to: int, cost: bigint, audit: string, made: string>>, done boolean"
 _PART_SCHEMA = pa.schema([
-    ("conv_id", pa.int64()), ("block", pa.int64()), ("first", pa.int64()), ("rows", pa.int64()), ("illegal", pa.int64()), ("head", pa.string()), ("tail", pa.string()),
+    ("conv_id", pa.int64()), ("first", pa.int64()), ("rows", pa.int64()), ("illegal", pa.int64()), ("head", pa.string()), ("tail", pa.string()),
     ("ways", pa.list_(pa.struct([("top", pa.int32()), ("to", pa.int32()), ("cost", pa.int64()), ("audit", pa.string()), ("made", pa.string())]))), ("done", pa.bool_()),
 ])
 _FAULT = {"": "sound", "blank": "lost", "duplicate": "lost", "truncated": "truncated"}
@@ -205,20 +204,19 @@ _LEGAL = {"su", "ua", "au"}
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per conversation of a partition the ways through its rows. Holds a byte a row and what a parse of one run links."""
-    block = TaskContext.get().partitionId()
+    """Per conversation of a partition the ways through its rows, in runs of consecutive places. Holds a byte a row and what a parse of one run links."""
     codes = {k: i for i, k in enumerate(KINDS)}
     out: list[tuple] = []
-    conv, kinds, places, initials, pairs, opens = None, bytearray(), [], ["", ""], 0, True
+    conv, kinds, start, before, initials, pairs, opens = None, bytearray(), 0, 0, ["", ""], 0, True
 
     def close(last: bool) -> None:
-        # Only the first run of a partition can continue a conversation, only the last can go on in the next.
+        # The first run of a partition can continue a conversation, the last can go on in the next; both also hold where places jump.
         ways = parse(kinds, list(range(len(STACKS))) if opens else [0])
         if not (opens or last):
             cost, [(audit, made)] = chain([ways])
             ways = {(0, 0): (cost, audit, made)}
         listed = [dict(zip(("top", "to", "cost", "audit", "made"), (*k, *v), strict=True)) for k, v in ways.items()]
-        out.append((conv, block, places[0], len(kinds), pairs, *initials, listed, not (opens or last)))
+        out.append((conv, start, len(kinds), pairs, *initials, listed, not (opens or last)))
 
     def flush() -> pa.RecordBatch:
         made = pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PART_SCHEMA, strict=True)], schema=_PART_SCHEMA)
@@ -227,16 +225,17 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for now, place, initial, fault in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "place", "initial", "fault")), strict=True):
-            if kinds and now != conv:
-                close(False)
-                kinds, places, pairs, opens = bytearray(), [], 0, False
+            # Places of a conversation jump where a stored partition of rows ended: these partitions have other bounds.
+            if kinds and (now != conv or place != before + 1):
+                close(now == conv)
+                kinds, pairs, opens = bytearray(), 0, now == conv
                 if len(out) >= FLUSH_ROWS:
                     yield flush()
             if kinds:
                 pairs += initials[1] + initial not in _LEGAL
             else:
-                conv, places, initials = now, [place], [initial, initial]
-            initials[1] = initial
+                conv, start, initials = now, place, [initial, initial]
+            before, initials[1] = place, initial
             kinds.append(codes[initial if initial in ("s", "u", "a") else "x", _FAULT[fault]])
     if kinds:
         close(True)
@@ -244,17 +243,17 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-_PIECE = "conv_id bigint, block bigint, first bigint, cost bigint, illegal bigint, audit string, made string"
-_PIECE_SCHEMA = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("first", pa.int64()), ("cost", pa.int64()), ("illegal", pa.int64()), ("audit", pa.string()), ("made", pa.string())])
+_PIECE = "conv_id bigint, first bigint, cost bigint, illegal bigint, audit string, made string"
+_PIECE_SCHEMA = pa.schema([("conv_id", pa.int64()), ("first", pa.int64()), ("cost", pa.int64()), ("illegal", pa.int64()), ("audit", pa.string()), ("made", pa.string())])
 
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The parts of conversations that touch an edge of a partition, sorted by conversation and block, each with its piece of the repair."""
+    """The parts of conversations that touch an edge of a run, sorted by conversation and place, each with its piece of the repair."""
 
     def finish(rows: list[dict]) -> pa.RecordBatch:
         cost, pieces = chain([{(w["top"], w["to"]): (w["cost"], w["audit"], w["made"]) for w in r["ways"]} for r in rows])
         crossed = [0, *[a["tail"] + b["head"] not in _LEGAL for a, b in zip(rows, rows[1:], strict=False)]]
-        made = [(r["conv_id"], r["block"], r["first"], 0 if i else cost, r["illegal"] + crossed[i], *p) for i, (r, p) in enumerate(zip(rows, pieces, strict=True))]
+        made = [(r["conv_id"], r["first"], 0 if i else cost, r["illegal"] + crossed[i], *p) for i, (r, p) in enumerate(zip(rows, pieces, strict=True))]
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), _PIECE_SCHEMA, strict=True)], schema=_PIECE_SCHEMA)
 
     held: list[dict] = []
@@ -269,15 +268,15 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pieces(found: DataFrame) -> DataFrame:
-    """The repair of each conversation, in one row per partition it lies in: edits from ``first`` on, roles made. Stored.
+    """The repair of each conversation, in one row per run of places and partition it lies in: edits from ``first`` on, roles made. Stored.
 
     The first row of a conversation has its cost.
     """
     dealt = found.repartitionByRange("place").sortWithinPartitions("place")
     parts = stored(dealt.select("conv_id", "place", "initial", "fault").mapInArrow(_parts, _PART), "parts")
-    whole = parts.where("done").select("conv_id", "block", "first", F.col("ways")[0]["cost"].alias("cost"), "illegal", F.col("ways")[0]["audit"].alias("audit"), F.col("ways")[0]["made"].alias("made"))
-    # At most two runs of a partition touch its edges.
-    edge = parts.where("NOT done").repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_chained, _PIECE)
+    whole = parts.where("done").select("conv_id", "first", F.col("ways")[0]["cost"].alias("cost"), "illegal", F.col("ways")[0]["audit"].alias("audit"), F.col("ways")[0]["made"].alias("made"))
+    # Few runs touch the edges of a partition or of a stored partition of rows.
+    edge = parts.where("NOT done").repartition("conv_id").sortWithinPartitions("conv_id", "first").mapInArrow(_chained, _PIECE)
     return stored(whole.unionByName(edge), "pieces")
 
 
@@ -312,7 +311,7 @@ def summary(found: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row per conversation: gaps in its turns, rows by fault, illegal neighbours, cost and audit of the repair."""
     n = F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn")
     counts = found.groupBy("conv_id").agg(F.coalesce(n, F.lit(0)).alias("gaps"), *[F.count_if(F.col("fault") == f).alias(f) for f in ("blank", "duplicate", "truncated")])
-    audits = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "audit"))), lambda p: p["audit"]), "")
+    audits = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "audit"))), lambda p: p["audit"]), "")
     whole = chosen.groupBy("conv_id").agg(F.sum("illegal").alias("illegal"), F.sum("cost").alias("cost"), audits.alias("audit"))
     return counts.join(whole.withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
 

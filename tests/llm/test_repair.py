@@ -6,6 +6,7 @@ from zlib import crc32
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lakeops.llm import repair
 from lakeops.llm.queries import QUERIES, damaged
@@ -165,3 +166,23 @@ def test_damage_and_empty(spark):
     assert sorted(map(repr, damaged(table).collect())) == sorted(map(repr, spark.createDataFrame(broken(rows), "conv_id bigint, turn bigint, role string, text string").collect()))
     assert got(spark, broken(rows)) == expected(broken(rows))
     assert got(spark, []) == {}
+
+
+@pytest.mark.parametrize("then", ["1", "3"])
+def test_parse_bounds_differ_from_the_order(spark, then):
+    """Rows are stored in seven partitions and parsed in fewer, so places jump within a conversation and within a task."""
+    rows = [(c, i, ("user", "assistant")[i % 2] if i % 9 else "tool", f"t{i % 83}{'.' if i % 5 else ''}") for c in (None, 1, 2) for i in range(150)]
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        in_order = repair.placed(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+        found = repair.faults(in_order)
+        spark.conf.set("spark.sql.shuffle.partitions", then)
+        chosen = repair.pieces(found)
+        sha = {r.conv_id: r.sha256 for r in repair.digests(repair.repaired(in_order, chosen)).collect()}
+        made = {r.conv_id: (*r[1:8], sha[r.conv_id]) for r in repair.summary(found, chosen).collect()}
+        assert in_order.select((F.col("place") / 2**33).cast("int")).distinct().count() > int(then)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert made == expected(rows)
