@@ -20,6 +20,8 @@ from lakeops.session import stored
 
 # A key with fewer rows than this is never cut: one task sorts that many without trouble.
 HOT_ROWS = 5_000_000
+# Blocks smaller than ``HOT_ROWS`` are made no more than this: each costs a task, and the driver samples rows for its bounds.
+SMALL_BLOCKS = 200
 
 
 @dataclass
@@ -40,13 +42,15 @@ def rows_if_hot(df: DataFrame, keys: list[str], hot_rows: int) -> int:
 def cut_blocks(df: DataFrame, keys: list[str], order_by: list[str], hot_rows: int | None = HOT_ROWS) -> Blocks:
     """Blocks of about ``hot_rows`` rows that rise along (key, order); without hot keys nothing changes.
 
+    A small ``hot_rows`` cuts into at most ``SMALL_BLOCKS``, or as many as keep a block at ``HOT_ROWS`` rows.
     The blocks are written down, since later passes must see the same ones. ``hot_rows=None`` skips the count, for keys whose
     number of rows is bounded by their meaning.
     """
     rows = rows_if_hot(df, keys, hot_rows) if hot_rows is not None else 0
     if not rows:
         return Blocks(df)
-    ranged = df.repartitionByRange(math.ceil(rows / hot_rows), *keys, *order_by)
+    count = min(math.ceil(rows / hot_rows), max(SMALL_BLOCKS, math.ceil(rows / HOT_ROWS)))
+    ranged = df.repartitionByRange(count, *keys, *order_by)
     return Blocks(stored(ranged.withColumn("_block", F.spark_partition_id()), "blocks"), ["_block"])
 
 

@@ -149,6 +149,15 @@ def test_more_hot_keys_than_partitions(spark):
     assert rows(o.windowed(df, ["k"], ["d"], "n", {"p": "v"}, {"t": "v"}, hot_rows=25).select("id", "n", "p", "t")) == rows(want)
 
 
+def test_blocks_do_not_grow_with_small_hot_rows(spark):
+    """The driver gets sampled rows and task results per block, so their number must not follow the rows."""
+    df = spark.range(5000).select("id", F.lit(1).alias("k"))
+    blocks = o.cut_blocks(df, ["k"], ["id"], 10)
+    assert blocks.df.select(*blocks.cols).distinct().count() <= o.SMALL_BLOCKS
+    got = o.windowed(df, ["k"], ["id"], "n", lags={"p": "id"}, hot_rows=10).select("id", "n", "p")
+    assert rows(got) == sorted(((i, i + 1, i - 1 if i else None) for i in range(5000)), key=repr)
+
+
 def test_numbers_are_long(spark):
     df = spark.range(50).select("id", F.lit(1).alias("k"))
     for hot in (None, 10):
