@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -22,6 +23,8 @@ FREQUENT, HASHED = 96, 24
 # Fixed values: (trees, depth) of the sweep.
 GRID = ((50, 4), (100, 6), (200, 8))
 WEIGHT = "_class_weight"
+# Every task of a fit sends statistics of all open nodes, whatever its rows, so tasks are as few as hold no more rows than this.
+TASK_ROWS = 500_000
 
 
 def threshold_label(df: DataFrame, measure: str, threshold: float, out: str) -> DataFrame:
@@ -64,6 +67,17 @@ def _classifier(label: str, trees: int, depth: int, balanced: bool, seed: int) -
     return forest.setWeightCol(WEIGHT) if balanced else forest
 
 
+def placed_rows(train: DataFrame, made: PipelineModel, kept: list[str], parts: int) -> DataFrame:
+    """Label, features and weight of the training rows, stored in ``parts`` files.
+
+    A fit draws its samples by partition and place, so rows are placed by their content: a re-run fits the same trees. All columns
+    count, the key among them, so rows of equal features are spread.
+    """
+    order = F.xxhash64(*[F.col(f"`{f.name}`") for f in train.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
+    placed = made.transform(train).select(*kept, order.alias("_order"))
+    return stored(placed.repartition(parts, "_order").sortWithinPartitions("_order"), "train")
+
+
 def fit_forest(
     train: DataFrame,
     label: str,
@@ -77,7 +91,11 @@ def fit_forest(
 ) -> PipelineModel:
     if balanced:
         train = with_class_weight(train, label)
-    return Pipeline(stages=[*feature_stages(train, numeric, categorical, one_hot), _classifier(label, trees, depth, balanced, seed)]).fit(train)
+    made = Pipeline(stages=feature_stages(train, numeric, categorical, one_hot)).fit(train)
+    # All cores take part, whatever few files the rows come from.
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, math.ceil(train.count() / TASK_ROWS))
+    rows = placed_rows(train, made, [label, "features", *[WEIGHT] * balanced], parts)
+    return PipelineModel(stages=[*made.stages, _classifier(label, trees, depth, balanced, seed).fit(rows)])
 
 
 def metrics_of(model: Model, test: DataFrame, label: str) -> tuple[float, float]:
@@ -101,12 +119,8 @@ def sweep(
         train = with_class_weight(train, label)
     made = Pipeline(stages=feature_stages(train, numeric, categorical, one_hot)).fit(train)
     kept, spark = [label, "features"], train.sparkSession
-    # A fit draws its samples by partition and place, so rows are placed by their content: a re-run fits the same trees.
-    # All columns count, the key among them, so rows of equal features are spread.
-    order = F.xxhash64(*[F.col(f"`{f.name}`") for f in train.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = made.transform(train).select(*kept, *[WEIGHT] * balanced, order.alias("_order"))
-    train_rows = stored(placed.repartition(parts, "_order").sortWithinPartitions("_order"), "train")
+    train_rows = placed_rows(train, made, [*kept, *[WEIGHT] * balanced], parts)
     test_rows = stored(made.transform(test).select(*kept), "test")
 
     def fit(pair: tuple[int, int]) -> tuple[Model, float, float]:

@@ -207,6 +207,17 @@ def test_scorecard(spark):
     ]
 
 
+def test_forest_is_fitted_on_all_cores(spark, monkeypatch):
+    """Training rows that come from one file are spread before the fit."""
+    seen, fit = [], forest.RandomForestClassifier.fit
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    i = F.col("id")
+    made = spark.range(400).coalesce(1).select("id", (i % 7).cast("double").alias("n"), (i % 5).cast("string").alias("c"), (i % 7 > 3).cast("int").alias("label"))
+    model = forest.fit_forest(made, "label", ["n"], ["c"], trees=3, depth=3, balanced=True)
+    assert seen[0] > 1
+    assert forest.score(model, made, "p").where("p BETWEEN 0 AND 1").count() == 400
+
+
 def test_churn_model(spark):
     i = F.col("id")
     customers = spark.range(600).select(
