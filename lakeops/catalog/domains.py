@@ -6,6 +6,8 @@ sides plant the same ones and they grow with the data.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,9 +82,22 @@ def retail_bronze(t: Tables) -> DataFrame:
 RETAIL_TIES = ["product_id", "quantity", "profit", "discount", "unit_price"]
 
 
+# Joined line items become wide text rows, which later steps sort where they lie: no more of them to a task than this.
+JOINED_ROWS = 500_000
+
+
+def by_order(lines: DataFrame, rows: int) -> DataFrame:
+    """Line items in parts of about ``rows`` by their order, for a join; a few parts are left as they lie.
+
+    The number is given, as the sizes that AQE joins shuffled parts by are those of the narrow rows before the join.
+    """
+    parts = math.ceil(lines.count() / rows)
+    return lines.repartition(parts, "l_orderkey") if parts > 8 else lines
+
+
 def staging(t: Tables) -> DataFrame:
     """Line items as all-text shipment rows; the shipment number repeats where the line number does."""
-    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = by_order(t.lineitem, JOINED_ROWS).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     shipped = F.to_date("o_orderdate")
     arrived = F.date_add(shipped, (1 + F.col("l_partkey") % 6).cast("int"))
