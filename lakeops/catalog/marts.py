@@ -66,7 +66,7 @@ def retail_layers(t: Tables):
     """Raw CSV through bronze, silver and gold; the monthly gold table."""
     source = scratch(t.spark, "raw")
     raw = d.retail_bronze(t).drop("_ingested_at").withColumn("order_id", F.concat(F.lit("R"), "order_id"))
-    raw.withColumnsRenamed({"order_id": "OrderID", "unit_price": "UnitPrice"}).write.option("header", True).csv(source)
+    raw.withColumnsRenamed({"order_id": "OrderID", "unit_price": "UnitPrice"}).write.option("header", True).option("compression", "gzip").csv(source)
     schema = retail.RAW.replace("CustomerID string", "CustomerID bigint").replace("ProductID string", "ProductID bigint")
     return retail.run(t.spark, source, scratch(t.spark, "retail"), schema)["monthly"]
 
@@ -491,7 +491,8 @@ def freight_by_region_month(t: Tables):
 )
 def freight_by_segment_bucketed(t: Tables):
     """Fact and customers written in buckets of one key and joined as they lie."""
-    fact, customers = shipments.write_bucketed_star(star(t), d.segments(t), scratch(t.spark, "bucketed"), 8)
+    rows = star(t)
+    fact, customers = shipments.write_bucketed_star(rows, d.segments(t), scratch(t.spark, "bucketed"), shipments.bucket_count(rows))
     return shipments.freight_by_segment(fact, customers)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ STAGING = [
     "freight_amount", "status", "is_express",
 ]
 
+# Rows of the fact to a bucket, and the least number of buckets.
+BUCKET_ROWS, BUCKETS = 500_000, 8
+
 # Service level by carrier number modulo 3.
 SERVICE_LEVELS = {0: "Express", 1: "Standard", 2: "Economy"}
 
@@ -125,6 +130,11 @@ def freight_of_days(fact: DataFrame, hubs: DataFrame, days: DataFrame) -> DataFr
     return totals.groupBy("region", "year_num", "month_num").agg(F.sum("freight").alias("freight"))
 
 
+def bucket_count(fact: DataFrame) -> int:
+    """Buckets of at most about ``BUCKET_ROWS`` rows, so that each is sorted in the memory of a task; no fewer than ``BUCKETS``."""
+    return max(BUCKETS, math.ceil(fact.count() / BUCKET_ROWS))
+
+
 def write_bucketed_star(fact: DataFrame, customers: DataFrame, root: str, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Fact and customers in as many buckets of the customer's key, each sorted by it; both as written."""
     return write_bucketed(fact, f"{root}/fact", "customer_key", buckets), write_bucketed(customers, f"{root}/customers", "customer_key", buckets)

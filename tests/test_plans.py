@@ -8,7 +8,7 @@ from lakeops.catalog import QUERIES, domains, marts
 from lakeops.catalog.base import Tables
 from lakeops.operators.quality import quarantine
 from lakeops.plans import shipments
-from lakeops.session import scratch, stored
+from lakeops.session import scratch, shared_root, stored
 from lakeops.sources import files
 from lakeops.sources.files import load_once
 from lakeops.sources.readers import calendar, day_bounds
@@ -97,3 +97,23 @@ def test_a_rewritten_input_is_another_star(spark, small):
     assert after == QUERIES["shipment_fact"](spark, folder).count() < before
     files.remove(spark, load_once(spark, "star", [t.lineitem, t.orders, t.customer, t.supplier, t.nation, t.part], lambda path: None))
     assert sum(r.n for r in counted(spark, folder).collect()) == after
+
+
+def test_buckets_follow_the_rows(spark):
+    assert shipments.bucket_count(spark.range(1000)) == shipments.BUCKETS
+    assert shipments.bucket_count(spark.range(20 * shipments.BUCKET_ROWS + 1)) == 21
+
+
+def test_joined_lines_are_spread_by_their_number(spark):
+    """Parts of the join follow the rows, not the bytes of the narrow rows before it; all rows stay."""
+    lines = spark.range(1000).select((F.col("id") % 300).alias("l_orderkey"), "id")
+    spread = domains.by_order(lines, 100)
+    assert spread.rdd.getNumPartitions() == 10 and sorted(spread.collect()) == sorted(lines.collect())
+    assert domains.by_order(lines, 200) is lines
+
+
+def test_raw_sales_are_written_compressed(spark, small):
+    before = set(files.matching(spark, f"{shared_root(spark)}/raw-*/*.csv*"))
+    assert QUERIES["retail_layers"](spark, small).count() > 0
+    written = set(files.matching(spark, f"{shared_root(spark)}/raw-*/*.csv*")) - before
+    assert written and all(w.endswith(".csv.gz") for w in written)
