@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -77,7 +78,10 @@ def placed_rows(train: DataFrame, made: PipelineModel, kept: list[str], parts: i
     """
     order = F.xxhash64(*[F.col(f"`{f.name}`") for f in train.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
     placed = made.transform(train).select(*kept, order.alias("_order"))
-    return stored(placed.repartition(parts, "_order").sortWithinPartitions("_order"), "train")
+    held = stored(placed.repartition(parts, "_order").sortWithinPartitions("_order"), "train")
+    # Files of equal size are read in the order they are named in: by part, not as a folder happens to list them.
+    names = sorted((unquote(f) for f in held.inputFiles()), key=lambda f: f.rsplit("/", 1)[1])
+    return held.sparkSession.read.schema(held.schema).parquet(*names) if names else held
 
 
 def fit_forest(
