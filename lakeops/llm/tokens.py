@@ -11,7 +11,9 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
+import sys
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -20,11 +22,13 @@ CACHE_PIECES = 500_000
 _UNSURE = re.compile("[^\x00-\x1b\x20-ɏ]")
 # Letters and numbers below U+0250, as Unicode classes them.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
-_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+_SHORT = "'(?:s|t|re|ve|m|ll|d)"
+# Letters are tried first, as most pieces are words; no piece of letters begins with the sign of the short forms.
 _CUTS = {
-    "bytes": re.compile(rf"{_SHORT}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
-    "words": re.compile(rf"{_SHORT}|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
+    "bytes": re.compile(rf" ?+[{_L}]++|{_SHORT}| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
+    "words": re.compile(rf"[{_L}]+|{_SHORT}|[{_N}]|[^\s{_L}{_N}]+"),
 }
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 # The two kinds of tokenizer file whose pieces are known.
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -51,6 +55,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+def _unsure(text: str) -> bool:
+    if text.isascii():  # known without a look at the characters
+        return any(c in text for c in _CONTROLS)
+    return _UNSURE.search(text) is not None
+
+
+class _Pieces(dict):
+    """Ids by piece, of a fixed number of pieces at most; a piece asked for the first time is made."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        ids = self[piece] = self.make(piece)
+        return ids
+
+
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers."""
 
@@ -64,34 +95,23 @@ class Encoder:
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
-        self.cache: dict[str, bytes] = {}
-        self.cache_pieces = cache_pieces
+        self.cache = _Pieces(self._piece, cache_pieces)
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if piece.isascii() and piece.isprintable():  # only the space has another letter
+            letters = piece.replace(" ", self.letters[0x20])
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.model.tokenize(letters)])
 
     def _one(self, text: str) -> bytes:
-        if self.kind is None or _UNSURE.search(text) or any(t in text for t in self.added):
+        if self.kind is None or _unsure(text) or any(t in text for t in self.added):
             return self._whole(text)
         pieces = _CUTS[self.kind].findall(text.lower() if self.kind == "words" else text)
-        cache = self.cache
-        found = list(map(cache.get, pieces))
-        if None in found:
-            if len(cache) > self.cache_pieces:
-                cache.clear()
-            for i, ids in enumerate(found):
-                if ids is None:
-                    piece = pieces[i]
-                    ids = cache.get(piece)
-                    if ids is None:
-                        ids = cache[piece] = self._piece(piece)
-                    found[i] = ids
-        return b"".join(found)
+        return b"".join(map(self.cache.__getitem__, pieces))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self._one(t) for t in texts]
