@@ -256,6 +256,45 @@ def test_sweep_over_a_planted_signal(spark):
     assert 0 <= unseen.first().p <= 1
 
 
+def test_sweep_merges_equal_rows(spark, monkeypatch, tmp_path):
+    """Many rows of few distinct features are fitted as weighted ones; forests, metrics and scores are as good as over all rows."""
+    i = F.col("id")
+    rows_of = spark.range(6000).select(i, (i % 24).cast("double").alias("hour"), F.concat(F.lit("c"), (i * 7 % 13).cast("string")).alias("kind"),
+                                       ((i * 7 % 13 < 4) | (F.xxhash64("id") % 19 == 0)).cast("int").alias("label"))
+    train, test = aggregates.split_exact(rows_of, "label", "id", 0.8, 1)
+    _, over_all = forest.sweep(train, test, "label", ["hour"], ["kind"], grid=((12, 5),))
+    seen, fit = [], forest.RandomForestClassifier.fit
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    monkeypatch.setattr(forest, "MERGE_ROWS", 1000)
+    model, metrics = forest.sweep(train, test, "label", ["hour"], ["kind"], grid=((3, 2), (12, 5)))
+    assert max(seen) <= 24 * 13 * 2 and len(seen) == 15
+    assert len(model.stages[-1].trees) == model.stages[-1].getNumTrees in (3, 12)
+    merged, plain = metrics.where("num_trees = 12").first(), over_all.first()
+    assert abs(merged.test_auc - plain.test_auc) < 0.05 and abs(merged.accuracy - plain.accuracy) < 0.05
+    one, again = forest.sweep(train, test, "label", ["hour"], ["kind"], grid=((12, 5),), balanced=False)
+    assert rows(again) == rows(metrics.where("num_trees = 12"))
+    assert one.stages[-1].getNumTrees == 12
+    one.stages[-1].save(str(tmp_path / "forest"))
+    loaded = forest.RandomForestClassificationModel.load(str(tmp_path / "forest"))
+    assert len(loaded.trees) == 12 and loaded.getMaxDepth() == 5
+    scored = forest.score(one, test, "p")
+    # The merged test rows stand for all rows: metrics over the rows themselves are the same.
+    assert forest.metrics_of(one, test, "label") == pytest.approx((merged.test_auc, merged.accuracy), abs=1e-9)
+    assert scored.where("p BETWEEN 0 AND 1").count() == test.count()
+    weighted, _ = forest.sweep(train, test, "label", ["hour"], ["kind"], grid=((4, 3),), balanced=True)
+    assert forest.metrics_of(weighted, test, "label")[0] > 0.8
+
+
+def test_draws_of_merged_rows(spark):
+    """The draws of k equal rows sum to Poisson(k): mean and variance are k, each tree draws by itself, a re-run draws the same."""
+    cells = spark.range(3000, numPartitions=2).select("id", F.when(F.col("id") % 2 == 0, 40).otherwise(1).cast("bigint").alias(forest.COUNT))
+    schema = f"id bigint, {forest.COUNT} bigint, a int, b int"
+    drawn = cells.mapInArrow(forest._drawn(["a", "b"], 7), schema)
+    for k, mean, variance, joint in rows(drawn.groupBy(forest.COUNT).agg(F.avg("a"), F.var_samp("b"), F.corr("a", "b"))):
+        assert abs(mean - k) < 0.1 * k and abs(variance - k) < 0.2 * k and abs(joint) < 0.1
+    assert rows(drawn) == rows(cells.mapInArrow(forest._drawn(["a", "b"], 7), schema))
+
+
 def test_retail_layers(spark, tmp_path):
     (tmp_path / "sales.csv").write_text(
         "OrderID,OrderDate,CustomerID,CustomerName,Region,ProductID,ProductName,Category,Quantity,UnitPrice,Discount,Profit\n"
