@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.tokens import encoder
+from lakeops.llm.tokens import blocks, encoder
 from lakeops.session import stored
 
 BUCKET = 4096
@@ -24,10 +24,10 @@ BUCKET = 4096
 
 def _lengths(path: str, added: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = encoder(path).encode
+        tokenizer = encoder(path)
         for batch in batches:
-            sizes = [len(x) // 4 + added for x in count(batch.column(0).to_pylist())]
-            yield pa.record_batch([pa.array(sizes, pa.int64())], names=["n_tokens"])
+            for texts in blocks(batch.column(0)):
+                yield pa.record_batch([pa.array(tokenizer.arrays(texts)[0] + added, pa.int64())], names=["n_tokens"])
 
     return run
 

@@ -19,31 +19,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.tokens import encoder
+from lakeops.llm.tokens import blocks, encoder
 from lakeops.session import scratch
 
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 PAGE_BYTES = 256 * 1024
-SLICE = 256
 
 
 def _encoded(path: str, end_id: int):
     schema = pa.schema([("doc_id", pa.int64()), ("local_start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, end, place = encoder(path), np.array([end_id], "<u4").tobytes(), 0
+        tokenizer, place = encoder(path), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                ids = [x + end for x in tokenizer.encode(part.column(1).to_pylist())]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(counts)
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                starts = pa.array(place + ends - counts)
+            at = 0
+            for texts in blocks(batch.column(1)):
+                counts, ids = tokenizer.arrays(texts)
+                ends = np.cumsum(counts + 1)
+                values = np.insert(ids, np.cumsum(counts), end_id).astype("<i4", copy=False)
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), pa.array(values))
+                starts = pa.array(place + ends - counts - 1)
                 place += int(ends[-1])
-                yield pa.record_batch([part.column(0), starts, pa.array(counts), lists], schema=schema)
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), starts, pa.array(counts + 1), lists], schema=schema)
+                at += len(texts)
 
     return run
 
