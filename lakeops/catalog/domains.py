@@ -49,15 +49,20 @@ def bank(t: Tables) -> DataFrame:
     )
 
 
-def retail_bronze(t: Tables) -> DataFrame:
-    """Line items as raw retail sales: untidy text, negative prices, blank customers, repeated order ids."""
+def retail_bronze(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+    """Line items, all or the given ones, as raw retail sales: untidy text, negative prices, blank customers, repeated order ids.
+
+    Customers are joined to the orders, not to the lines, and orders last: fewer columns are shuffled with each line, and what
+    lines of an order have in common is repeated in rows near one another, so that files of them are small.
+    """
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     buyers = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_name", "r_name"
     )
-    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    full = lines.join(buyers, F.col("o_custkey") == F.col("c_custkey")).join(
-        t.part, F.col("l_partkey") == F.col("p_partkey")
+    placed = t.orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    lines = t.lineitem if lines is None else lines
+    full = lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(
+        placed, F.col("l_orderkey") == F.col("o_orderkey")
     )
     number = F.col("l_linenumber")
     return full.select(

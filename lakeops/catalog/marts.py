@@ -13,10 +13,10 @@ from lakeops.operators.aggregates import pivot_counts
 from lakeops.operators.clean import distinct_rows
 from lakeops.operators.quality import gate_metrics, quarantine
 from lakeops.plans import banking, churn, hospital, logistics, retail, shipments, telemetry, visits
-from lakeops.session import scratch, stored
+from lakeops.session import scratch, shuffles_dropped, stored
 from lakeops.sources.files import load_once
 from lakeops.sources.readers import calendar, day_bounds
-from lakeops.sources.sinks import drop_table
+from lakeops.sources.sinks import drop_table, key_slices
 
 # --- retail ---------------------------------------------------------------------------------------------
 
@@ -65,8 +65,11 @@ def monthly_region_category(t: Tables):
 def retail_layers(t: Tables):
     """Raw CSV through bronze, silver and gold; the monthly gold table."""
     source = scratch(t.spark, "raw")
-    raw = d.retail_bronze(t).drop("_ingested_at").withColumn("order_id", F.concat(F.lit("R"), "order_id"))
-    raw.withColumnsRenamed({"order_id": "OrderID", "unit_price": "UnitPrice"}).write.option("header", True).option("compression", "gzip").csv(source)
+    for held in key_slices(t.lineitem, "l_orderkey", retail.SLICE_ROWS):
+        raw = d.retail_bronze(t, t.lineitem.where(held)).drop("_ingested_at").withColumn("order_id", F.concat(F.lit("R"), "order_id"))
+        raw = raw.withColumnsRenamed({"order_id": "OrderID", "unit_price": "UnitPrice"})
+        with shuffles_dropped(t.spark):
+            raw.write.mode("append").option("header", True).option("compression", "gzip").csv(source)
     schema = retail.RAW.replace("CustomerID string", "CustomerID bigint").replace("ProductID string", "ProductID bigint")
     return retail.run(t.spark, source, scratch(t.spark, "retail"), schema)["monthly"]
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,9 @@ CLUSTER_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Spark's setting for ``shuffles_dropped``.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int | str = "*", app: str = "lakeops", **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster passes its own session to the operators."""
@@ -62,6 +67,20 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that runs in here go when it ends, not when the driver happens to collect its garbage.
+
+    For writes one after another whose rows are read back from what was written: a DataFrame that is run again shuffles again.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+
+
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

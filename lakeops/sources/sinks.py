@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.sources.files import move, remove
+
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -18,12 +22,39 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def replaced(df: DataFrame, path: str) -> DataFrame:
+def replaced(df: DataFrame, path: str, **options: str) -> DataFrame:
     """Replace a table folder as a whole and read back what was written."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def key_slices(df: DataFrame, key: str, rows: int) -> list[Column]:
+    """Conditions that each hold for about ``rows`` rows, and for all rows of a key at once; every row, also one without a key, meets one."""
+    count = max(1, math.ceil(df.count() / rows))
+    return [F.pmod(F.xxhash64(key), F.lit(count)) == i for i in range(count)] if count > 1 else [F.lit(True)]
+
+
+def replaced_in_slices(
+    df: DataFrame, path: str, key: str, build: Callable[[DataFrame], DataFrame], rows: int, **options: str
+) -> DataFrame:
+    """Replace a table folder as a whole by ``build`` of ``df``, built from about ``rows`` rows at a time, all of a key at once.
+
+    For a build that shuffles wide rows but needs only those of a key together: with the shuffle files dropped after each write,
+    the disk holds those of one slice. Slices are gathered beside the folder and moved there when all are written.
+    """
+    spark, gathered = df.sparkSession, f"{path}-{uuid.uuid4().hex}"
+    try:
+        for held in key_slices(df, key, rows):
+            build(df.where(held)).write.mode("append").options(**options).parquet(gathered)
+        remove(spark, path)
+        if not move(spark, gathered, path):
+            raise OSError(f"{gathered} could not be moved to {path}")
+    except BaseException:
+        remove(spark, gathered)
+        raise
+    return spark.read.parquet(path)
+
+
 def append_merged(df: DataFrame, path: str) -> None:
     """Append rows that may carry new columns; read back with schema merging."""
     df.write.mode("append").parquet(path)

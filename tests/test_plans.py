@@ -1,17 +1,21 @@
 """Physical plans: what reaches the scan, what is shuffled, what never appears."""
 
+import time
+from pathlib import Path
+
 import pytest
-from conftest import plan
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from lakeops.catalog import QUERIES, domains, marts
 from lakeops.catalog.base import Tables
 from lakeops.operators.quality import quarantine
-from lakeops.plans import shipments
+from lakeops.plans import retail, shipments
 from lakeops.session import scratch, shared_root, stored
 from lakeops.sources import files
 from lakeops.sources.files import load_once
 from lakeops.sources.readers import calendar, day_bounds
+from lakeops.sources.sinks import key_slices
 
 
 def test_filters_and_columns_reach_the_scan(spark, small):
@@ -117,3 +121,58 @@ def test_raw_sales_are_written_compressed(spark, small):
     assert QUERIES["retail_layers"](spark, small).count() > 0
     written = set(files.matching(spark, f"{shared_root(spark)}/raw-*/*.csv*")) - before
     assert written and all(w.endswith(".csv.gz") for w in written)
+
+
+def shuffle_files(spark) -> set[Path]:
+    """Shuffle files that lie in the session's local folders."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for folder in folders for f in Path(folder.toString()).rglob("shuffle_*.data")}
+
+
+@pytest.fixture
+def sales_tables(spark):
+    """The tables that retail sales are joined from; some lines come twice, some have no order."""
+    folder, n = scratch(spark, "tables"), F.col("id")
+    tables = {
+        "region": spark.range(2).select(n.alias("r_regionkey"), F.when(n == 0, "ASIA").otherwise("EUROPE").alias("r_name")),
+        "nation": spark.range(3).select(n.alias("n_nationkey"), (n % 2).alias("n_regionkey")),
+        "customer": spark.range(60).select(n.alias("c_custkey"), F.concat(F.lit("C"), "id").alias("c_name"), (n % 3).alias("c_nationkey")),
+        "part": spark.range(20).select(n.alias("p_partkey"), F.concat(F.lit("P"), "id").alias("p_name"), F.lit("LARGE").alias("p_type"), (n + 0.5).alias("p_retailprice")),
+        "orders": spark.range(100).select(n.alias("o_orderkey"), (n % 60).alias("o_custkey"), F.date_add(F.lit("2026-01-01").cast("date"), (n % 90).cast("int")).alias("o_orderdate")),
+        "lineitem": spark.range(400).select(
+            F.when(n % 50 > 0, n % 110).alias("l_orderkey"), (n % 20).alias("l_partkey"), (n % 2).alias("l_linenumber"), (n % 9 + 1.0).alias("l_quantity"),
+            F.lit(0.1).alias("l_discount"), (n * 1.5).alias("l_extendedprice"), F.lit("2026-02-01").cast("date").alias("l_shipdate"),
+        ),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_retail_layers_in_slices(spark, sales_tables, monkeypatch):
+    """All rows come through however few are shuffled at a time, and the shuffle files are gone when the layers are written."""
+    whole = rows(QUERIES["retail_layers"](spark, sales_tables))
+    monkeypatch.setattr(retail, "SLICE_ROWS", 90)
+    before, folders = shuffle_files(spark), set(files.matching(spark, f"{shared_root(spark)}/retail-*"))
+    sliced = QUERIES["retail_layers"](spark, sales_tables)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:  # they are removed in the background
+        time.sleep(0.2)
+    assert not left
+    assert rows(sliced) == whole and len(whole) == 6
+    (root,) = set(files.matching(spark, f"{shared_root(spark)}/retail-*")) - folders
+    tables = ["bronze", "gold_customers", "gold_fact", "gold_monthly", "silver"]
+    assert [t.rsplit("/", 1)[1] for t in files.matching(spark, f"{root}/*")] == tables
+    bronze, silver = spark.read.parquet(f"{root}/bronze"), spark.read.parquet(f"{root}/silver")
+    assert bronze.count() > 3 * 90 and rows(silver) == rows(retail.clean_sales(bronze, retail.TIES).drop("_source_file"))
+    assert rows(spark.read.parquet(f"{root}/gold_fact")) == rows(retail.fact_sales(silver))
+
+
+def test_sales_shuffle_few_columns(spark, sales_tables):
+    """Customers are joined to the orders; a slice of the lines takes only its own orders."""
+    t = Tables(spark, sales_tables)
+    lines = t.lineitem.where(key_slices(t.lineitem, "l_orderkey", 100)[1])
+    text = plan(domains.retail_bronze(t, lines))
+    assert "pmod(xxhash64(l_orderkey" in text and "pmod(xxhash64(o_orderkey" in text
+    every = [domains.retail_bronze(t, t.lineitem.where(held)) for held in key_slices(t.lineitem, "l_orderkey", 100)]
+    assert len(every) == 4 and sorted(r for part in every for r in rows(part)) == sorted(rows(domains.retail_bronze(t)))

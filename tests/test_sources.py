@@ -3,13 +3,14 @@ import json
 
 import pytest
 from conftest import plan, rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.plans import visits
-from lakeops.session import scratch, shared_root
-from lakeops.sources import readers, sinks
+from lakeops.session import DROP_SHUFFLES, scratch, shared_root, shuffles_dropped
+from lakeops.sources import files, readers, sinks
 
 VISITS = """patient_id,visit_date,department,age,diagnosis_code
 P1,2026-01-16,CARDIO,73,F32
@@ -171,3 +172,26 @@ def test_absent_folder(spark):
 @pytest.mark.parametrize("n", [0, 5])
 def test_number_series(spark, n):
     assert rows(readers.number_series(spark, n)) == [(i,) for i in range(1, n + 1)]
+
+
+def test_a_table_replaced_in_slices(spark):
+    """Rows of a key stay together, rows without a key are kept, and a build that fails leaves the table as it was, and nothing beside it."""
+    root = scratch(spark, "slices")
+    df = spark.range(300).select(F.when(F.col("id") % 10 > 0, F.concat(F.lit("k"), F.col("id") % 70)).alias("k"), "id")
+    counted = lambda part: part.groupBy("k").agg(F.count("id").alias("n"))
+    assert len(sinks.key_slices(df, "k", 100)) == 3 and len(sinks.key_slices(df.limit(0), "k", 100)) == 1
+    for _ in range(2):
+        table = sinks.replaced_in_slices(df, f"{root}/t", "k", counted, 100, compression="zstd")
+        assert rows(table) == rows(counted(df))
+    with pytest.raises(AnalysisException):
+        sinks.replaced_in_slices(df, f"{root}/t", "k", lambda part: part.select("absent"), 100)
+    assert [f.rsplit("/", 1)[1] for f in files.matching(spark, f"{root}/*")] == ["t"] and rows(spark.read.parquet(f"{root}/t")) == rows(counted(df))
+    assert sinks.replaced_in_slices(df.limit(0), f"{root}/t", "k", counted, 100).count() == 0
+
+
+def test_shuffles_are_dropped_only_inside(spark):
+    before = spark.conf.get(DROP_SHUFFLES)
+    with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+        assert spark.conf.get(DROP_SHUFFLES) == "true"
+        1 / 0  # noqa: B018
+    assert spark.conf.get(DROP_SHUFFLES) == before
